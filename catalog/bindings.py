@@ -187,4 +187,5 @@ def with_bindings(sql: str) -> str:
     heads = [f"{n} AS ({texts[n]})" for n in ordered]
     body = sql.strip()
     glue = ",\n" + body[4:] if body.upper().startswith("WITH") else "\n" + body
-    return "WITH " + ",\n".join(heads) + glue
+    # Every statement may hold one recursive part; the keyword changes nothing for the others.
+    return "WITH RECURSIVE " + ",\n".join(heads) + glue
