@@ -241,14 +241,18 @@ def missing_partitions(rows: DataFrame, day: str, calendar: DataFrame) -> DataFr
 
 
 def freshness(bronze: DataFrame, bronze_ts: str, gold: DataFrame, gold_ts: str, sla_hours: int, alert_hours: int):
-    """Minutes by which gold trails bronze, against the service level. Negative when gold is ahead."""
+    """Minutes from the newest bronze row to the newest gold row, against the service level.
+
+    Positive: gold was refreshed that much later. Negative: gold misses the newest bronze rows.
+    """
     newest = bronze.agg(F.max(bronze_ts).cast("timestamp").alias("bronze_newest"), F.lit(1).alias("_k")).join(
         gold.agg(F.max(gold_ts).cast("timestamp").alias("gold_newest"), F.lit(1).alias("_k")), "_k"
     )
-    lag = F.floor((F.unix_seconds("bronze_newest") - F.unix_seconds("gold_newest")) / 60).cast("long")
+    seconds = F.unix_seconds("gold_newest") - F.unix_seconds("bronze_newest")
+    late = F.abs(seconds)
     return newest.select(
-        "bronze_newest", "gold_newest", lag.alias("lag_minutes"),
-        F.when(lag <= sla_hours * 60, "PASS").when(lag <= alert_hours * 60, "WARN").otherwise("FAIL").alias("status"),
+        "bronze_newest", "gold_newest", F.floor(seconds / 60).cast("long").alias("lag_minutes"),
+        F.when(late <= sla_hours * 3600, "PASS").when(late <= alert_hours * 3600, "WARN").otherwise("FAIL").alias("status"),
     )
 
 
