@@ -248,11 +248,13 @@ def quarantine_report(spark, d):
 @query("quarantine_spike", f"""
 SELECT day, volume, baseline, CASE WHEN baseline IS NOT NULL THEN volume > 2 * baseline END AS is_spike FROM (
   SELECT day, volume, CASE WHEN count(*) OVER w = 7 THEN {half_up("sum(volume) OVER w", "7", 2)} END AS baseline
-  FROM (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS volume FROM orders WHERE o_orderkey % 9 = 0 GROUP BY 1)
+  FROM (SELECT CAST(order_date AS DATE) AS day, count(*) AS volume FROM o_order_reasons
+        WHERE reasons <> '' AND try_cast(order_date AS DATE) IS NOT NULL GROUP BY 1)
   WINDOW w AS (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))""")
 def quarantine_spike(spark, d):
-    bad = bind(spark, d, "orders").where("o_orderkey % 9 = 0").select(F.col("o_orderdate").cast("date").alias("day"))
-    return q.volume_spikes(bad, "day")
+    rejected = commerce.silver_orders(bind(spark, d, "b_orders"), c.NEWEST)[1]
+    days = rejected.select(F.col("order_date").try_cast("date").alias("day")).where("day is not null")
+    return q.volume_spikes(days, "day")
 
 
 @query("missing_partitions", """

@@ -382,12 +382,13 @@ def entity_type(spark, d):
 
 
 @query("ri_orphans", """SELECT state_code, count(*) AS orphans FROM o_parties WHERE suit_id NOT IN
-  (SELECT suit_id FROM o_suits WHERE o_orderkey % 13 <> 0) GROUP BY state_code""")
+  (SELECT suit_id FROM o_suits WHERE case_status <> 'SEALED') GROUP BY state_code""")
 def ri_orphans(spark, d):
     from lamella.operators.linkage import orphans
 
-    known = suits(spark, d).where("o_orderkey % 13 <> 0")
-    return orphans(parties(spark, d), known, ["suit_id"]).groupBy("state_code").agg(F.count(F.lit(1)).alias("orphans"))
+    s = suits(spark, d)
+    known = s.where("case_status <> 'SEALED'")
+    return orphans(records.extract_parties(s, ["state_code"]), known, ["suit_id"]).groupBy("state_code").agg(F.count(F.lit(1)).alias("orphans"))
 
 
 @query("ri_has_record", """SELECT state_code, count(*) AS suits FROM o_suits WHERE o_orderkey IN

@@ -245,9 +245,11 @@ def freshness(bronze: DataFrame, bronze_ts: str, gold: DataFrame, gold_ts: str,
 
     Positive: gold was refreshed that much later. Negative: gold misses the newest bronze rows.
     """
-    newest = bronze.agg(F.max(bronze_ts).cast("timestamp").alias("bronze_newest"), F.lit(1).alias("_k")).join(
-        gold.agg(F.max(gold_ts).cast("timestamp").alias("gold_newest"), F.lit(1).alias("_k")), "_k"
+    none = F.lit(None).cast("timestamp")
+    stamps = bronze.select(F.col(bronze_ts).cast("timestamp").alias("b"), none.alias("g")).unionByName(
+        gold.select(none.alias("b"), F.col(gold_ts).cast("timestamp").alias("g"))
     )
+    newest = stamps.agg(F.max("b").alias("bronze_newest"), F.max("g").alias("gold_newest"))
     seconds = F.unix_seconds("gold_newest") - F.unix_seconds("bronze_newest")
     late = F.abs(seconds)
     return newest.select(
@@ -258,9 +260,10 @@ def freshness(bronze: DataFrame, bronze_ts: str, gold: DataFrame, gold_ts: str,
 
 def rollup_matches(summary: DataFrame, count_column: str, detail: DataFrame) -> DataFrame:
     """Does the sum of a summary equal the number of detail rows?"""
-    both = summary.agg(F.sum(count_column).alias("summary_rows"), F.lit(1).alias("_k")).join(
-        detail.agg(F.count(F.lit(1)).alias("detail_rows"), F.lit(1).alias("_k")), "_k"
+    rows = summary.select(F.col(count_column).cast("long").alias("s"), F.lit(0).alias("d")).unionByName(
+        detail.select(F.lit(0).cast("long").alias("s"), F.lit(1).alias("d"))
     )
+    both = rows.agg(F.sum("s").alias("summary_rows"), F.sum("d").alias("detail_rows"))
     return both.select("summary_rows", "detail_rows", (F.col("summary_rows") == F.col("detail_rows")).alias("matches"))
 
 

@@ -40,5 +40,7 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
