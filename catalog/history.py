@@ -128,3 +128,19 @@ def to_utc(spark, d):
 def retention_prune(spark, d):
     o = bind(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
     return sinks.retention_prune(o, "day", "2001-08-02", **sinks.RETENTION["silver"])
+
+
+@query("pattern_checks", f"""SELECT c_custkey, regexp_full_match(trim(email), '[^@\\s]+@[^@\\s]+\\.[^@\\s]+') AS email_ok,
+  coalesce(c_custkey % 5 IN (0, 1, 2) AND NOT (c_custkey % 5 = 0), false) AS phone_ok, regexp_full_match(zip, '[0-9]{{5}}(-[0-9]{{4}})?') AS zip_ok
+  FROM (SELECT c_custkey, CASE WHEN c_nationkey = 0 THEN 'none' ELSE ' u' || c_custkey || '@x.org' END AS email,
+               CASE WHEN c_nationkey < 5 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0')
+                    WHEN c_nationkey < 10 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0') || '-0001' ELSE CAST(c_mktsegment AS VARCHAR) END AS zip
+        FROM customer)""")
+def pattern_checks(spark, d):
+    key = F.lpad(F.col("c_custkey").cast("string"), 5, "0")
+    nation = F.col("c_nationkey")
+    zip_code = F.when(nation < 5, key).when(nation < 10, F.concat(key, F.lit("-0001"))).otherwise(F.col("c_mktsegment"))
+    email = F.when(nation == 0, "none").otherwise(F.concat(F.lit(" u"), F.col("c_custkey").cast("string"), F.lit("@x.org")))
+    c = bind(spark, d, "customer").withColumns({"email": email, "phone": F.expr(_PHONE), "zip": zip_code})
+    return c.select("c_custkey", text.matches(F.col("email"), text.EMAIL).alias("email_ok"),
+                    text.matches(F.col("phone"), text.PHONE).alias("phone_ok"), text.matches(F.col("zip"), text.POSTAL_CODE).alias("zip_ok"))

@@ -274,3 +274,60 @@ def party_master(spark, d):
     m = similarity.party_master(bind(spark, d, "b_names"), "record_id", "party_name", "state_code")
     return m.select("cluster", "party_id", F.array_join("party_name_variants", "|").alias("variants"),
                     F.array_join("states_appeared", "|").alias("states"), "records", "is_entity")
+
+
+_LIEN_FEEDS = {
+    "UCC": """SELECT 'TX' AS _source_state, cast(s_suppkey AS string) AS file_number, '2000-01-05' AS file_date, s_name AS debtor_name,
+      'FIRST BANK' AS secured_party, 'all assets' AS collateral_description,
+      CASE WHEN s_acctbal < 0 THEN 'partial release' ELSE 'Active' END AS status, date '2001-08-01' AS _ingestion_date FROM {supplier}""",
+    "FEDERAL_TAX": """SELECT 'NY' AS _source_state, cast(c_custkey AS string) AS serial_number, c_name AS taxpayer_name,
+      concat('$', cast(cast(abs(c_acctbal) AS decimal(18,2)) AS string)) AS amount,
+      CASE WHEN c_nationkey = 3 THEN 'soon' ELSE '1999-05-06' END AS filing_date,
+      CASE WHEN c_acctbal < 0 THEN '2000-02-03' ELSE '' END AS release_date, date '2001-08-01' AS _ingestion_date FROM {customer}""",
+    "JUDGMENT": """SELECT 'FL' AS _source_state, 'Dade' AS _source_county,
+      CASE WHEN o_orderpriority = '1-URGENT' THEN '' ELSE cast(o_orderkey AS string) END AS book_page,
+      concat('C-', cast(o_orderkey AS string)) AS case_number, 'ACME INC' AS creditor, 'john  doe' AS debtor,
+      cast(cast(o_totalprice AS decimal(18,2)) AS string) AS amount, cast(cast(o_orderdate AS date) AS string) AS filing_date,
+      date '2001-08-01' AS _ingestion_date FROM {orders} WHERE o_orderstatus = 'F'""",
+}
+
+
+@query("silver_liens", """
+SELECT 'UCC_TX_' || s_suppkey AS lien_id, 'UCC' AS lien_type, 'TX' AS state_code, NULL AS county, 'SOS' AS filing_office,
+  date '2000-01-05' AS filing_date, NULL::DECIMAL(18,2) AS lien_amount,
+  CASE WHEN s_acctbal < 0 THEN 'PARTIAL_RELEASE' ELSE 'ACTIVE' END AS lien_status, NULL::DATE AS release_date,
+  NULL AS related_case_number, s_name AS debtor_name, 'FIRST BANK' AS creditor_name FROM supplier
+UNION ALL SELECT 'FEDERAL_TAX_NY_' || c_custkey, 'FEDERAL_TAX', 'NY', NULL, 'COUNTY_RECORDER', date '1999-05-06',
+  CAST(abs(c_acctbal) AS DECIMAL(18,2)), CASE WHEN c_acctbal < 0 THEN 'RELEASED' ELSE 'ACTIVE' END,
+  CASE WHEN c_acctbal < 0 THEN date '2000-02-03' END, NULL, c_name, NULL FROM customer WHERE c_nationkey <> 3
+UNION ALL SELECT 'JUDGMENT_FL_' || o_orderkey, 'JUDGMENT', 'FL', 'Dade', 'COUNTY_RECORDER', CAST(o_orderdate AS DATE),
+  CAST(o_totalprice AS DECIMAL(18,2)), 'ACTIVE', NULL, 'C-' || o_orderkey, 'John Doe', 'ACME INC'
+  FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT'""")
+def silver_liens(spark, d):
+    from lamella.plans import filings
+
+    names = ("supplier", "customer", "orders")
+    feeds = {
+        kind: spark.sql(sql, **{n: bind(spark, d, n) for n in names if f"{{{n}}}" in sql}) for kind, sql in _LIEN_FEEDS.items()
+    }
+    valid = filings.canonical_liens(feeds, "_ingestion_date", ["_ingestion_date"])[0]
+    return valid.select("lien_id", "lien_type", "state_code", "county", "filing_office", "filing_date", "lien_amount",
+                        "lien_status", "release_date", "related_case_number", "debtor_name", "creditor_name")
+
+
+@query("silver_judgments", """SELECT state_code || '_' || case_number || '_' || judgment_date AS judgment_id, state_code, case_number,
+  judgment_date, judgment_type, judgment_amount, satisfaction_status FROM b_judgments WHERE debtor_key % 50 <> 0""")
+def silver_judgments(spark, d):
+    from lamella.plans import filings
+
+    raw = bind(spark, d, "b_judgments").select(
+        F.col("state_code").alias("_source_state"),
+        F.when(F.col("debtor_key") % 50 == 0, "").otherwise(F.concat(F.lit(" "), "case_number")).alias("case_number"),
+        F.col("judgment_date").cast("string").alias("judgment_date"),
+        F.lower(F.replace("judgment_type", F.lit("_"), F.lit(" "))).alias("judgment_type"),
+        F.concat(F.lit("$"), F.col("judgment_amount").cast("string")).alias("amount"),
+        F.when(F.col("satisfaction_status") == "SATISFIED", "Y").otherwise("N").alias("satisfied"),
+        F.lit("2001-08-01").cast("date").alias("_ingestion_date"))
+    valid = filings.canonical_judgments({"STATE": raw}, "_ingestion_date", ["_ingestion_date"])[0]
+    return valid.select("judgment_id", "state_code", "case_number", "judgment_date", "judgment_type", "judgment_amount",
+                        "satisfaction_status")

@@ -262,7 +262,7 @@ def party_stats(spark, d):
   is_frequent_litigant FROM o_parties_shown p JOIN o_stats s ON p.party_name = s.party_name""")
 def party_best_view(spark, d):
     s = suits(spark, d)
-    return records.party_best_view(records.extract_parties(s), s).select(
+    return records.party_best_view(records.extract_parties(s, ["filing_date"]), s).select(
         "party_id", "suit_id", "party_type", "party_name", "is_entity", "filing_date", "total_suits_as_plaintiff",
         "total_suits_as_defendant", "first_appearance_date", "last_appearance_date", "total_appearances",
         "is_frequent_litigant")
@@ -312,6 +312,13 @@ def top_litigants(spark, d):
     return records.top_items(p, ["state_code", "year_filed", "party_type"], "party_name", 3)
 
 
+@query("repeat_filers", """SELECT state_code, year_filed, count(*) FILTER (n >= 2) AS repeat_filer_count, count(*) AS filers
+  FROM (SELECT state_code, year(filing_date) AS year_filed, party_name, count(*) AS n FROM o_parties_shown
+        WHERE party_type = 'PLAINTIFF' GROUP BY 1, 2, 3) GROUP BY 1, 2""")
+def repeat_filers(spark, d):
+    return records.repeat_filers(parties(spark, d))
+
+
 @query("monthly_trends", f"""SELECT *, {half_up(
     "sum(new_filings) OVER (PARTITION BY state_code, case_type ORDER BY year_month ROWS 2 PRECEDING)",
     "count(*) OVER (PARTITION BY state_code, case_type ORDER BY year_month ROWS 2 PRECEDING)", 1)} AS filing_trend_3m_avg

@@ -84,6 +84,17 @@ def name_tokens(name: Column) -> Column:
     return F.array_distinct(F.split(match_name(name), " "))
 
 
+# What a well-formed value looks like. Postal codes are those of the US.
+EMAIL = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
+PHONE = r"^\+?[0-9][0-9 ().-]{8,18}$"
+POSTAL_CODE = r"^[0-9]{5}(-[0-9]{4})?$"
+
+
+def matches(c: Column, pattern: str) -> Column:
+    """Does the trimmed text match? Null does not."""
+    return F.coalesce(F.trim(c).rlike(pattern), F.lit(False))
+
+
 def phone_e164(c: Column, country: str = "1") -> Column:
     """Digits with a leading plus; numbers without a country code get ``country``. Null when impossible."""
     digits = F.regexp_replace(c, "[^0-9]", "")

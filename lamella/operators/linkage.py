@@ -37,10 +37,13 @@ def nearest_by_key(
     line = asked.select(*on, "_day", F.lit(None).cast(offered.schema["_id"].dataType).alias("_id"), F.lit(True).alias("_asks"))
     line = line.unionByName(offered.select(*on, "_day", "_id", F.lit(False).alias("_asks")))
     seen = F.when(~F.col("_asks"), F.struct(F.col("_day").alias("d"), F.col("_id").alias("i")))
-    w = Window.partitionBy(*on).orderBy("_day")
-    # Range frames include the targets of the same day on both sides.
-    before = F.last(seen, ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    after = F.first(seen, ignorenulls=True).over(w.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    # Both frames grow, one along each direction of time (a shrinking frame would be recomputed per row), and
+    # being range frames they include the targets of the same day.
+    so_far = Window.unboundedPreceding, Window.currentRow
+    forward = Window.partitionBy(*on).orderBy(F.col("_day").asc()).rangeBetween(*so_far)
+    backward = Window.partitionBy(*on).orderBy(F.col("_day").desc()).rangeBetween(*so_far)
+    before = F.last(seen, ignorenulls=True).over(forward)
+    after = F.last(seen, ignorenulls=True).over(backward)
     both = line.withColumns({"_b": before, "_a": after}).where("_asks")
     gap_b, gap_a = F.datediff("_day", "_b.d"), F.datediff("_a.d", "_day")
     use_after = F.col("_b").isNull() | (gap_a < gap_b) | ((gap_a == gap_b) & (F.col("_a.i") < F.col("_b.i")))

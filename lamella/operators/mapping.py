@@ -41,13 +41,18 @@ def _one_party(name: Column) -> Column:
     return F.when(text.is_filled(name), F.array(party)).otherwise(F.array().cast(PARTY))
 
 
+def source_field(feed: DataFrame, fields: dict[str, str], name: str) -> Column:
+    """The source column of a canonical field as text, or a typed null where the feed lacks it."""
+    column = fields.get(name)
+    present = column is not None and column in feed.columns
+    return F.col(column).cast("string") if present else F.lit(None).cast("string")
+
+
 def rename_fields(feed: DataFrame, mapping: CourtMapping, carry: list[str]) -> DataFrame:
     """One court's columns under canonical names, all text, absent fields as typed nulls."""
 
     def source(field: str) -> Column:
-        column = mapping.fields.get(field)
-        present = column is not None and column in feed.columns
-        return F.col(column).cast("string") if present else F.lit(None).cast("string")
+        return source_field(feed, mapping.fields, field)
 
     fields = {f: source(f) for f in TEXT_FIELDS}
     if mapping.county is not None:

@@ -39,3 +39,15 @@ def salted_join(
     )
     copied = right.withColumn("_salt", F.explode(copies))
     return salted.join(copied, [*on, "_salt"], how).drop("_salt")
+
+
+def left_join_filled(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left join in which rows without a complete key bypass the shuffle.
+
+    They match nothing, and hashed by their null they would all end up in one task.
+    """
+    filled = F.lit(True)
+    for key in on:
+        filled = filled & F.col(key).isNotNull()
+    joined = left.where(filled).join(right, on, "left")
+    return joined.unionByName(left.where(~filled), allowMissingColumns=True)

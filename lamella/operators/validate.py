@@ -18,21 +18,30 @@ class Rule:
     ok: Column
 
 
+def holds_all(rules: list[Rule]) -> Column:
+    condition = F.lit(True)
+    for rule in rules:
+        condition = condition & F.coalesce(rule.ok, F.lit(False))
+    return condition
+
+
 def tag(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Add the array of broken rules; one pass whatever the number of rules."""
-    broken = [F.when(~F.coalesce(r.ok, F.lit(False)), F.lit(r.reason)) for r in rules]
-    return df.withColumn(REASONS, F.array_compact(F.array(*broken)))
+    none = F.array().cast("array<string>")
+    broken = [F.when(~F.coalesce(r.ok, F.lit(False)), F.array(F.lit(r.reason))).otherwise(none) for r in rules]
+    return df.withColumn(REASONS, F.concat(*broken))
 
 
-def valid_rows(tagged: DataFrame) -> DataFrame:
-    return tagged.where(F.size(REASONS) == 0).drop(REASONS)
+def valid_rows(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """A plain filter: it stays in generated code and can be pushed towards the scan."""
+    return df.where(holds_all(rules))
 
 
-def rejected_rows(tagged: DataFrame) -> DataFrame:
-    return tagged.where(F.size(REASONS) > 0)
+def rejected_rows(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Rejected rows with their reasons, which are worked out for these rows only."""
+    return tag(df.where(~holds_all(rules)), rules)
 
 
 def split_valid(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantine): complementary, and the quarantine keeps every raw column plus the reasons."""
-    tagged = tag(df, rules)
-    return valid_rows(tagged), rejected_rows(tagged)
+    return valid_rows(df, rules), rejected_rows(df, rules)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lamella.functions import dates, numbers, scoring, text
 from lamella.operators import dedupe, rank
-from lamella.operators.validate import Rule, rejected_rows, tag, valid_rows
+from lamella.operators.validate import Rule, split_valid
 from lamella.staging import stage
 
 # Order states, and those that count as revenue.
@@ -54,10 +54,10 @@ def product_rules() -> list[Rule]:
 
 
 def _silver(raw: DataFrame, rules: list[Rule], key: str, newest: str, columns: list[Column]):
-    tagged = tag(raw, rules)
-    kept = dedupe.latest(valid_rows(tagged), [key], newest)
+    valid, rejected = split_valid(raw, rules)
+    kept = dedupe.latest(valid, [key], newest)
     lineage = F.col("_batch_id").alias("_bronze_batch_id"), F.lit(VERSION).alias("_silver_version")
-    return kept.select(*columns, *lineage), rejected_rows(tagged)
+    return kept.select(*columns, *lineage), rejected
 
 
 def silver_customers(raw: DataFrame, newest: str = LATEST_BY) -> tuple[DataFrame, DataFrame]:
@@ -276,12 +276,22 @@ def revenue_yoy_calendar(orders: DataFrame) -> DataFrame:
     )
 
 
+def order_lines(items: DataFrame) -> DataFrame:
+    """Units and revenue per (order, product).
+
+    Reduced before items meet their order: even an order id that very many items carry (a placeholder, a
+    marketplace account) then has no more rows than there are products.
+    """
+    return items.groupBy("order_id", "product_id").agg(
+        F.sum("quantity").alias("units"), F.sum("line_total").alias("revenue")
+    )
+
+
 def category_breakdown(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue of each category per day as one JSON map."""
     paid = orders.where(F.col("status").isin(REVENUE_STATUSES)).select("order_id", "order_date")
     by_product = (
-        items.select("order_id", "product_id", "line_total").join(paid, "order_id")
-        .groupBy("order_date", "product_id").agg(F.sum("line_total").alias("revenue"))
+        order_lines(items).join(paid, "order_id").groupBy("order_date", "product_id").agg(F.sum("revenue").alias("revenue"))
     )
     by_category = (
         by_product.join(products.select("product_id", "category"), "product_id")
@@ -296,17 +306,12 @@ def category_breakdown(orders: DataFrame, items: DataFrame, products: DataFrame)
 def product_performance(products: DataFrame, items: DataFrame, orders: DataFrame) -> DataFrame:
     """Sales, margin and buyers per product that was sold.
 
-    Sales are reduced in steps (product, order, buyer) -> (product, buyer) -> product. The first step needs
-    no shuffle after the join on the order, distinct counts become plain counts, and a best-selling product
-    is already small when its rows meet. Product attributes are joined to the finished sums.
+    Sales are reduced in steps (order, product) -> (product, buyer) -> product. Distinct counts become plain
+    counts, and a best-selling product is already small when its rows meet. Product attributes are joined to
+    the finished sums.
     """
     paid = orders.where(F.col("status").isin(REVENUE_STATUSES)).select("order_id", "customer_id")
-    per_order = (
-        items.select("order_id", "product_id", "quantity", "line_total").join(paid, "order_id")
-        .groupBy("product_id", "order_id", "customer_id")
-        .agg(F.sum("quantity").alias("units"), F.sum("line_total").alias("revenue"))
-    )
-    per_buyer = per_order.groupBy("product_id", "customer_id").agg(
+    per_buyer = order_lines(items).join(paid, "order_id").groupBy("product_id", "customer_id").agg(
         F.sum("units").alias("units"), F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("orders")
     )
     sales = per_buyer.groupBy("product_id").agg(

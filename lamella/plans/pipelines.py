@@ -117,7 +117,7 @@ def run_records(
     suits = layers.write("silver", "suits", valid, ["state_code"])
     layers.quarantine("suits", rejected)
     layers.gate("silver", "suits", suits)
-    parties = layers.write("silver", "parties", records.extract_parties(suits), ["party_type"])
+    parties = layers.write("silver", "parties", records.extract_parties(suits, ["filing_date"]), ["party_type"])
     best = layers.write("gold", "suit_best_view", records.suit_best_view(suits, parties, reference_date), ["state_code"])
     layers.gate("gold", "suit_best_view", best)
     layers.write("gold", "suit_party_best_view", records.party_best_view(parties, suits), ["party_type"])

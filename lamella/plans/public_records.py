@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lamella.functions import dates, numbers
 from lamella.operators.linkage import near_by_amount_and_day, nearest_by_key
 from lamella.operators.mapping import inline_table
+from lamella.operators.skew import left_join_filled
 from lamella.plans.courts import STATES
 from lamella.staging import stage
 
@@ -57,9 +58,13 @@ def lien_expiration(liens: DataFrame, rules: DataFrame, reference_date: str) ->
     )
 
 
-def link_suit_judgment(suits: DataFrame, judgments: DataFrame) -> DataFrame:
-    """Judgments with the suit of the same state and case number, if there is one."""
-    return judgments.join(suits.select("suit_id", "state_code", "case_number"), ["state_code", "case_number"], "left")
+def link_suit_judgment(suits: DataFrame, judgments: DataFrame, court: list[str] = ()) -> DataFrame:
+    """Judgments with the suit of the same state and case number, and ``court`` columns where both sides have them.
+
+    A case number occurs once per court of a state, so a judgment meets few suits whatever the number is.
+    """
+    on = ["state_code", "case_number", *court]
+    return left_join_filled(judgments, suits.select("suit_id", *on), on)
 
 
 def link_judgment_lien(judgments: DataFrame, liens: DataFrame) -> DataFrame:
@@ -75,13 +80,13 @@ def link_judgment_lien(judgments: DataFrame, liens: DataFrame) -> DataFrame:
     named = liens.where("related_case_number is not null")
     on = ["state_code", "related_case_number"]
     exact = nearest_by_key(named, cases, on, "filing_date", "judgment_date", "judgment_key")
-    tried = stage(liens.join(exact, [*on, "filing_date"], "left"), "liens")
+    tried = stage(left_join_filled(liens, exact, [*on, "filing_date"]), "liens")
     found = tried.where("judgment_key is not null").withColumn("confidence", F.lit("HIGH"))
     rest = tried.where("judgment_key is null").drop("judgment_key")
     near = near_by_amount_and_day(
         rest, judgments, "debtor_key", "lien_amount", "filing_date", "judgment_amount", "judgment_date", "judgment_key"
     )
-    second = rest.join(near, ["debtor_key", "lien_amount", "filing_date"], "left").withColumn(
+    second = left_join_filled(rest, near, ["debtor_key", "lien_amount", "filing_date"]).withColumn(
         "confidence", F.when(F.col("judgment_key").isNotNull(), "MEDIUM").otherwise("UNLINKED")
     )
     return found.unionByName(second)
@@ -112,7 +117,7 @@ def lien_best_view(linked: DataFrame, rules: DataFrame, judgments: DataFrame, su
     """One row per lien: active or not, age, the judgment and suit behind it."""
     origins = link_suit_judgment(suits, judgments).select("judgment_key", F.col("suit_id").alias("related_suit_id"))
     dated = lien_expiration(linked, rules, reference_date)
-    return dated.join(origins, "judgment_key", "left").select(
+    return left_join_filled(dated, origins, ["judgment_key"]).select(
         "lien_id", "lien_type", "state_code", "filing_date", "lien_amount", "lien_status", "debtor_key",
         "expiration_date", "is_active",
         dates.days_between(F.col("filing_date"), F.lit(reference_date).cast("date")).alias("days_since_filing"),

@@ -9,7 +9,7 @@ from lamella.functions import dates, numbers, text
 from lamella.operators import dedupe, rank
 from lamella.operators.mapping import canonicalize, code_rows, inline_table, suit_rules, unread_fields
 from lamella.operators.skew import salted_join
-from lamella.operators.validate import rejected_rows, tag, valid_rows
+from lamella.operators.validate import split_valid
 from lamella.plans.courts import (
     CASE_STATUSES,
     CASE_TYPE_CODES,
@@ -41,10 +41,10 @@ def canonical_suits(spark: SparkSession, feeds: dict[str, DataFrame], carry: lis
 
 def silver_suits(canonical: DataFrame, newest: str) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantine): validated, then the latest version of each suit."""
-    tagged = tag(canonical, suit_rules())
+    valid, rejected = split_valid(canonical, suit_rules())
     ties = ["case_status_raw", "filing_date_raw", "amount_raw", "plaintiff_name", "defendant_name"]
-    kept = dedupe.latest(valid_rows(tagged), ["suit_id"], newest, ties)
-    return kept.withColumn("_unread", unread_fields()), rejected_rows(tagged)
+    kept = dedupe.latest(valid, ["suit_id"], newest, ties)
+    return kept.withColumn("_unread", unread_fields()), rejected
 
 
 def extract_parties(suits: DataFrame, carry: list[str] = ()) -> DataFrame:
@@ -102,9 +102,15 @@ def suit_best_view(suits: DataFrame, parties: DataFrame, reference_date: str) ->
 
 
 def with_filing_date(parties: DataFrame, suits: DataFrame) -> DataFrame:
+    """Parties with the filing date of their suit, unless they carry it already.
+
+    A class action may have a large part of all parties, so the join is split by the number of parties.
+    """
     if "filing_date" in parties.columns:
         return parties
-    return parties.join(suits.select("suit_id", "filing_date"), "suit_id", "left")
+    sizes = parties.groupBy("suit_id").agg(F.count(F.lit(1)).alias("_parties"))
+    dated = sizes.join(suits.select("suit_id", "filing_date"), "suit_id", "left")
+    return salted_join(parties, dated, ["suit_id"], "_parties", ["party_id"]).drop("_parties")
 
 
 def party_stats(dated: DataFrame, min_suits: int = FREQUENT) -> DataFrame:
@@ -160,6 +166,16 @@ def top_items(df: DataFrame, group: list[str], item: str, k: int) -> DataFrame:
     return dedupe.top_per_group(counts, group, [F.col("count").desc(), F.col(item).asc()], k)
 
 
+def repeat_filers(dated: DataFrame, role: str = "PLAINTIFF", min_suits: int = 2) -> DataFrame:
+    """Names with several suits in one role, per state and year."""
+    by_name = dated.where(_is_role(role)).groupBy(
+        "state_code", F.year("filing_date").cast("long").alias("year_filed"), "party_name"
+    ).agg(F.count(F.lit(1)).alias("n"))
+    return by_name.groupBy("state_code", "year_filed").agg(
+        F.count_if(F.col("n") >= min_suits).alias("repeat_filer_count"), F.count(F.lit(1)).alias("filers")
+    )
+
+
 def median_amounts(best_view: DataFrame, group: list[str]) -> DataFrame:
     return rank.exact_median(best_view, group, "amount_demanded", "suit_id", "median_amount_demanded")
 

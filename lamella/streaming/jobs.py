@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lamella.operators import quality
-from lamella.operators.validate import Rule, rejected_rows, tag, valid_rows
+from lamella.operators.validate import Rule, split_valid
 from lamella.sources.bronze import add_lineage
 from lamella.sources.sinks import write_partition
 from lamella.staging import new_folder
@@ -48,15 +48,15 @@ def bronze_ingest(stream: DataFrame, path: str, batch: str, system: str, table:
 
 def split_stream(stream: DataFrame, rules: list[Rule], valid_path: str, rejected_path: str) -> StreamingQuery:
     """Valid and rejected rows from one read of every batch."""
-    tagged = tag(stream, rules)
 
     def write(df: DataFrame, i: int) -> None:
         df.persist()
-        _put(valid_rows(df), valid_path, i)
-        _put(rejected_rows(df), rejected_path, i)
+        valid, rejected = split_valid(df, rules)
+        _put(valid, valid_path, i)
+        _put(rejected, rejected_path, i)
         df.unpersist()
 
-    return by_batch(tagged, "split", write)
+    return by_batch(stream, "split", write)
 
 
 def dedupe_stream(stream: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
