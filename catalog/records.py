@@ -93,13 +93,18 @@ def suits(spark: SparkSession, d: str) -> DataFrame:
     return stage(records.silver_suits(canonical(spark, d), NEWEST)[0], "suits")
 
 
+def parties_of(s: DataFrame) -> DataFrame:
+    """The silver party table, stored like the suits."""
+    return stage(records.extract_parties(s, ["state_code", "filing_date"]), "parties")
+
+
 def parties(spark: SparkSession, d: str) -> DataFrame:
-    return records.extract_parties(suits(spark, d), ["state_code", "filing_date"])
+    return parties_of(suits(spark, d))
 
 
 def best_view(spark: SparkSession, d: str) -> DataFrame:
     s = suits(spark, d)
-    return records.suit_best_view(s, records.extract_parties(s), REF)
+    return records.suit_best_view(s, parties_of(s), REF)
 
 
 DERIVED["o_canon"] = """
@@ -262,7 +267,7 @@ def party_stats(spark, d):
   is_frequent_litigant FROM o_parties_shown p JOIN o_stats s ON p.party_name = s.party_name""")
 def party_best_view(spark, d):
     s = suits(spark, d)
-    return records.party_best_view(records.extract_parties(s, ["filing_date"]), s).select(
+    return records.party_best_view(parties_of(s), s).select(
         "party_id", "suit_id", "party_type", "party_name", "is_entity", "filing_date", "total_suits_as_plaintiff",
         "total_suits_as_defendant", "first_appearance_date", "last_appearance_date", "total_appearances",
         "is_frequent_litigant")
@@ -272,7 +277,7 @@ def party_best_view(spark, d):
   regexp_matches(party_name, '\\b(LLC|BANK)\\b') AS is_entity FROM o_stats s WHERE is_frequent_litigant""")
 def frequent_litigants(spark, d):
     s = suits(spark, d)
-    return records.frequent_litigants(records.extract_parties(s), s)
+    return records.frequent_litigants(parties_of(s).drop("filing_date"), s)
 
 
 @query("suit_best_view", "SELECT * FROM o_best")
@@ -395,7 +400,7 @@ def ri_orphans(spark, d):
 
     s = suits(spark, d)
     known = s.where("case_status <> 'SEALED'")
-    return orphans(records.extract_parties(s, ["state_code"]), known, ["suit_id"]).groupBy("state_code").agg(F.count(F.lit(1)).alias("orphans"))
+    return orphans(parties_of(s), known, ["suit_id"]).groupBy("state_code").agg(F.count(F.lit(1)).alias("orphans"))
 
 
 @query("ri_has_record", """SELECT state_code, count(*) AS suits FROM o_suits WHERE o_orderkey IN

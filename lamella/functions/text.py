@@ -67,10 +67,19 @@ def entity_type(name: Column) -> Column:
     return result.otherwise(F.when(is_entity(name), F.lit("CORPORATION")).otherwise(F.lit("INDIVIDUAL")))
 
 
+def tidy_name(name: Column) -> Column:
+    """Squeezed and stripped of special characters."""
+    return squeeze(F.regexp_replace(name, r"[^A-Za-z0-9 .,&'#-]", ""))
+
+
+def cased_name(tidy: Column, entity: Column) -> Column:
+    """People in title case, organizations as written."""
+    return F.when(entity, tidy).otherwise(F.initcap(tidy))
+
+
 def display_name(name: Column) -> Column:
-    """Squeezed and stripped of special characters; people in title case, organizations as written."""
-    tidy = squeeze(F.regexp_replace(name, r"[^A-Za-z0-9 .,&'#-]", ""))
-    return F.when(is_entity(tidy), tidy).otherwise(F.initcap(tidy))
+    tidy = tidy_name(name)
+    return cased_name(tidy, is_entity(tidy))
 
 
 def match_name(name: Column) -> Column:

@@ -41,27 +41,28 @@ def _one_party(name: Column) -> Column:
     return F.when(text.is_filled(name), F.array(party)).otherwise(F.array().cast(PARTY))
 
 
-def source_field(feed: DataFrame, fields: dict[str, str], name: str) -> Column:
+def source_field(columns: list[str], fields: dict[str, str], name: str) -> Column:
     """The source column of a canonical field as text, or a typed null where the feed lacks it."""
     column = fields.get(name)
-    present = column is not None and column in feed.columns
-    return F.col(column).cast("string") if present else F.lit(None).cast("string")
+    return F.col(column).cast("string") if column in columns else F.lit(None).cast("string")
 
 
 def rename_fields(feed: DataFrame, mapping: CourtMapping, carry: list[str]) -> DataFrame:
     """One court's columns under canonical names, all text, absent fields as typed nulls."""
 
+    columns = feed.columns
+
     def source(field: str) -> Column:
-        return source_field(feed, mapping.fields, field)
+        return source_field(columns, mapping.fields, field)
 
     fields = {f: source(f) for f in TEXT_FIELDS}
     if mapping.county is not None:
         fields["county"] = F.lit(mapping.county)
     plaintiffs, defendants = _one_party(source("plaintiff_name")), _one_party(source("defendant_name"))
-    if mapping.nested_parties in feed.columns:
+    if mapping.nested_parties in columns:
         nested = F.from_json(mapping.nested_parties, PARTIES_JSON)
         plaintiffs, defendants = nested["plaintiffs"], nested["defendants"]
-    if mapping.nested_disposition in feed.columns:
+    if mapping.nested_disposition in columns:
         outcome = F.from_json(mapping.nested_disposition, "struct<type:string,date:string>")
         fields["disposition"], fields["disposition_date"] = outcome["type"], outcome["date"]
     return feed.select(

@@ -75,14 +75,14 @@ _JUDGMENT_TEXT = ["state_code", "case_number", "judgment_date", "judgment_type",
 
 def _stack(feeds: dict[str, DataFrame], known: list[FilingFeed], names: list[str], carry: list[str]) -> DataFrame:
     """All feeds under canonical names in one plan, still as text."""
-    parts = [
-        feeds[k.kind].select(
+    def named(k: FilingFeed) -> DataFrame:
+        columns = feeds[k.kind].columns
+        return feeds[k.kind].select(
             F.lit(k.kind).alias("_kind"), F.lit(k.office).alias("_office"), F.lit(k.date_format).alias("_format"),
-            *[source_field(feeds[k.kind], k.fields, n).alias(n) for n in names], *carry,
+            *[source_field(columns, k.fields, n).alias(n) for n in names], *carry,
         )
-        for k in known if k.kind in feeds
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+
+    return reduce(lambda a, b: a.unionByName(b), [named(k) for k in known if k.kind in feeds])
 
 
 def _canonical_word(c: Column, words: list[str]) -> Column:

@@ -49,24 +49,23 @@ def silver_suits(canonical: DataFrame, newest: str) -> tuple[DataFrame, DataFram
 
 def extract_parties(suits: DataFrame, carry: list[str] = ()) -> DataFrame:
     """One row per named party; the sequence is its place in the feed's list."""
-    party = "struct<party_type:string,party:struct<name:string,attorney:string>>"
-
     def side(column: str, kind: str) -> Column:
         placed = F.transform(column, lambda p, i: F.struct(F.lit(kind).alias("t"), (i + 1).alias("seq"), p.alias("p")))
         return F.coalesce(placed, F.array().cast("array<struct<t:string,seq:int,p:struct<name:string,attorney:string>>>"))
 
     both = F.concat(side("plaintiffs", "PLAINTIFF"), side("defendants", "DEFENDANT"))
-    rows = suits.select("suit_id", *carry, F.explode(both).alias("x"))
-    name = F.col("x.p.name")
-    shown = text.display_name(name)
-    return rows.where(text.is_filled(name)).select(
+    rows = suits.select("suit_id", *carry, F.explode(both).alias("x")).where(text.is_filled(F.col("x.p.name")))
+    # Two steps, so that the patterns run once per party although their results are used twice.
+    tidied = rows.withColumn("_tidy", text.tidy_name(F.col("x.p.name")))
+    flagged = tidied.withColumn("is_entity", text.is_entity(F.col("_tidy")))
+    return flagged.select(
         F.concat_ws("_", "suit_id", "x.t", F.col("x.seq").cast("string")).alias("party_id"),
         "suit_id",
         F.col("x.t").alias("party_type"),
         F.col("x.seq").cast("long").alias("sequence"),
-        shown.alias("party_name"),
-        name.alias("party_name_raw"),
-        text.is_entity(shown).alias("is_entity"),
+        text.cased_name(F.col("_tidy"), F.col("is_entity")).alias("party_name"),
+        F.col("x.p.name").alias("party_name_raw"),
+        "is_entity",
         F.col("x.p.attorney").alias("attorney_name"),
         F.lit(None).cast("string").alias("attorney_firm"),
         *carry,
