@@ -27,54 +27,54 @@ def code_rows(codes: dict[str, dict[str, list[str]]]) -> list[tuple[str, str, st
 def inline_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
     """A constant table inside the plan. Its size is fixed by configuration, so it may be broadcast."""
 
-    def literal(v) -> str:
-        if v is None:
-            return "NULL"
-        return "'" + v.replace("'", "\\'") + "'" if isinstance(v, str) else str(v)
-
-    values = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    values = ", ".join("(" + ", ".join(str(v) if isinstance(v, int) else _quoted(v) for v in row) + ")" for row in rows)
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
 
 
-def _one_party(name: Column) -> Column:
-    party = F.struct(F.trim(name).alias("name"), F.lit(None).cast("string").alias("attorney"))
-    return F.when(text.is_filled(name), F.array(party)).otherwise(F.array().cast(PARTY))
+def _quoted(value: str | bool | None) -> str:
+    if isinstance(value, bool):
+        return str(value).lower()
+    return "CAST(NULL AS string)" if value is None else "'" + value.replace("'", "\\'") + "'"
+
 
+def source_field(columns: list[str], fields: dict[str, str], name: str) -> str:
+    """SQL of a canonical field: the source column as text, or a typed null where the feed lacks it.
 
-def source_field(columns: list[str], fields: dict[str, str], name: str) -> Column:
-    """The source column of a canonical field as text, or a typed null where the feed lacks it."""
+    Feeds are renamed by SQL text rather than column objects: with many feeds and fields, building the
+    objects one by one takes the driver longer than the query.
+    """
     column = fields.get(name)
-    return F.col(column).cast("string") if column in columns else F.lit(None).cast("string")
+    return f"CAST(`{column}` AS string)" if column in columns else "CAST(NULL AS string)"
+
+
+def _one_party(name: str) -> str:
+    party = f"named_struct('name', trim({name}), 'attorney', CAST(NULL AS string))"
+    return f"CASE WHEN trim({name}) <> '' THEN array({party}) ELSE CAST(array() AS {PARTY}) END"
 
 
 def rename_fields(feed: DataFrame, mapping: CourtMapping, carry: list[str]) -> DataFrame:
     """One court's columns under canonical names, all text, absent fields as typed nulls."""
-
     columns = feed.columns
-
-    def source(field: str) -> Column:
-        return source_field(columns, mapping.fields, field)
-
-    fields = {f: source(f) for f in TEXT_FIELDS}
+    fields = {f: source_field(columns, mapping.fields, f) for f in TEXT_FIELDS}
     if mapping.county is not None:
-        fields["county"] = F.lit(mapping.county)
-    plaintiffs, defendants = _one_party(source("plaintiff_name")), _one_party(source("defendant_name"))
+        fields["county"] = _quoted(mapping.county)
+    parties = {
+        f"{side}s": _one_party(source_field(columns, mapping.fields, f"{side}_name")) for side in ("plaintiff", "defendant")
+    }
     if mapping.nested_parties in columns:
-        nested = F.from_json(mapping.nested_parties, PARTIES_JSON)
-        plaintiffs, defendants = nested["plaintiffs"], nested["defendants"]
+        nested = f"from_json(`{mapping.nested_parties}`, '{PARTIES_JSON}')"
+        parties = {side: f"{nested}.{side}" for side in parties}
     if mapping.nested_disposition in columns:
-        outcome = F.from_json(mapping.nested_disposition, "struct<type:string,date:string>")
-        fields["disposition"], fields["disposition_date"] = outcome["type"], outcome["date"]
-    return feed.select(
-        F.lit(mapping.state).alias("state_code"),
-        F.lit(mapping.record_source).alias("record_source"),
-        F.lit(mapping.id_prefix or mapping.state).alias("_prefix"),
-        F.lit(mapping.date_format).alias("_format"),
-        F.lit(mapping.zero_is_null).alias("_zero_is_null"),
-        *[c.alias(f) for f, c in fields.items()],
-        plaintiffs.alias("plaintiffs"),
-        defendants.alias("defendants"),
-        *carry,
+        outcome = f"from_json(`{mapping.nested_disposition}`, 'struct<type:string,date:string>')"
+        fields["disposition"], fields["disposition_date"] = f"{outcome}.type", f"{outcome}.date"
+    constants = {
+        "state_code": mapping.state, "record_source": mapping.record_source, "_prefix": mapping.id_prefix or mapping.state,
+        "_format": mapping.date_format, "_zero_is_null": mapping.zero_is_null,
+    }
+    return feed.selectExpr(
+        *[f"{_quoted(v)} AS {name}" for name, v in constants.items()],
+        *[f"{sql} AS {name}" for name, sql in {**fields, **parties}.items()],
+        *[f"`{c}`" for c in carry],
     )
 
 

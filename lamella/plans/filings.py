@@ -77,9 +77,9 @@ def _stack(feeds: dict[str, DataFrame], known: list[FilingFeed], names: list[str
     """All feeds under canonical names in one plan, still as text."""
     def named(k: FilingFeed) -> DataFrame:
         columns = feeds[k.kind].columns
-        return feeds[k.kind].select(
-            F.lit(k.kind).alias("_kind"), F.lit(k.office).alias("_office"), F.lit(k.date_format).alias("_format"),
-            *[source_field(columns, k.fields, n).alias(n) for n in names], *carry,
+        return feeds[k.kind].selectExpr(
+            f"'{k.kind}' AS _kind", f"'{k.office}' AS _office", f"'{k.date_format}' AS _format",
+            *[f"{source_field(columns, k.fields, n)} AS {n}" for n in names], *carry,
         )
 
     return reduce(lambda a, b: a.unionByName(b), [named(k) for k in known if k.kind in feeds])
