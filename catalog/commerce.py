@@ -175,17 +175,17 @@ def standardize_customers(spark, d):
     return customers(spark, d)
 
 
-@query("silver_orders", "SELECT * FROM o_orders")
+@query("silver_orders", "SELECT * FROM o_orders", money=("total_amount",))
 def silver_orders(spark, d):
     return orders(spark, d)
 
 
-@query("silver_order_items", "SELECT * FROM o_items")
+@query("silver_order_items", "SELECT * FROM o_items", money=("unit_price", "line_total",))
 def silver_order_items(spark, d):
     return items(spark, d)
 
 
-@query("standardize_products", "SELECT * FROM o_products")
+@query("standardize_products", "SELECT * FROM o_products", money=("price", "cost",))
 def standardize_products(spark, d):
     return products(spark, d)
 
@@ -306,7 +306,7 @@ SELECT product_id, name AS product_name, category, price AS current_price, cost
 FROM (SELECT product_id, CAST(sum(quantity) AS BIGINT) AS units_sold, sum(line_total) AS revenue,
              count(DISTINCT order_id) AS order_appearances, count(DISTINCT customer_id) AS unique_buyers
       FROM o_items JOIN o_orders USING (order_id) WHERE status IN ('completed', 'shipped', 'processing')
-      GROUP BY product_id) JOIN o_products USING (product_id)""")
+      GROUP BY product_id) JOIN o_products USING (product_id)""", money=("current_price", "current_cost",))
 def product_performance(spark, d):
     return commerce.product_performance(products(spark, d), items(spark, d), orders(spark, d))
 
@@ -315,7 +315,7 @@ def product_performance(spark, d):
 SELECT o.order_id, customer_id, CAST(strftime(order_date, '%Y%m%d') AS BIGINT) AS date_key, order_date, status,
        payment_method, total_amount, coalesce(n, 0) AS item_count, coalesce(u, 0) AS units
 FROM o_orders o LEFT JOIN (SELECT order_id, count(*) AS n, CAST(sum(quantity) AS BIGINT) AS u FROM o_items GROUP BY 1) i
-  ON o.order_id = i.order_id""")
+  ON o.order_id = i.order_id""", money=("total_amount",))
 def fact_orders(spark, d):
     return commerce.fact_orders(orders(spark, d), items(spark, d))
 
@@ -332,7 +332,7 @@ def dim_date(spark, d):
 
 @query("parse_amounts", """
 SELECT o_orderkey, _ingestion_date, amount_raw,
-       try_cast(nullif(regexp_replace(amount_raw, '[^0-9.-]', '', 'g'), '') AS DECIMAL(18,2)) AS amount FROM b_court""")
+       try_cast(nullif(regexp_replace(amount_raw, '[^0-9.-]', '', 'g'), '') AS DECIMAL(18,2)) AS amount FROM b_court""", money=("amount",))
 def parse_amounts(spark, d):
     court = bind(spark, d, "b_court")
     return court.select("o_orderkey", "_ingestion_date", "amount_raw", numbers.amount(F.col("amount_raw")).alias("amount"))

@@ -76,7 +76,7 @@ SELECT j.*, s.suit_id FROM b_judgments j LEFT JOIN o_suits s USING (state_code,
 """
 
 
-@query("lien_expiration", "SELECT * FROM o_dated")
+@query("lien_expiration", "SELECT * FROM o_dated", money=("lien_amount",))
 def lien_expiration(spark, d):
     return dated(spark, d)
 
@@ -93,14 +93,14 @@ def link_suit_judgment(spark, d):
         "judgment_key", "state_code", "case_number", "suit_id")
 
 
-@query("link_judgment_lien", "SELECT * FROM o_linked")
+@query("link_judgment_lien", "SELECT * FROM o_linked", money=("lien_amount",))
 def link_judgment_lien(spark, d):
     return linked(spark, d)
 
 
 @query("xref_chain", """SELECT suit_id, j.state_code, j.judgment_key, judgment_amount, lien_id, lien_amount, confidence
   FROM o_judged j LEFT JOIN (SELECT judgment_key, lien_id, lien_amount, confidence FROM o_linked WHERE judgment_key IS NOT NULL) l
-    ON j.judgment_key = l.judgment_key""")
+    ON j.judgment_key = l.judgment_key""", money=("judgment_amount", "lien_amount",))
 def xref_chain(spark, d):
     return pr.xref_chain(suits(spark, d), judgments(spark, d), linked(spark, d))
 
@@ -111,7 +111,7 @@ FROM o_best b LEFT JOIN (SELECT state_code, case_number, CAST(sum(judgment_amoun
     CAST(sum(n) AS BIGINT) AS lien_count
   FROM (SELECT j.state_code, j.case_number, judgment_amount,
                (SELECT count(*) FROM o_linked l WHERE l.judgment_key = j.judgment_key) AS n FROM b_judgments j) GROUP BY 1, 2) p
-  ON b.state_code = p.state_code AND b.case_number = p.case_number""")
+  ON b.state_code = p.state_code AND b.case_number = p.case_number""", money=("judgment_amount",))
 def suit_best_view_full(spark, d):
     full = pr.suit_best_view_full(best_view(spark, d), judgments(spark, d), linked(spark, d))
     return full.select("suit_id", "state_code", "case_number", "days_open", "judgment_amount", "has_judgment", "lien_count")
@@ -120,7 +120,7 @@ def suit_best_view_full(spark, d):
 @query("lien_best_view", f"""SELECT l.lien_id, l.lien_type, l.state_code, l.filing_date, l.lien_amount, l.lien_status, l.debtor_key,
   expiration_date, is_active, date '{REF}' - l.filing_date AS days_since_filing, suit_id AS related_suit_id,
   k.judgment_key AS related_judgment_key, confidence
-FROM o_dated l JOIN o_linked k ON l.lien_id = k.lien_id LEFT JOIN o_judged j ON k.judgment_key = j.judgment_key""")
+FROM o_dated l JOIN o_linked k ON l.lien_id = k.lien_id LEFT JOIN o_judged j ON k.judgment_key = j.judgment_key""", money=("lien_amount",))
 def lien_best_view(spark, d):
     return pr.lien_best_view(linked(spark, d), pr.lien_rules(spark), judgments(spark, d), suits(spark, d), REF)
 
@@ -129,7 +129,7 @@ def lien_best_view(spark, d):
   judgment_amount, satisfaction_status, satisfaction_date, lien_states IS NOT NULL AS has_lien_recorded, lien_states,
   satisfaction_date - judgment_date AS days_to_satisfaction
 FROM o_judged j LEFT JOIN (SELECT judgment_key, string_agg(DISTINCT state_code, ',' ORDER BY state_code) AS lien_states
-  FROM o_linked GROUP BY 1) l ON j.judgment_key = l.judgment_key""")
+  FROM o_linked GROUP BY 1) l ON j.judgment_key = l.judgment_key""", money=("judgment_amount",))
 def judgment_best_view(spark, d):
     return pr.judgment_best_view(judgments(spark, d), suits(spark, d), linked(spark, d))
 
@@ -169,7 +169,7 @@ SELECT party_key, 'SUIT' AS record_type, suit_id AS record_id, state_code, filin
   NULL::DECIMAL(18,2) AS amount FROM o_suit_parties
 UNION ALL SELECT debtor_key, 'JUDGMENT', state_code || '_' || case_number || '_' || judgment_date, state_code, judgment_date,
   'DEBTOR', judgment_amount FROM b_judgments
-UNION ALL SELECT debtor_key, 'LIEN', lien_id, state_code, filing_date, 'DEBTOR', lien_amount FROM b_liens""")
+UNION ALL SELECT debtor_key, 'LIEN', lien_id, state_code, filing_date, 'DEBTOR', lien_amount FROM b_liens""", money=("amount",))
 def due_diligence(spark, d):
     return pr.due_diligence(suit_parties(spark, d), judgments(spark, d), liens(spark, d))
 
@@ -302,7 +302,7 @@ UNION ALL SELECT 'FEDERAL_TAX_NY_' || c_custkey, 'FEDERAL_TAX', 'NY', NULL, 'COU
   CASE WHEN c_acctbal < 0 THEN date '2000-02-03' END, NULL, c_name, NULL FROM customer WHERE c_nationkey <> 3
 UNION ALL SELECT 'JUDGMENT_FL_' || o_orderkey, 'JUDGMENT', 'FL', 'Dade', 'COUNTY_RECORDER', CAST(o_orderdate AS DATE),
   CAST(o_totalprice AS DECIMAL(18,2)), 'ACTIVE', NULL, 'C-' || o_orderkey, 'John Doe', 'ACME INC'
-  FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT'""")
+  FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT'""", money=("lien_amount",))
 def silver_liens(spark, d):
     from lamella.plans import filings
 
@@ -316,7 +316,7 @@ def silver_liens(spark, d):
 
 
 @query("silver_judgments", """SELECT state_code || '_' || case_number || '_' || judgment_date AS judgment_id, state_code, case_number,
-  judgment_date, judgment_type, judgment_amount, satisfaction_status FROM b_judgments WHERE debtor_key % 50 <> 0""")
+  judgment_date, judgment_type, judgment_amount, satisfaction_status FROM b_judgments WHERE debtor_key % 50 <> 0""", money=("judgment_amount",))
 def silver_judgments(spark, d):
     from lamella.plans import filings
 

@@ -181,7 +181,8 @@ _CANON = ["suit_id", "state_code", "county", "case_number", "case_type", "case_t
 
 
 def _canon_query(st: str):
-    @query(f"canon_{st.lower()}", f"SELECT {', '.join(_CANON)} FROM o_canon WHERE state_code = '{st}'")
+    @query(f"canon_{st.lower()}", f"SELECT {', '.join(_CANON)} FROM o_canon WHERE state_code = '{st}'",
+           money=("amount_demanded",))
     def run(spark, d):
         return canonical(spark, d, [st]).select(*_CANON)
 
@@ -203,7 +204,7 @@ def canon_fed(spark, d):
                       "judge_name", "disposition_date")
 
 
-@query("canon_union", f"SELECT {', '.join(_CANON)} FROM o_suits")
+@query("canon_union", f"SELECT {', '.join(_CANON)} FROM o_suits", money=("amount_demanded",))
 def canon_union(spark, d):
     return suits(spark, d).select(*_CANON)
 
@@ -280,7 +281,7 @@ def frequent_litigants(spark, d):
     return records.frequent_litigants(parties_of(s).drop("filing_date"), s)
 
 
-@query("suit_best_view", "SELECT * FROM o_best")
+@query("suit_best_view", "SELECT * FROM o_best", money=("amount_demanded",))
 def suit_best_view(spark, d):
     return best_view(spark, d)
 
@@ -357,7 +358,7 @@ def open_cases_snapshot(spark, d):
   days_open, amount_demanded, primary_plaintiff, primary_defendant, judge_name, cause_of_action, disposition,
   disposition_date, coalesce(primary_plaintiff, '') || ' ' || coalesce(primary_defendant, '') || ' ' ||
   coalesce(case_number, '') || ' ' || coalesce(cause_of_action, '') || ' ' || coalesce(judge_name, '') AS search_text
-FROM o_best WHERE case_status <> 'SEALED'""")
+FROM o_best WHERE case_status <> 'SEALED'""", money=("amount_demanded",))
 def suit_search(spark, d):
     return records.suit_search(best_view(spark, d))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from catalog.bindings import with_bindings
 
@@ -14,14 +15,27 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
-    """Register a query; without ``oracle`` only its rows are checked."""
+def query(name: str, oracle: str | None = None, money: tuple[str, ...] = ()) -> Callable[[Query], Query]:
+    """Register a query; without ``oracle`` only its rows are checked.
+
+    ``money`` names decimal result columns. They are compared as doubles, because clients show decimals of the
+    two engines differently (``1.50`` and ``1.5``).
+    """
 
     def add(fn: Query) -> Query:
         assert name not in QUERIES, name
-        QUERIES[name] = fn
+
+        def as_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(spark, sf_dir).withColumns({c: F.col(c).cast("double") for c in money})
+
+        QUERIES[name] = as_double if money else fn
         if oracle is not None:
-            ORACLES[name] = with_bindings(oracle)
+            if money:
+                casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in money)
+                oracle_sql = f"SELECT * REPLACE ({casts}) FROM ({oracle})"
+            else:
+                oracle_sql = oracle
+            ORACLES[name] = with_bindings(oracle_sql)
         return fn
 
     return add
