@@ -23,8 +23,8 @@ def salted_join(
     without a key match nothing and are spread too. The hash makes a retried task repeat its choice.
     """
     total = right.select(F.sum(rows)).scalar()
-    splits = F.ceil(F.col(rows) * share / total).cast("int")
-    is_hot = F.col(rows) * share >= total
+    splits = F.ceil(F.try_divide(F.col(rows) * share, total)).cast("int")
+    is_hot = (F.col(rows) * share >= total) & (F.col(rows) > 0)
     hot = right.where(is_hot).select(*on, splits.alias("_splits"))
     copies = F.when(is_hot, F.sequence(F.lit(0), splits - 1)).otherwise(F.array(F.lit(0)))
 
