@@ -114,3 +114,18 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
         links.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     )
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, keep: Column | None = None,
+                    text: str = "text", doc_id: str = "doc_id") -> list:
+    """Rows (text, label) of about ``most`` labelled documents, at most, in a fixed order: those of smallest id hash.
+
+    A count tells which hashes to take, so only chosen texts reach the driver. Documents that occur several times count
+    several times; labels that disagree on an id are each used.
+    """
+    slim = labels.where(F.col(label).isNotNull()) if keep is None else labels.where(F.col(label).isNotNull() & keep)
+    slim = slim.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"), F.xxhash64(F.col(doc_id)).alias("h"))
+    below = 2.0**64 * min(1.0, most / max(1, slim.count())) - 2.0**63
+    chosen = slim.where(F.col("h").cast("double") <= below)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL").join(chosen, "doc_id")
+    return sorted(rows.orderBy("h", F.md5("text")).limit(most).collect(), key=lambda r: (r.h, r.text))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamella.llm import chat, mixing, sharding
+from lamella.llm import chat, compression, decontamination, language, mixing, secrets, sharding, toxicity
 from lamella.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,42 @@ def op1_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.with_slots(rows).withColumn("slot", F.col("slot").cast("long"))
 
 
+def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = compression.fit(docs, documents(spark, sf_dir, "labels"), keep=~compression.held_out())
+    return docs.select(
+        "doc_id", compression.held_out().alias("held_out"), compression.scorer(model)(F.col("text")).alias("score")
+    ).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op3_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    profiles = language.learn_profiles(docs, keep=~language.held_out())
+    return language.identify(docs, profiles).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op4_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Added spans are the opaque tokens that look live; of the base ones none is taken away."""
+    found = secrets.scan(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"] != "opaque")
+    line = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda test: F.size(F.filter("spans", test)).cast("long")
+    of_kind = lambda k: count(lambda s: s["kind"] == k).alias(f"n_{k}")
+    return found.select(
+        "doc_id", of_kind("assign"), of_kind("access"), of_kind("hex"),
+        F.sha2(line(base), 256).alias("base_sha256"),
+        line(F.filter("spans", lambda s: (s["kind"] != "opaque") | s["live"])).alias("spans"),
+        count(lambda s: s["live"]).alias("n_live"), count(lambda s: ~s["live"]).alias("n_copied"))
+
+
+def op7_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.fit(docs, documents(spark, sf_dir, "labels"), keep=~toxicity.held_out())
+    return docs.select(
+        "doc_id", toxicity.held_out().alias("held_out"), toxicity.scorer(model)(F.col("text")).alias("score")
+    ).withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = r"\### Assistant: </turn> ok"
     own = documents(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -39,9 +75,15 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, sf_dir), weights=(3, 1, 2), share=1.5, epochs=2.0)
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_jump_shards, op8_chat_format, op10_mix_sources)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (
+    op1_jump_shards, op2_compression_quality, op3_language_profiles, op4_secret_ownership, op7_counterfactual_toxicity,
+    op8_chat_format, op9_benchmark_leaks, op10_mix_sources)}
 ORACLES: dict[str, str] = {}

@@ -111,7 +111,7 @@ def test_mixing_query(spark, sf):
     order = sorted(size)
     assert [target[s] for s in order] == pytest.approx(shared_targets([size[s] for s in order], (3, 1, 2), 1.5, 2.0))
     assert all(abs(taken[s] - target[s]) <= longest[s] / 2 + 1 for s in order)
-    assert sum(taken.values()) == pytest.approx(sum(target.values()), rel=0.02)
+    assert sum(taken.values()) == pytest.approx(sum(target.values()), rel=0.05)
     assert sorted(map(tuple, rows)) == sorted(map(tuple, queries.op10_mix_sources(spark, sf).collect()))
 
 
