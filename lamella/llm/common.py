@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,16 +71,17 @@ def join_small(big: DataFrame, small: DataFrame, on: str, max_rows: int = 100_00
     return big.join(small, on, "left")
 
 
-def slices(series: pd.Series, max_chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: Sequence[str | None], max_chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Cut a batch of texts into runs of at most ``max_chars``, or of one text, so that work arrays stay small."""
     start, held = 0, 0
-    for i, n in enumerate(series.str.len().fillna(0).astype(int)):
+    for i, t in enumerate(texts):
+        n = len(t or "")
         if i > start and held + n > max_chars:
             yield start, i
             start, held = i, 0
         held += n
-    if start < len(series):
-        yield start, len(series)
+    if start < len(texts):
+        yield start, len(texts)
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -91,9 +91,15 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     large-star and small-star); the number of rounds grows with the logarithm of a component's size. Each round is
     written to the shared folder. Null ends and loops are ignored; a table without links gives no rows.
     """
+    def digest_of(table: DataFrame) -> tuple:
+        """Equal for equal sets of links."""
+        h = F.xxhash64("a", "b")
+        return tuple(table.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(F.shiftright(h, 32))).first())
+
     links = staged(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name
     )
+    seen = digest_of(links)
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
@@ -106,10 +112,9 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             .unionByName(least.select("a", F.col("m").alias("b"))).distinct()
         )
         new = staged(small, name)
-        same = new.join(links, ["a", "b"], "left_anti").isEmpty() and links.join(new, ["a", "b"], "left_anti").isEmpty()
         discard(links)
-        links = new
-        if same:
+        links, before, seen = new, seen, digest_of(new)
+        if seen == before:
             break
     return links.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
         links.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()

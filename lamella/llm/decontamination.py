@@ -162,8 +162,9 @@ def _searcher(items: list[tuple[int, str]], threshold: float, overlap: float):
         hasher = WordHasher(PUNCTUATION)
         for texts in batches:
             out: list[list[dict]] = []
-            for a, b in slices(texts):
-                for leaks in _scan(texts.iloc[a:b].tolist(), index, hasher, threshold, overlap):
+            every = texts.tolist()
+            for a, b in slices(every):
+                for leaks in _scan(every[a:b], index, hasher, threshold, overlap):
                     out.append([dict(zip(("item_id", "score", "question", "answer"), x, strict=True)) for x in leaks])
             yield pd.Series(out)
 
