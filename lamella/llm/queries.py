@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamella.llm import chat, compression, decontamination, language, mixing, ngram_join, secrets, sharding, toxicity
+from lamella.llm import chat, compression, decontamination, imatch, language, mixing, ngram_join, secrets, sharding, toxicity
 from lamella.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,11 @@ def op4_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         count(lambda s: s["live"]).alias("n_live"), count(lambda s: ~s["live"]).alias("n_copied"))
 
 
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return imatch.compare_with_edits(docs, imatch.learn_lexicon(docs))
+
+
 def op6_ngram_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.group_by_ngrams(documents(spark, sf_dir), n=3, percent=90)
 
@@ -88,6 +93,6 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_jump_shards, op2_compression_quality, op3_language_profiles, op4_secret_ownership, op6_ngram_groups, op7_counterfactual_toxicity,
+    op1_jump_shards, op2_compression_quality, op3_language_profiles, op4_secret_ownership, op5_imatch, op6_ngram_groups, op7_counterfactual_toxicity,
     op8_chat_format, op9_benchmark_leaks, op10_mix_sources)}
 ORACLES: dict[str, str] = {}
