@@ -1,10 +1,10 @@
 """Exact n-gram Jaccard join by vertical partitioning, and the groups that its links form.
 
-The distinct n-grams of all texts stand in one global order: n-grams that many texts share come last, by count, all others
-before them by hash. Two sets at least ``percent`` % alike share one of the first few n-grams of either (its prefix), so
-texts that can link are found by prefix; sets that are equal count as one class all along. Candidate groups are compared
-in blocks: the order is cut into fragments, overlaps are counted in each fragment alone and summed per pair. A block
-returns a spanning forest of its links, never all pairs of a group.
+The global order of n-grams (by hash) is cut into fragments. Sets that link differ in a bounded number of n-grams, so
+with more fragments than that at least one fragment is the same on both sides: texts are compared if they agree in a
+whole fragment, which shared passages alone do not bring about. Candidate groups are then compared in blocks: overlaps
+are counted in each fragment of their common n-grams and summed per pair. Sets that are equal count as one class all
+along, and a block returns a spanning forest of its links, never all pairs of a group.
 """
 
 from __future__ import annotations
@@ -20,11 +20,9 @@ from pyspark.sql import functions as F
 from lamella.llm.common import components, discard, slices, staged
 from lamella.llm.words import BLANKS, WordHasher, mix64
 
-#: Frequent n-grams that one task reports and that the global order knows, at most. They change its speed only.
-FREQUENT_A_TASK, FREQUENT = 4096, 131_072
 #: Classes of a block; groups of more are compared block against block.
 BLOCK = 512
-#: N-grams of a fragment.
+#: N-grams of a fragment in which overlaps are counted.
 FRAGMENT = 4096
 
 
@@ -57,85 +55,79 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
     return tuple(int(mix64(s ^ np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0 for k in (0x243F6A8885A308D3, 0x13198A2E03707344))
 
 
-class _Frequent:
-    """Lossy counting: the most frequent n-grams of a task in bounded memory."""
-
-    def __init__(self, room: int = 2_000_000):
-        self.room, self.held, self.size = room, [], 0
-        self.grams, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-
-    def add(self, s: np.ndarray) -> None:
-        self.held.append(s)
-        self.size += len(s)
-        if self.size > self.room:
-            self.settle()
-
-    def settle(self) -> None:
-        grams, at = np.unique(np.concatenate([self.grams, *self.held]), return_inverse=True)
-        counts = np.bincount(at, np.concatenate([self.counts, np.ones(len(at) - len(self.counts), np.int64)]), len(grams)).astype(np.int64)
-        keep = np.argsort(-counts, kind="stable")[: self.room // 8]
-        self.grams, self.counts, self.held, self.size = grams[keep], counts[keep], [], 0
-
-    def most(self) -> tuple[np.ndarray, np.ndarray]:
-        self.settle()
-        top = np.flatnonzero(self.counts[:FREQUENT_A_TASK] >= 3)
-        return self.grams[top], self.counts[top]
-
-
 def _signatures(slim: DataFrame, n: int) -> DataFrame:
-    """Rows (doc_id, n, c1, c2) of all texts, and rows (gram, hits) of each task's frequent n-grams; staged."""
+    """(doc_id, n, c1, c2): the size and the signature of every text's set; staged."""
     kind = slim.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, frequent, seen, id_type = NgramSets(n), _Frequent(), set(), pa.int64()
+        sets = NgramSets(n)
         for batch in batches:
-            ids, texts, id_type = batch.column(0), batch.column(1).to_pylist(), batch.column(0).type
-            out = []
+            texts, out = batch.column(1).to_pylist(), []
             for a, b in slices(texts):
-                for s in sets(texts[a:b]):
-                    sign = _signature(s)
-                    out.append((len(s), *sign))
-                    if sign not in seen:  # copies inside a task count once
-                        seen.add(sign)
-                        frequent.add(s)
-            size, c1, c2 = (pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.int64())))
-            none = pa.nulls(len(out), pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, size, c1, c2, none, none], names=["doc_id", "n", "c1", "c2", "gram", "hits"])
-        grams, counts = frequent.most()
-        none = pa.nulls(len(grams), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(grams), id_type), pa.nulls(len(grams), pa.int32()), none, none, pa.array(grams.view(np.int64)), pa.array(counts)],
-            names=["doc_id", "n", "c1", "c2", "gram", "hits"])
+                out += [(len(s), *_signature(s)) for s in sets(texts[a:b])]
+            columns = [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "c1", "c2"])
+
+    return staged(slim.mapInArrow(work, f"doc_id {kind}, n int, c1 long, c2 long"), "ngram-sets")
 
-    return staged(slim.mapInArrow(work, f"doc_id {kind}, n int, c1 long, c2 long, gram long, hits long"), "ngram-sets")
 
+class Fragments:
+    """Which fragments of a set are looked up, so that any two sets that link agree in one.
 
-def _prefixes(slim: DataFrame, n: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(gram, c1): the prefix n-grams of every class, once a task."""
-    known, place = frequent
+    Sizes fall into classes, each reaching three times as far (in powers of 100 / percent) as linked sizes can lie apart.
+    A set is cut for its own class, and for the one below if it can link with a set there. For a class, ``differ`` is the
+    most n-grams in which linked sets of it can differ; there are more fragments than that, with one to spare. An empty
+    fragment is looked up only by a set that has so many of them that they might be the only ones it shares.
+    """
+
+    def __init__(self, percent: int):
+        self.percent = percent
+        self.bounds = [1]  # first size of each class
+
+    def _class_of(self, size: int) -> int:
+        while self.bounds[-1] <= size:
+            self.bounds.append(max(self.bounds[-1] + 1, int(self.bounds[-1] * (100 / self.percent) ** 3)))
+        return int(np.searchsorted(self.bounds, size, side="right")) - 1
+
+    def __call__(self, s: np.ndarray) -> np.ndarray:
+        """Hashes of the fragments of a set, with class and place."""
+        own, out = self._class_of(len(s)), []
+        spread = mix64(s ^ np.uint64(0x452821E638D01377))
+        for c in (own, own - 1):
+            if c < 0 or (c < own and self.percent * len(s) > 100 * (self.bounds[own] - 1)):
+                continue
+            small = self.bounds[c + 1] - 1  # linked sets: the smaller has at most so many, the larger 100 / percent times that
+            differ = (100 - self.percent) * (small + small * 100 // self.percent) // (100 + self.percent)
+            count = differ + 1 + (differ > 0)
+            place = ((s >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
+            first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+            sums, places = np.add.reduceat(spread, first), place[first]
+            if count - len(first) >= count - differ:
+                empty = np.setdiff1d(np.arange(count, dtype=np.uint64), places)
+                sums, places = np.concatenate([sums, np.zeros(len(empty), np.uint64)]), np.concatenate([places, empty])
+            out.append(mix64(mix64(sums + places) + np.uint64(c + 1)))
+        return np.concatenate(out)
+
+
+def _fragments(slim: DataFrame, n: int, percent: int) -> DataFrame:
+    """(fragment, c1): the fragments that every class is looked up by, once a task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, seen = NgramSets(n), set()
+        sets, fragments, seen = NgramSets(n), Fragments(percent), set()
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in slices(texts):
-                grams, classes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+                found, classes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
                 for s in sets(texts[a:b]):
                     sign = _signature(s)
-                    if not len(s) or sign in seen:
-                        continue
-                    seen.add(sign)
-                    if len(known):
-                        at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                        late = known[at] == s
-                        s = np.concatenate([s[~late], s[late][np.argsort(place[at[late]], kind="stable")]])
-                    prefix = s[: len(s) - (-(-percent * len(s) // 100)) + 1]
-                    grams.append(prefix)
-                    classes.append(np.full(len(prefix), sign[0], np.int64))
+                    if len(s) and sign not in seen:
+                        seen.add(sign)
+                        found.append(fragments(s))
+                        classes.append(np.full(len(found[-1]), sign[0], np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(classes))], names=["gram", "c1"])
+                    [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(classes))], names=["fragment", "c1"])
 
-    return slim.select("doc_id", "text").mapInArrow(work, "gram long, c1 long")
+    return slim.mapInArrow(work, "fragment long, c1 long")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -201,18 +193,10 @@ def group_by_ngrams(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     """
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     with_id = slim.where("doc_id IS NOT NULL")
-    both = _signatures(slim, n)
-    sets = both.where("gram IS NULL").select("doc_id", "n", "c1", "c2")
-    frequent = both.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("hits").alias("hits")).orderBy(F.desc("hits"), "gram").limit(FREQUENT).toPandas()
-    grams = frequent["gram"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(grams)
-    place = np.empty(len(grams), np.int64)
-    place[:] = np.arange(len(grams))[::-1]  # the most frequent comes last
-    ordered = (grams[order], place[order])
-
-    # each class hangs on the smallest class of every prefix n-gram it has
-    postings = _prefixes(with_id, n, percent, ordered)
-    least = F.expr("min(c1) OVER (PARTITION BY gram)")
+    sets = _signatures(slim, n)
+    # each class hangs on the smallest class of every fragment it has
+    postings = _fragments(with_id, n, percent)
+    least = F.expr("min(c1) OVER (PARTITION BY fragment)")
     edges = staged(postings.select("c1", least.alias("m")).where("c1 <> m").select(F.col("c1").alias("a"), F.col("m").alias("b")).distinct(), "ngram-candidates")
     groups = components(edges, "ngram-groups")
 
