@@ -137,9 +137,11 @@ def compare_with_edits(docs: DataFrame, lexicon: DataFrame, text: str = "text",
     rows without id have no next document: their last quarter is cut. Columns: doc_id, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited, near_next.
     """
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # an alias only where it renames: the two joins must read texts by the same plan for Spark to shuffle them once
+    id_column = F.col(doc_id) if doc_id == "doc_id" else F.col(doc_id).alias("doc_id")
+    base = docs.select(id_column, F.coalesce(F.col(text), F.lit("")).alias("text"))
     alone = base.where("doc_id IS NULL").withColumns({"next_id": F.col("doc_id"), "head": F.lit("")})
-    base = base.where("doc_id IS NOT NULL")  # both joins read this alike, so Spark shuffles the texts once
+    base = base.where("doc_id IS NOT NULL")
     ids = base.groupBy("doc_id").agg((F.max(F.length("text")) / 4).cast("int").alias("room"), F.count(F.lit(1)).alias("rows"))
     links = staged(ring(ids), "imatch-ring")
     repeated = not links.where("rows > 1").isEmpty()
@@ -149,7 +151,10 @@ def compare_with_edits(docs: DataFrame, lexicon: DataFrame, text: str = "text",
         heads = heads.groupBy("doc_id", "next_id").agg(F.min("head").alias("head"))
     n, cut = F.length("text"), (F.length("text") / 4).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - cut), F.coalesce(F.substr("head", F.lit(1), cut), F.lit("")))
-    rows = base.join(heads, "doc_id").unionByName(alone).select("doc_id", "next_id", "text", edited.alias("edited"), n.cast("long").alias("n_chars"))
+    rows = base.join(heads, "doc_id")
+    if not alone.isEmpty():
+        rows = rows.unionByName(alone)
+    rows = rows.select("doc_id", "next_id", "text", edited.alias("edited"), n.cast("long").alias("n_chars"))
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
     marked = staged(mark_texts(rows, {"marks": "text", "edited_marks": "edited"}, lexicon), "imatch-marks")
     following = marked.select(F.col("doc_id").alias("next_id"), F.col("marks").alias("next_marks")).where("next_id IS NOT NULL")
