@@ -220,7 +220,8 @@ def group_by_ngrams(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
                     [rows.column(x) for x in ("rep", "c1", "label", "blocks")] + [pa.array([own[i - a].tobytes() for i in right], pa.binary())],
                     names=["rep", "c1", "label", "blocks", "grams"])
 
-    found = with_id.join(placed.withColumn("doc_id", F.col("rep")), "doc_id").select("text", "rep", "c1", "c2", "label", "blocks")
+    # members grow with the documents, so they are never broadcast, not even where they happen to be few
+    found = with_id.join(placed.withColumn("doc_id", F.col("rep")).hint("merge"), "doc_id").select("text", "rep", "c1", "c2", "label", "blocks")
     found = found.mapInArrow(read_sets, f"rep {kind}, c1 long, label long, blocks int, grams binary")
     own = F.pmod(F.xxhash64("c1"), F.col("blocks")).cast("int")
     spread = (
@@ -260,7 +261,7 @@ def keep_one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80, text:
     gone = grouped.where("doc_id <> component_id").select("doc_id").distinct()
     repeated = staged(
         grouped.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id"), "ngram-repeated")
-    kept = docs.join(gone.withColumnRenamed("doc_id", "_gone"), F.col(doc_id) == F.col("_gone"), "left_anti")
+    kept = docs.join(gone.withColumnRenamed("doc_id", "_gone").hint("merge"), F.col(doc_id) == F.col("_gone"), "left_anti")
     if repeated.isEmpty():
         return kept
     repeated = repeated.withColumnRenamed("doc_id", "_again")
