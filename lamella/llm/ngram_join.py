@@ -2,7 +2,9 @@
 
 The global order of n-grams (by hash) is cut into fragments. Sets that link differ in a bounded number of n-grams, so
 with more fragments than that at least one fragment is the same on both sides: texts are compared if they agree in a
-whole fragment, which shared passages alone do not bring about. Candidate groups are then compared in blocks: overlaps
+whole fragment. Fragments that hold nothing but n-grams of many texts are not looked up, unless a set has so many of
+them that it might share no others; and a text must agree with others in as many fragments as any link brings about. So
+passages that texts share do not make candidates. Candidate groups are then compared in blocks: overlaps
 are counted in each fragment of their common n-grams and summed per pair. Sets that are equal count as one class all
 along, and a block returns a spanning forest of its links, never all pairs of a group.
 """
@@ -20,6 +22,10 @@ from pyspark.sql import functions as F
 from lamella.llm.common import components, discard, slices, staged
 from lamella.llm.words import BLANKS, WordHasher, mix64
 
+#: Frequent n-grams that one task reports, and that are known to all, at most. They change the candidates only.
+FREQUENT_A_TASK, FREQUENT = 8192, 131_072
+#: Sets of a fragment whose pairs are counted, at most.
+CROWD = 64
 #: Classes of a block; groups of more are compared block against block.
 BLOCK = 512
 #: N-grams of a fragment in which overlaps are counted.
@@ -55,20 +61,57 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
     return tuple(int(mix64(s ^ np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0 for k in (0x243F6A8885A308D3, 0x13198A2E03707344))
 
 
+class _Frequent:
+    """Lossy counting: the most frequent n-grams of a task in bounded memory."""
+
+    def __init__(self, room: int = 2_000_000):
+        self.room, self.held, self.size = room, [], 0
+        self.grams, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+
+    def add(self, s: np.ndarray) -> None:
+        self.held.append(s)
+        self.size += len(s)
+        if self.size > self.room:
+            self._settle()
+
+    def _settle(self) -> None:
+        grams, at = np.unique(np.concatenate([self.grams, *self.held]), return_inverse=True)
+        counts = np.bincount(at, np.concatenate([self.counts, np.ones(len(at) - len(self.counts), np.int64)]), len(grams)).astype(np.int64)
+        keep = np.argsort(-counts, kind="stable")[: self.room // 8]
+        self.grams, self.counts, self.held, self.size = grams[keep], counts[keep], [], 0
+
+    def most(self) -> tuple[np.ndarray, np.ndarray]:
+        self._settle()
+        top = np.flatnonzero(self.counts[:FREQUENT_A_TASK] >= 3)
+        return self.grams[top], self.counts[top]
+
+
 def _signatures(slim: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n, c1, c2): the size and the signature of every text's set; staged."""
+    """Rows (doc_id, n, c1, c2), the size and signature of every text's set, and (gram, hits) of each task's frequent
+    n-grams; staged."""
     kind = slim.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "n", "c1", "c2", "gram", "hits"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = NgramSets(n)
+        sets, frequent, seen, id_type = NgramSets(n), _Frequent(), set(), pa.int64()
         for batch in batches:
-            texts, out = batch.column(1).to_pylist(), []
+            texts, out, id_type = batch.column(1).to_pylist(), [], batch.column(0).type
             for a, b in slices(texts):
-                out += [(len(s), *_signature(s)) for s in sets(texts[a:b])]
+                for s in sets(texts[a:b]):
+                    sign = _signature(s)
+                    out.append((len(s), *sign))
+                    if sign not in seen:  # copies inside a task count once
+                        seen.add(sign)
+                        frequent.add(s)
             columns = [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "c1", "c2"])
+            none = pa.nulls(len(out), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, none, none], names=names)
+        grams, counts = frequent.most()
+        none = pa.nulls(len(grams), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(grams), id_type), pa.nulls(len(grams), pa.int32()), none, none, pa.array(grams.view(np.int64)), pa.array(counts)], names=names)
 
-    return staged(slim.mapInArrow(work, f"doc_id {kind}, n int, c1 long, c2 long"), "ngram-sets")
+    return staged(slim.mapInArrow(work, f"doc_id {kind}, n int, c1 long, c2 long, gram long, hits long"), "ngram-sets")
 
 
 class Fragments:
@@ -76,12 +119,13 @@ class Fragments:
 
     Sizes fall into classes, each reaching three times as far (in powers of 100 / percent) as linked sizes can lie apart.
     A set is cut for its own class, and for the one below if it can link with a set there. For a class, ``differ`` is the
-    most n-grams in which linked sets of it can differ; there are more fragments than that, with one to spare. An empty
-    fragment is looked up only by a set that has so many of them that they might be the only ones it shares.
+    most n-grams in which linked sets of it can differ; there are ``spare`` more fragments than that, and at least so many
+    are the same in linked sets. So a set with fewer than ``spare`` fragments that are empty leaves these out, and one with
+    fewer than ``spare`` that are empty or hold only ``frequent`` n-grams leaves out all of those.
     """
 
-    def __init__(self, percent: int):
-        self.percent = percent
+    def __init__(self, percent: int, frequent: np.ndarray):
+        self.percent, self.frequent = percent, frequent
         self.bounds = [1]  # first size of each class
 
     def _class_of(self, size: int) -> int:
@@ -89,45 +133,97 @@ class Fragments:
             self.bounds.append(max(self.bounds[-1] + 1, int(self.bounds[-1] * (100 / self.percent) ** 3)))
         return int(np.searchsorted(self.bounds, size, side="right")) - 1
 
-    def __call__(self, s: np.ndarray) -> np.ndarray:
-        """Hashes of the fragments of a set, with class and place."""
-        own, out = self._class_of(len(s)), []
+    def __call__(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the fragments of a set, their classes, and in how many of a class it must agree with any linked set."""
+        own, out, of, need = self._class_of(len(s)), [], [], []
         spread = mix64(s ^ np.uint64(0x452821E638D01377))
+        rare = np.ones(len(s), np.int64)
+        if len(self.frequent):
+            rare[self.frequent[np.minimum(np.searchsorted(self.frequent, s), len(self.frequent) - 1)] == s] = 0
         for c in (own, own - 1):
             if c < 0 or (c < own and self.percent * len(s) > 100 * (self.bounds[own] - 1)):
                 continue
             small = self.bounds[c + 1] - 1  # linked sets: the smaller has at most so many, the larger 100 / percent times that
             differ = (100 - self.percent) * (small + small * 100 // self.percent) // (100 + self.percent)
-            count = differ + 1 + (differ > 0)
+            spare = 1 + (differ > 0) + differ // 4
+            count = differ + spare
             place = ((s >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
             first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-            sums, places = np.add.reduceat(spread, first), place[first]
-            if count - len(first) >= count - differ:
+            sums, places, telling = np.add.reduceat(spread, first), place[first], np.add.reduceat(rare, first) > 0
+            least = 1  # a linked set may leave out what this one looks up
+            if count - telling.sum() < spare:
+                sums, places = sums[telling], places[telling]
+                least = spare - (count - len(sums))
+            elif count - len(first) >= spare:
                 empty = np.setdiff1d(np.arange(count, dtype=np.uint64), places)
                 sums, places = np.concatenate([sums, np.zeros(len(empty), np.uint64)]), np.concatenate([places, empty])
             out.append(mix64(mix64(sums + places) + np.uint64(c + 1)))
-        return np.concatenate(out)
+            of.append(np.full(len(sums), c, np.int32))
+            need.append(np.full(len(sums), least, np.int32))
+        return np.concatenate(out), np.concatenate(of), np.concatenate(need)
 
 
-def _fragments(slim: DataFrame, n: int, percent: int) -> DataFrame:
-    """(fragment, c1): the fragments that every class is looked up by, once a task."""
+def _fragments(slim: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    """(fragment, c1, size_class, need): the fragments that every class of sets is looked up by, once a task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, fragments, seen = NgramSets(n), Fragments(percent), set()
+        sets, fragments, seen = NgramSets(n), Fragments(percent, frequent), set()
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in slices(texts):
-                found, classes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+                found, classes = [(np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int32))], [np.empty(0, np.int64)]
                 for s in sets(texts[a:b]):
                     sign = _signature(s)
                     if len(s) and sign not in seen:
                         seen.add(sign)
                         found.append(fragments(s))
-                        classes.append(np.full(len(found[-1]), sign[0], np.int64))
+                        classes.append(np.full(len(found[-1][0]), sign[0], np.int64))
+                out, of, need = (np.concatenate(x) for x in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(classes))], names=["fragment", "c1"])
+                    [pa.array(out.view(np.int64)), pa.array(np.concatenate(classes)), pa.array(of), pa.array(need)],
+                    names=["fragment", "c1", "size_class", "need"])
 
-    return slim.mapInArrow(work, "fragment long, c1 long")
+    return slim.mapInArrow(work, "fragment long, c1 long, size_class int, need int")
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """Rows whose fragment other sets have too."""
+    own = rows.select("fragment", "c1", "size_class", "need", F.expr("min(c1) OVER (PARTITION BY fragment)").alias("first"),
+                      F.expr("max(c1) OVER (PARTITION BY fragment)").alias("last"), F.expr("count(*) OVER (PARTITION BY fragment)").alias("crowd"))
+    return staged(own.where("first <> last").drop("last"), "ngram-shared")
+
+
+def _plausible(rows: DataFrame, rounds: int = 4) -> DataFrame:
+    """Shared fragments of the sets that agree with others in enough of them, looked at again as others drop out.
+
+    Sets that link never drop out, however many rounds there are.
+    """
+    shared = _shared(rows)
+    for _ in range(rounds):
+        enough = shared.groupBy("c1", "size_class").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("least")).where("n >= least")
+        fewer = _shared(shared.join(enough.select("c1", "size_class"), ["c1", "size_class"]))
+        before, after = shared.count(), fewer.count()
+        discard(shared)
+        shared = fewer
+        if before == after:
+            break
+    return shared
+
+
+def _candidates(shared: DataFrame) -> DataFrame:
+    """(a, b): links that join all sets which may be alike into one group.
+
+    In fragments of few sets the pairs are counted, and a pair that has no other fragment in common needs as many as any
+    link brings about. In a fragment of more sets all hang on the smallest one.
+    """
+    few = shared.where(F.col("crowd") <= CROWD).select("fragment", "size_class", "c1", "need")
+    other = few.select("fragment", F.col("c1").alias("c2"), F.col("need").alias("need_2"))
+    pairs = (
+        few.join(other.hint("merge"), "fragment").where("c1 < c2").groupBy("size_class", "c1", "c2")
+        .agg(F.count(F.lit(1)).alias("n"), F.max(F.least("need", "need_2")).alias("least")).where("n >= least")
+    )
+    hung = shared.where((F.col("crowd") > CROWD) & (F.col("c1") != F.col("first"))).select(F.col("c1").alias("a"), F.col("first").alias("b"))
+    return pairs.select(F.col("c1").alias("a"), F.col("c2").alias("b")).unionByName(hung).distinct()
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -193,11 +289,13 @@ def group_by_ngrams(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     """
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     with_id = slim.where("doc_id IS NOT NULL")
-    sets = _signatures(slim, n)
-    # each class hangs on the smallest class of every fragment it has
-    postings = _fragments(with_id, n, percent)
-    least = F.expr("min(c1) OVER (PARTITION BY fragment)")
-    edges = staged(postings.select("c1", least.alias("m")).where("c1 <> m").select(F.col("c1").alias("a"), F.col("m").alias("b")).distinct(), "ngram-candidates")
+    both = _signatures(slim, n)
+    sets = both.where("gram IS NULL").select("doc_id", "n", "c1", "c2")
+    common = both.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("hits").alias("hits")).orderBy(F.desc("hits"), "gram").limit(FREQUENT)
+    frequent = np.sort(np.array([r.gram for r in common.select("gram").collect()], np.int64).view(np.uint64))
+    shared = _plausible(_fragments(with_id, n, percent, frequent))
+    edges = staged(_candidates(shared), "ngram-candidates")
+    discard(shared)
     groups = components(edges, "ngram-groups")
 
     classes = sets.where("doc_id IS NOT NULL AND n > 0").groupBy("n", "c1", "c2").agg(F.min("doc_id").alias("rep"))
