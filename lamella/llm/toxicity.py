@@ -19,7 +19,7 @@ from lamella.llm.common import fresh, id_fold, labelled_sample
 
 THRESHOLD = 0.7
 #: Labelled texts that the model is fitted on, at most; those of smallest id hash.
-FIT_TEXTS = 8000
+FIT_TEXTS = 4000
 #: Features that the model looks at, at most; those that tell most about the label.
 FEATURES = 6000
 #: Terms of one line replace each other.
