@@ -54,7 +54,6 @@ def find_candidates(text: str) -> list[tuple[str, int, int, str]]:
     return [(k, s, e, hashlib.md5(v.encode("utf-8", "surrogatepass")).hexdigest()) for k, s, e, v in found]
 
 
-@F.pandas_udf(_SPANS)
 def _candidates(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
         yield pd.Series([[dict(zip(("kind", "start", "end", "secret"), c, strict=True)) for c in find_candidates(t)] if t else []
@@ -72,7 +71,7 @@ def scan(docs: DataFrame, text: str = "text", repository: str = "source", doc_id
     """
     found = staged(docs.select(
         F.col(doc_id).alias("doc_id"), F.col(repository).cast("string").alias("repository"),
-        F.coalesce(F.xxhash64(text), F.lit(0)).alias("owner"), _candidates(text).alias("spans")), "secrets")
+        F.coalesce(F.xxhash64(text), F.lit(0)).alias("owner"), F.pandas_udf(_candidates, _SPANS)(text).alias("spans")), "secrets")
     # one row for each distinct text that holds anything, so many copies of a text are looked up once
     texts = found.where(F.size("spans") > 0).groupBy("owner").agg(F.first("spans").alias("spans"))
     holders = found.where(F.size("spans") > 0).select(
