@@ -164,14 +164,8 @@ def _parts(name: str) -> list[str]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table.
-
-    A table of fewer files than cores (the small test tables are one file with one row group each) would be
-    processed by as many tasks as it has files, so its rows are spread first. Larger tables are left alone.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, df.columns[0]) if len(df.inputFiles()) < cores else df
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def bind(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -81,7 +81,7 @@ def rename_fields(feed: DataFrame, mapping: CourtMapping, carry: list[str]) -> D
 def harmonize(df: DataFrame, codes: DataFrame, raw: str, into: str, default: str) -> DataFrame:
     """Map ``raw`` through ``codes(state_code, raw, canonical)``, a table fixed by configuration."""
     lookup = codes.select("state_code", F.col("raw").alias(raw), F.col("canonical").alias(into))
-    return df.join(F.broadcast(lookup), ["state_code", raw], "left").withColumn(into, F.coalesce(into, F.lit(default)))
+    return df.join(lookup, ["state_code", raw], "left").withColumn(into, F.coalesce(into, F.lit(default)))
 
 
 def canonicalize(

@@ -105,6 +105,9 @@ def run_records(
 
     A court whose source fails stops the run instead of silently going missing.
     """
+    unknown = {s.name for s in specs} - {c.state for c in COURTS}
+    if unknown:
+        raise ValueError(f"no court mapping for {sorted(unknown)}")
     layers = Layers(spark, root, day, reference_date, block)
     _stop_on_failure(bronze.ingest_all(spark, specs, day, f"{layers.root}/bronze"))
     present = {s.name for s in specs}

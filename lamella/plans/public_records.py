@@ -51,7 +51,7 @@ def lien_expiration(liens: DataFrame, rules: DataFrame, reference_date: str) ->
     ends = F.date_add(F.add_months("filing_date", F.col("months").cast("int")), F.col("extra_days").cast("int"))
     active = (F.col("lien_status") == "ACTIVE") & F.coalesce(F.col("expiration_date") > ref, F.lit(True))
     return (
-        liens.join(F.broadcast(rules), ["state_code", "lien_type"], "left")
+        liens.join(rules, ["state_code", "lien_type"], "left")
         .withColumn("expiration_date", ends)
         .drop("months", "extra_days")
         .withColumn("is_active", active)

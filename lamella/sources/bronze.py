@@ -93,5 +93,5 @@ def ingest_all(spark: SparkSession, specs: list[SourceSpec], day: str, path: str
             written = sinks.write_partition(ingest(spark, spec, day), target, ["_source", "_ingestion_date"])
             status.append((spec.name, "ok", written, ""))
         except Exception as error:  # any failure of one source is an outcome, not the end of the run
-            status.append((spec.name, "failed", 0, str(error).splitlines()[0][:300]))
+            status.append((spec.name, "failed", 0, str(error) or type(error).__name__))
     return spark.createDataFrame(status, "source string, status string, rows long, error string")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,19 +10,10 @@ _KEY = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local master without that setting falls back to a temporary folder: executors on other
-    machines could not read one.
-    """
-    root = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {_KEY} to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="lamella-")
-    spark.conf.set(_KEY, root)
-    return root
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; where it is unset a folder of the warehouse,
+    which executors share as well."""
+    root = spark.conf.get(_KEY, None) or spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
+    return root.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
