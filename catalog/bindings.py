@@ -35,17 +35,19 @@ SELECT concat('CUST-', lpad(cast(c_custkey AS string), 6, '0')),
 FROM {customer} WHERE c_custkey % 20 = 0
 """
 
+# Every 50th customer has no orders: theirs belong to the customer before. The second batch changes every 40th order.
 _ORDER = """
 SELECT concat('ORD-', lpad(cast(o_orderkey AS string), 8, '0')) AS order_id,
        CASE WHEN o_orderkey % 97 = 0 THEN ''
-            ELSE concat('CUST-', lpad(cast(o_custkey AS string), 6, '0')) END AS customer_id,
+            ELSE concat('CUST-', lpad(cast(CASE WHEN o_custkey % 50 = 0 THEN o_custkey - 1 ELSE o_custkey END AS string), 6, '0'))
+            END AS customer_id,
        CASE WHEN o_orderkey % 101 = 0 THEN 'INVALID'
             ELSE cast(cast(o_orderdate AS date) AS string) END AS order_date,
        %STATUS% AS status,
        CASE WHEN o_orderkey % 103 = 0 THEN 'not_a_number'
             ELSE cast(cast(o_totalprice AS decimal(18,2)) AS string) END AS total_amount,
        substr(o_orderpriority, 3) AS payment_method, '%BATCH%' AS _batch_id, date '%DAY%' AS _ingestion_date
-FROM {orders} WHERE o_custkey % 50 <> 0
+FROM {orders}
 """
 
 SQL["b_orders"] = (
@@ -55,7 +57,7 @@ SQL["b_orders"] = (
     + "UNION ALL"
     + _ORDER.replace("%STATUS%", "CASE WHEN o_orderkey % 80 = 0 THEN 'lost' ELSE 'refunded' END")
     .replace("%BATCH%", "b2").replace("%DAY%", "2001-08-02")
-    + " AND o_orderkey % 40 = 0\n"
+    + "WHERE o_orderkey % 40 = 0\n"
 )
 
 SQL["b_order_items"] = """
@@ -125,6 +127,8 @@ SQL["b_court"] = (
 
 SQL["b_judgments"] = """
 SELECT o_orderkey AS judgment_key,
+  CASE o_custkey % 6 WHEN 0 THEN 'Harris County' WHEN 1 THEN 'Los Angeles County' WHEN 2 THEN 'Kings' WHEN 3 THEN 'Miami-Dade County'
+    WHEN 4 THEN 'Cook County' ELSE 'Cuyahoga County' END AS county,
   CASE o_custkey % 6 WHEN 0 THEN 'TX' WHEN 1 THEN 'CA' WHEN 2 THEN 'NY' WHEN 3 THEN 'FL' WHEN 4 THEN 'IL' ELSE 'OH' END AS state_code,
   concat(cast(year(cast(o_orderdate AS date)) AS string), '-', cast(o_orderkey AS string)) AS case_number,
   cast(o_orderdate AS date) + cast(30 + o_orderkey % 300 AS int) AS judgment_date,

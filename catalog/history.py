@@ -19,7 +19,7 @@ SELECT o_custkey AS customer, o_orderpriority AS priority, CAST(o_orderdate AS D
 def _versions(rows: str) -> str:
     return f"""
 SELECT customer, priority, day AS valid_from, coalesce(lead(day) OVER w, date '9999-12-31') AS valid_to,
-  lead(day) OVER w IS NULL AS is_current, sha256(priority) AS row_hash
+  lead(day) OVER w IS NULL AS is_current, sha256(length(priority) || ':' || priority) AS row_hash
 FROM (SELECT *, lag(priority) OVER (PARTITION BY customer ORDER BY day) AS prev
       FROM (SELECT customer, day, min(priority) AS priority FROM ({rows}) GROUP BY 1, 2))
 WHERE prev IS NULL OR prev <> priority WINDOW w AS (PARTITION BY customer ORDER BY day)"""
@@ -85,8 +85,8 @@ def dedupe_lookback(spark, d):
     return kept.select("user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id")
 
 
-@query("hash_key", """SELECT o_orderkey, sha256(o_orderkey || '|' || o_orderpriority || '|' ||
-  coalesce(nullif(o_orderstatus, 'P'), '∅')) AS key FROM orders""")
+@query("hash_key", """SELECT o_orderkey, sha256(length(o_orderkey::VARCHAR) || ':' || o_orderkey || '|' ||
+  length(o_orderpriority) || ':' || o_orderpriority || '|' || coalesce('1:' || nullif(o_orderstatus, 'P'), '∅')) AS key FROM orders""")
 def hash_key(spark, d):
     o = bind(spark, d, "orders")
     status = F.nullif(F.col("o_orderstatus"), F.lit("P"))

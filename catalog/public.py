@@ -72,7 +72,7 @@ LEFT JOIN (SELECT lien_id, judgment_key FROM b_liens x JOIN b_judgments j ON x.d
   ON l.lien_id = m.lien_id
 """
 DERIVED["o_judged"] = """
-SELECT j.*, s.suit_id FROM b_judgments j LEFT JOIN o_suits s USING (state_code, case_number)
+SELECT j.*, s.suit_id FROM b_judgments j LEFT JOIN (SELECT state_code, county, case_number, suit_id FROM o_suits) s USING (state_code, county, case_number)
 """
 
 
@@ -107,11 +107,11 @@ def xref_chain(spark, d):
 
 @query("suit_best_view_full", """SELECT b.suit_id, b.state_code, b.case_number, days_open, judgment_amount,
   judgment_amount IS NOT NULL AS has_judgment, coalesce(lien_count, 0) AS lien_count
-FROM o_best b LEFT JOIN (SELECT state_code, case_number, CAST(sum(judgment_amount) AS DECIMAL(28,2)) AS judgment_amount,
+FROM o_best b LEFT JOIN (SELECT suit_id, CAST(sum(judgment_amount) AS DECIMAL(28,2)) AS judgment_amount,
     CAST(sum(n) AS BIGINT) AS lien_count
-  FROM (SELECT j.state_code, j.case_number, judgment_amount,
-               (SELECT count(*) FROM o_linked l WHERE l.judgment_key = j.judgment_key) AS n FROM b_judgments j) GROUP BY 1, 2) p
-  ON b.state_code = p.state_code AND b.case_number = p.case_number""", money=("judgment_amount",))
+  FROM (SELECT j.suit_id, judgment_amount,
+               (SELECT count(*) FROM o_linked l WHERE l.judgment_key = j.judgment_key) AS n FROM o_judged j) GROUP BY 1) p
+  ON b.suit_id = p.suit_id""", money=("judgment_amount",))
 def suit_best_view_full(spark, d):
     full = pr.suit_best_view_full(best_view(spark, d), judgments(spark, d), linked(spark, d))
     return full.select("suit_id", "state_code", "case_number", "days_open", "judgment_amount", "has_judgment", "lien_count")
@@ -157,11 +157,12 @@ def party_profile(spark, d):
 
 
 @query("party_risk", """SELECT *, CASE WHEN risk_score < 20 THEN 'low' WHEN risk_score < 50 THEN 'medium' ELSE 'high' END AS risk_band
-FROM (SELECT party_key, CAST(least(100, 10 * unsatisfied_judgments + 5 * active_liens + 2 * suits_as_defendant) AS BIGINT)
-        AS risk_score FROM o_profile_of_party)""")
+FROM (SELECT party_key, risk_points, least(100, risk_points) AS risk_score
+      FROM (SELECT party_key, CAST(10 * unsatisfied_judgments + 5 * active_liens + 2 * suits_as_defendant AS BIGINT) AS risk_points
+            FROM o_profile_of_party))""")
 def party_risk(spark, d):
     p = pr.party_profile(suit_parties(spark, d), judgments(spark, d), dated(spark, d))
-    return pr.party_risk(p).select("party_key", "risk_score", "risk_band")
+    return pr.party_risk(p).select("party_key", "risk_points", "risk_score", "risk_band")
 
 
 @query("due_diligence", """
@@ -256,7 +257,8 @@ _CLUSTERS = """
 WITH RECURSIVE reach(node, seen) AS (
   SELECT node, node FROM o_nodes
   UNION SELECT r.node, e.b FROM reach r JOIN (SELECT a_id AS a, b_id AS b FROM o_pairs WHERE decision = 'MERGE'
-    UNION ALL SELECT b_id, a_id FROM o_pairs WHERE decision = 'MERGE') e ON r.seen = e.a),
+    UNION ALL SELECT b_id, a_id FROM o_pairs WHERE decision = 'MERGE'
+    UNION ALL SELECT x.node, y.node FROM o_nodes x JOIN o_nodes y ON x.key = y.key AND x.node <> y.node) e ON r.seen = e.a),
 clusters AS (SELECT node, min(seen) AS cluster FROM reach GROUP BY node)
 """
 
@@ -266,7 +268,7 @@ members AS (SELECT cluster, party_name, n.state_code, count(*) AS n FROM o_names
             JOIN clusters c ON d.node = c.node GROUP BY ALL),
 best AS (SELECT cluster, party_name FROM (SELECT cluster, party_name, sum(n) AS n FROM members GROUP BY 1, 2)
          QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY n DESC, party_name) = 1)
-SELECT cluster, sha256(CAST(cluster AS VARCHAR)) AS party_id, array_to_string(list_sort(list(DISTINCT m.party_name)), '|') AS variants,
+SELECT cluster, sha256(length(CAST(cluster AS VARCHAR)) || ':' || cluster) AS party_id, array_to_string(list_sort(list(DISTINCT m.party_name)), '|') AS variants,
   array_to_string(list_sort(list(DISTINCT state_code)), '|') AS states, CAST(sum(n) AS BIGINT) AS records,
   regexp_matches(any_value(best.party_name), '(?i)\\b(llc|inc)\\b') AS is_entity
 FROM members m JOIN best USING (cluster) GROUP BY cluster""")
@@ -316,7 +318,9 @@ def silver_liens(spark, d):
 
 
 @query("silver_judgments", """SELECT state_code || '_' || case_number || '_' || judgment_date AS judgment_id, state_code, case_number,
-  judgment_date, judgment_type, judgment_amount, satisfaction_status FROM b_judgments WHERE debtor_key % 50 <> 0""", money=("judgment_amount",))
+  judgment_date, judgment_type, judgment_amount, county, satisfaction_date,
+  CASE WHEN debtor_key % 7 = 0 THEN 'VACATED' WHEN debtor_key % 7 = 1 THEN 'PARTIALLY_SATISFIED' ELSE satisfaction_status END AS satisfaction_status
+  FROM b_judgments WHERE debtor_key % 50 <> 0""", money=("judgment_amount",))
 def silver_judgments(spark, d):
     from lamella.plans import filings
 
@@ -326,8 +330,10 @@ def silver_judgments(spark, d):
         F.col("judgment_date").cast("string").alias("judgment_date"),
         F.lower(F.replace("judgment_type", F.lit("_"), F.lit(" "))).alias("judgment_type"),
         F.concat(F.lit("$"), F.col("judgment_amount").cast("string")).alias("amount"),
-        F.when(F.col("satisfaction_status") == "SATISFIED", "Y").otherwise("N").alias("satisfied"),
+        F.expr("""CASE WHEN debtor_key % 7 = 0 THEN 'Vacated' WHEN debtor_key % 7 = 1 THEN ' partially satisfied'
+                  WHEN satisfaction_status = 'SATISFIED' THEN 'Y' ELSE 'N' END""").alias("satisfied"),
+        F.col("satisfaction_date").cast("string").alias("satisfaction_date"), F.concat("county", F.lit(" ")).alias("county"),
         F.lit("2001-08-01").cast("date").alias("_ingestion_date"))
     valid = filings.canonical_judgments({"STATE": raw}, "_ingestion_date", ["_ingestion_date"])[0]
     return valid.select("judgment_id", "state_code", "case_number", "judgment_date", "judgment_type", "judgment_amount",
-                        "satisfaction_status")
+                        "county", "satisfaction_date", "satisfaction_status")

@@ -114,8 +114,9 @@ def phone_e164(c: Column, country: str = "1") -> Column:
 
 
 def hash_key(*parts: Column) -> Column:
-    """Stable key over several values; null has its own token, so (null, 'a') and ('', 'a') differ."""
-    token = [F.coalesce(p.cast("string"), F.lit("∅")) for p in parts]
+    """Stable key over several values. Each carries its length and null is a mark without one, so no two lists meet."""
+    texts = [p.cast("string") for p in parts]
+    token = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("∅")) for t in texts]
     return F.sha2(F.concat_ws("|", *token), 256)
 
 

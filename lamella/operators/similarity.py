@@ -11,17 +11,18 @@ from lamella.operators.skew import salted_join
 from lamella.staging import stage
 
 
-def name_block(state: Column, key: Column) -> Column:
-    return F.concat_ws(":", state, F.substring(key, 1, 3))
+def name_block(state: Column, key: Column, letters: int = 3) -> Column:
+    """Names are compared inside a state if they begin with the same ``letters``; other pairs are never seen."""
+    return F.concat_ws(":", state, F.substring(key, 1, letters))
 
 
-def distinct_names(records: DataFrame, record_id: str, name: str, state: str) -> DataFrame:
+def distinct_names(records: DataFrame, record_id: str, name: str, state: str, letters: int = 3) -> DataFrame:
     """One row per (block, compared form of the name): smallest id, number of records, tokens.
 
     Copies of a name meet here in a partial aggregate and take part in pairing once.
     """
     keyed = records.select(record_id, text.match_name(F.col(name)).alias("key"), F.col(state).alias("_state"))
-    keyed = keyed.where(text.is_filled(F.col("key"))).withColumn("block", name_block(F.col("_state"), F.col("key")))
+    keyed = keyed.where(text.is_filled(F.col("key"))).withColumn("block", name_block(F.col("_state"), F.col("key"), letters))
     names = keyed.groupBy("block", "key").agg(F.min(record_id).alias("node"), F.count(F.lit(1)).alias("records"))
     return names.withColumn("tokens", F.array_sort(F.array_distinct(F.split("key", " "))))
 
@@ -29,33 +30,47 @@ def distinct_names(records: DataFrame, record_id: str, name: str, state: str) ->
 def similar_pairs(names: DataFrame, merge_pct: int = 60, review_pct: int = 40) -> DataFrame:
     """Pairs of distinct names in one block whose token sets have a Jaccard similarity of ``review_pct`` or more.
 
-    Two sets that similar share at least one of the rarest ``m - ceil(review * m) + 1`` tokens of each (m =
-    number of tokens), with tokens ordered by their frequency in the block. So candidates meet on (block,
-    rare token) and not on the block; words that everybody in a block has are hardly ever looked at. A pair
-    that shares several rare tokens is tested only for the first of them. Nothing is left out.
+    Sets of ``m`` and ``n`` tokens that similar have ``o = ceil(review * (m + n) / (1 + review))`` tokens in common, so
+    with tokens ordered by their frequency in the block they share one of the rarest ``m - o + 1`` and ``n - o + 1``.
+    Every set is looked up once per size of partner that it can have, and candidates meet on (block, both sizes, rare
+    token): two-token names meet on their rarer token only, never on a word that a whole block has. A pair that shares
+    several rare tokens is tested only for the first of them. Nothing is left out.
     """
     words = names.select("node", "block", F.explode("tokens").alias("token"))
     frequency = words.groupBy("block", "token").agg(F.count(F.lit(1)).alias("_df"))
     weighed = salted_join(words, frequency, ["block", "token"], "_df", ["node"], how="inner")
     ordered = weighed.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("_df", "token"))).alias("_t"))
-    m = F.size("_t")
-    keep = m - F.floor((m * review_pct + 99) / 100).cast("int") + 1
-    prefixes = ordered.select("node", F.slice(F.transform("_t", lambda t: t["token"]), 1, keep).alias("prefix"))
-    sets = stage(names.select("node", "block", "key", "tokens").join(prefixes, "node"), "name_sets")
-
-    def side(s: str) -> DataFrame:
-        return sets.select(
-            "block", F.explode("prefix").alias("token"), F.col("node").alias(f"{s}_id"), F.col("key").alias(f"{s}_name"),
-            F.col("tokens").alias(f"_{s}"), F.col("prefix").alias(f"_{s}p"),
-        )
+    ranked = ordered.select("node", F.transform("_t", lambda t: t["token"]).alias("ranked"))
+    sets = stage(names.select("node", "block", "key").join(ranked, "node"), "name_sets")
+
+    def overlap(sizes: Column) -> Column:
+        return F.floor((sizes * review_pct + 99 + review_pct) / (100 + review_pct)).cast("int")
+
+    def prefix(tokens: str) -> Column:
+        return F.slice(tokens, 1, F.size(tokens) - overlap(F.col("small") + F.col("large")) + 1)
 
+    def side(s: str, own: str, partner: str, least: Column, most: Column) -> DataFrame:
+        """The prefixes of all sets, as the smaller (or larger) set of a pair."""
+        sized = sets.withColumn(own, F.size("ranked")).withColumn(partner, F.explode(F.sequence(least, most)))
+        return sized.select(
+            "block", "small", "large", F.explode(prefix("ranked")).alias("token"), F.col("node").alias(f"{s}_id"),
+            F.col("key").alias(f"{s}_name"), F.col("ranked").alias(f"_{s}"))
+
+    m = F.size("ranked")
+    smaller = side("a", "small", "large", m, F.floor(m * 100 / review_pct).cast("int"))
+    larger = side("b", "large", "small", F.ceil(m * review_pct / 100).cast("int"), m)
     shared = F.size(F.array_intersect("_a", "_b"))
     either = F.size("_a") + F.size("_b") - shared
-    first_common = F.get(F.array_intersect("_ap", "_bp"), F.lit(0)) == F.col("token")
-    sizes_allow = F.least(F.size("_a"), F.size("_b")) * 100 >= F.greatest(F.size("_a"), F.size("_b")) * review_pct
-    met = side("a").join(side("b"), ["block", "token"]).where(
-        (F.col("a_id") < F.col("b_id")) & sizes_allow & first_common & (shared * 100 >= either * review_pct)
-    )
+    first_common = F.get(F.array_intersect(prefix("_a"), prefix("_b")), F.lit(0)) == F.col("token")
+    # of two sets of one size, that of the smaller id is the first
+    once = (F.col("small") < F.col("large")) | (F.col("a_id") < F.col("b_id"))
+    met = smaller.join(larger, ["block", "small", "large", "token"]).where(
+        once & first_common & (shared * 100 >= either * review_pct))
+    swapped = F.col("a_id") > F.col("b_id")
+    met = met.select(
+        F.least("a_id", "b_id").alias("a_id"), F.greatest("a_id", "b_id").alias("b_id"),
+        F.when(swapped, F.col("b_name")).otherwise(F.col("a_name")).alias("a_name"),
+        F.when(swapped, F.col("a_name")).otherwise(F.col("b_name")).alias("b_name"), "block", "_a", "_b")
     return met.select(
         "a_id", "b_id", "a_name", "b_name", "block",
         (shared / either).alias("similarity"),
@@ -69,7 +84,8 @@ def cluster(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     Every round each node takes the smallest label among itself and its neighbours, and then the label of
     that label, which makes long chains shrink quickly. Rounds go on until nothing changes. Labels are
     written once per round, so neither the plan nor the lineage grows. Messages to a node are combined
-    before they are shuffled; the join of labels to edges is split for nodes with very many neighbours.
+    before they are shuffled; the join of labels to edges is split for nodes with very many neighbours. Only nodes
+    with links take part in the rounds.
     """
     edges = stage(
         pairs.select(F.col("a_id").alias("src"), F.col("b_id").alias("dst")).unionByName(
@@ -78,9 +94,8 @@ def cluster(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
         "edges",
     )
     degrees = stage(edges.groupBy("src").agg(F.count(F.lit(1)).alias("_degree")), "degrees")
-    labels = stage(nodes.select("node", F.col("node").alias("label")).distinct(), "labels")
+    labels = degrees.select(F.col("src").alias("node"), F.col("src").alias("label"))
     while True:
-        # Only nodes with edges send; the others are their own cluster.
         sending = degrees.join(labels, degrees["src"] == labels["node"]).select("src", "_degree", "label")
         sent = salted_join(edges, sending, ["src"], "_degree", ["dst"], how="inner")
         received = sent.groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("_seen"))
@@ -94,18 +109,21 @@ def cluster(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
         jumped = salted_join(lower, jump, ["label"], "_carriers", ["node"], how="inner")
         after = stage(jumped.select("node", "_old", F.least("label", "_next").alias("label")), "labels")
         if after.where("label <> _old").isEmpty():
-            return after.select("node", F.col("label").alias("cluster"))
+            every = nodes.select("node").distinct().join(after.select("node", "label"), "node", "left")
+            return every.select("node", F.coalesce("label", "node").alias("cluster"))
         labels = after.select("node", "label")
 
 
 def party_master(records: DataFrame, record_id: str, name: str, state: str, merge_pct: int = 60) -> DataFrame:
     """One row per resolved party: the most frequent spelling, all spellings, all states.
 
-    Records are reduced to distinct (block, key, spelling, state) before they meet their cluster.
+    Names are compared inside their blocks; names of equal compared form are one party in all states. Records are reduced to distinct (block, key, spelling, state) before they meet their cluster.
     """
     names = stage(distinct_names(records, record_id, name, state), "names")
-    pairs = similar_pairs(names, merge_pct).where("decision = 'MERGE'")
-    clusters = cluster(names.select("node"), pairs)
+    pairs = similar_pairs(names, merge_pct, review_pct=merge_pct).select("a_id", "b_id")
+    everywhere = names.groupBy("key").agg(F.min("node").alias("a_id"))
+    same = names.join(everywhere, "key").where("node <> a_id").select("a_id", F.col("node").alias("b_id"))
+    clusters = cluster(names.select("node"), pairs.unionByName(same))
     key = text.match_name(F.col(name))
     spelled = (
         records.select(F.col(name).alias("spelling"), F.col(state).alias("state"), key.alias("key"))

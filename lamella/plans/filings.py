@@ -55,22 +55,23 @@ JUDGMENT_FEEDS = [
     FilingFeed("STATE", {
         "state_code": "_source_state", "case_number": "case_number", "judgment_date": "judgment_date",
         "judgment_type": "judgment_type", "judgment_amount": "amount", "prevailing_party": "prevailing_party",
-        "satisfied": "satisfied",
+        "satisfied": "satisfied", "satisfaction_date": "satisfaction_date", "county": "county",
     }),
     FilingFeed("FEDERAL", {
         "state_code": "_source_state", "case_number": "docket_number", "judgment_date": "judgment_date",
-        "judgment_amount": "amount",
+        "judgment_amount": "amount", "county": "district",
     }),
 ]
 
 # Canonical words.
 LIEN_STATUSES = ["ACTIVE", "RELEASED", "EXPIRED", "SATISFIED", "PARTIAL_RELEASE"]
 JUDGMENT_TYPES = ["DEFAULT", "CONSENT", "SUMMARY", "TRIAL_VERDICT", "STIPULATED"]
+SATISFACTION_STATUSES = ["SATISFIED", "PARTIALLY_SATISFIED", "VACATED", "UNSATISFIED"]
 
 _LIEN_TEXT = ["state_code", "county", "file_number", "filing_date", "lien_amount", "status", "release_date", "debtor_name",
               "creditor_name", "related_case_number", "property_address", "collateral_description"]
 _JUDGMENT_TEXT = ["state_code", "case_number", "judgment_date", "judgment_type", "judgment_amount", "prevailing_party",
-                  "satisfied"]
+                  "satisfied", "satisfaction_date", "county"]
 
 
 def _stack(feeds: dict[str, DataFrame], known: list[FilingFeed], names: list[str], carry: list[str]) -> DataFrame:
@@ -130,7 +131,10 @@ def canonical_liens(feeds: dict[str, DataFrame], newest: str, carry: list[str])
 
 
 def canonical_judgments(feeds: dict[str, DataFrame], newest: str, carry: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(valid, quarantine) of the judgment feeds."""
+    """(valid, quarantine) of the judgment feeds; the latest version of each judgment of a court counts.
+
+    Satisfaction is a flag or one of the canonical words; a date alone means satisfied, anything else unsatisfied.
+    """
     raw = _stack(feeds, JUDGMENT_FEEDS, _JUDGMENT_TEXT, carry)
     decided = dates.parse_date_by(F.col("judgment_date"), F.col("_format"), [k.date_format for k in JUDGMENT_FEEDS])
     valid, rejected = split_valid(raw, [
@@ -138,16 +142,22 @@ def canonical_judgments(feeds: dict[str, DataFrame], newest: str, carry: list[st
         Rule("MISSING_STATE", text.is_filled(F.col("state_code"))),
         Rule("BAD_JUDGMENT_DATE", decided.isNotNull()),
     ])
-    satisfied = text.lowered(F.col("satisfied"))
+    settled = dates.parse_date_by(F.col("satisfaction_date"), F.col("_format"), [k.date_format for k in JUDGMENT_FEEDS])
+    status = F.coalesce(
+        F.when(text.lowered(F.col("satisfied")).isin("y", "yes", "true"), "SATISFIED"),
+        _canonical_word(F.col("satisfied"), SATISFACTION_STATUSES),
+        F.when(settled.isNotNull() & ~text.is_filled(F.col("satisfied")), "SATISFIED"), F.lit("UNSATISFIED"))
     judgments = valid.select(
         judgment_id(F.col("state_code"), F.trim("case_number"), decided).alias("judgment_id"),
         "state_code",
+        _filled("county").alias("county"),
         F.trim("case_number").alias("case_number"),
         decided.alias("judgment_date"),
         _canonical_word(F.col("judgment_type"), JUDGMENT_TYPES).alias("judgment_type"),
         numbers.amount(F.col("judgment_amount")).alias("judgment_amount"),
         text.uppered(F.col("prevailing_party")).alias("prevailing_party"),
-        F.when(satisfied.isin("y", "yes", "true"), "SATISFIED").otherwise("UNSATISFIED").alias("satisfaction_status"),
+        status.alias("satisfaction_status"),
+        settled.alias("satisfaction_date"),
         *carry,
     )
-    return latest(judgments, ["judgment_id"], newest), rejected
+    return latest(judgments, ["judgment_id", "county"], newest), rejected

@@ -58,13 +58,19 @@ def lien_expiration(liens: DataFrame, rules: DataFrame, reference_date: str) ->
     )
 
 
-def link_suit_judgment(suits: DataFrame, judgments: DataFrame, court: list[str] = ()) -> DataFrame:
-    """Judgments with the suit of the same state and case number, and ``court`` columns where both sides have them.
+def link_suit_judgment(suits: DataFrame, judgments: DataFrame) -> DataFrame:
+    """Every judgment, once, with the suit of its state, court (county) and case number.
 
-    A case number occurs once per court of a state, so a judgment meets few suits whatever the number is.
+    Courts of a state use the same case numbers. A judgment without a county links if its number occurs in the state
+    once only; where several suits fit, the suit stays null.
     """
-    on = ["state_code", "case_number", *court]
-    return left_join_filled(judgments, suits.select("suit_id", *on), on)
+    def only(on: list[str]) -> DataFrame:
+        counted = suits.groupBy(*on).agg(F.min("suit_id").alias("suit_id"), F.count(F.lit(1)).alias("_n"))
+        return counted.where("_n = 1").drop("_n")
+
+    court, state = ["state_code", "county", "case_number"], ["state_code", "case_number"]
+    known = left_join_filled(judgments.where("county is not null"), only(court), court)
+    return known.unionByName(left_join_filled(judgments.where("county is null"), only(state), state))
 
 
 def link_judgment_lien(judgments: DataFrame, liens: DataFrame) -> DataFrame:
@@ -102,12 +108,12 @@ def xref_chain(suits: DataFrame, judgments: DataFrame, linked_liens: DataFrame)
 def suit_best_view_full(best_view: DataFrame, judgments: DataFrame, linked_liens: DataFrame) -> DataFrame:
     """Suit best view with its judgments and the liens that came from them."""
     liens = linked_liens.where("judgment_key is not null").groupBy("judgment_key").agg(F.count(F.lit(1)).alias("liens"))
-    per_case = (
-        judgments.join(liens, "judgment_key", "left")
-        .groupBy("state_code", "case_number")
+    per_suit = (
+        link_suit_judgment(best_view, judgments).where("suit_id is not null").join(liens, "judgment_key", "left")
+        .groupBy("suit_id")
         .agg(F.sum("judgment_amount").alias("judgment_amount"), F.coalesce(F.sum("liens"), F.lit(0)).alias("lien_count"))
     )
-    return best_view.join(per_case, ["state_code", "case_number"], "left").withColumns({
+    return best_view.join(per_suit, "suit_id", "left").withColumns({
         "has_judgment": F.col("judgment_amount").isNotNull(),
         "lien_count": F.coalesce("lien_count", F.lit(0)),
     })
@@ -179,7 +185,7 @@ def party_profile(suit_parties: DataFrame, judgments: DataFrame, dated_liens: Da
         {}, F.col("filing_date"),
     ).unionByName(_contribution(
         judgments, "debtor_key",
-        {"judgments_against": F.lit(1), "unsatisfied_judgments": F.col("satisfaction_status") != "SATISFIED"},
+        {"judgments_against": F.lit(1), "unsatisfied_judgments": ~F.col("satisfaction_status").isin("SATISFIED", "VACATED")},
         {"judgment_amount": F.col("judgment_amount")}, None,
     )).unionByName(_contribution(
         dated_liens, "debtor_key",
@@ -202,12 +208,14 @@ def party_profile(suit_parties: DataFrame, judgments: DataFrame, dated_liens: Da
 
 
 def party_risk(profile: DataFrame) -> DataFrame:
+    """Risk points, the score that is cut at ``RISK_LIMIT``, and its band."""
     points = sum((F.col(c) * w for c, w in RISK_WEIGHTS.items()), F.lit(0))
-    score = F.least(F.lit(RISK_LIMIT), points).cast("long")
+    points = points.cast("long")
+    score = F.least(F.lit(RISK_LIMIT).cast("long"), points)
     band = None
     for name, below in RISK_BANDS:
         band = F.when(F.col("risk_score") < below, name) if band is None else band.when(F.col("risk_score") < below, name)
-    return profile.withColumn("risk_score", score).withColumn("risk_band", band.otherwise("high"))
+    return profile.withColumn("risk_points", points).withColumn("risk_score", score).withColumn("risk_band", band.otherwise("high"))
 
 
 def due_diligence(suit_parties: DataFrame, judgments: DataFrame, liens: DataFrame) -> DataFrame:

@@ -168,6 +168,43 @@ def test_similar_pairs_miss_nothing(spark):
     assert got == want and len(want) > 100
 
 
+def test_two_token_names_do_not_meet_on_a_common_token(spark):
+    """20,000 names of one block share a token; only names that are similar become pairs."""
+    many = [(i, "TX", f"john x{i}") for i in range(20_000)] + [(20_000, "TX", "john"), (20_001, "TX", "john x7 x8")]
+    distinct = similarity.distinct_names(spark.createDataFrame(many, "id long, st string, n string"), "id", "n", "st")
+    got = similarity.similar_pairs(distinct, merge_pct=60, review_pct=60).select("a_id", "b_id").collect()
+    assert {tuple(r) for r in got} == {(7, 20_001), (8, 20_001)}
+
+
+def test_names_meet_across_states(spark):
+    rows = [(1, "TX", "First Bank Inc"), (2, "CA", "FIRST BANK"), (3, "CA", "Other Name")]
+    parties = similarity.party_master(spark.createDataFrame(rows, "id long, st string, n string"), "id", "n", "st")
+    assert {r["cluster"]: r["states_appeared"] for r in parties.collect()} == {1: ["CA", "TX"], 3: ["CA"]}
+
+
+def test_judgments_link_inside_their_court(spark):
+    from lamella.plans import public_records
+
+    suits = spark.createDataFrame(
+        [("s1", "TX", "A", "2020-1"), ("s2", "TX", "B", "2020-1"), ("s3", "TX", "A", "2020-2")],
+        "suit_id string, state_code string, county string, case_number string")
+    judgments = spark.createDataFrame(
+        [(1, "TX", "A", "2020-1"), (2, "TX", None, "2020-1"), (3, "TX", None, "2020-2"), (4, "TX", "C", "2020-2"), (5, "TX", "A", None)],
+        "judgment_key long, state_code string, county string, case_number string")
+    got = public_records.link_suit_judgment(suits, judgments).collect()
+    assert sorted((r["judgment_key"], r["suit_id"]) for r in got) == [(1, "s1"), (2, None), (3, "s3"), (4, None), (5, None)]
+
+
+def test_hash_keys_of_different_lists_differ(spark):
+    from pyspark.sql import functions as F
+
+    from lamella.functions import text
+
+    lists = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("∅", "c"), ("", "c"), ("1:a", "c")]
+    keys = spark.createDataFrame(lists, "x string, y string").select(text.hash_key(F.col("x"), F.col("y")).alias("k")).collect()
+    assert len({r["k"] for r in keys}) == len(lists)
+
+
 def test_clusters(spark):
     """A long chain, a star, a separate pair and a node alone."""
     chain = [(i, i + 1) for i in range(0, 60)]
