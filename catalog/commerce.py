@@ -256,8 +256,8 @@ def segment_counts(spark, d):
 def customer_360_incremental(spark, d):
     raw = bind(spark, d, "b_orders")
     before = commerce.silver_orders(raw.where("_batch_id = 'b1'"), NEWEST)[0]
-    batch = raw.where("_batch_id = 'b2'").select("customer_id")
-    m = commerce.refresh_order_metrics(commerce.customer_order_metrics(before), orders(spark, d), batch)
+    batch = raw.where("_batch_id = 'b2'").select("order_id", "customer_id")
+    m = commerce.refresh_order_metrics(commerce.customer_order_metrics(before), before, orders(spark, d), batch)
     return m.withColumn("total_revenue", F.col("total_revenue").cast("double")).drop("rfm_orders", "rfm_revenue")
 
 

@@ -193,15 +193,17 @@ for _court in COURTS:
 
 @query("canon_fed", """
 SELECT 'FED_' || replace(r_name, ' ', '_') || '_1:' || o_orderkey AS suit_id, 'FEDERAL_COURT' AS record_source,
-  r_name AS county, '1:' || o_orderkey AS case_number, 'OTHER' AS case_type,
-  CAST(o_orderdate AS DATE) AS filing_date, 'UNKNOWN' AS case_status, 'Judge One' AS judge_name,
+  r_name AS county, '1:' || o_orderkey AS case_number,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'CONTRACT' ELSE 'CIVIL' END AS case_type, c_name AS plaintiff_name, n_name AS defendant_name,
+  CAST(o_orderdate AS DATE) AS filing_date, CASE WHEN o_orderstatus = 'F' THEN 'DISPOSED' ELSE 'OPEN' END AS case_status,
+  'Judge One' AS judge_name,
   CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) + 90 END AS disposition_date
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey""")
 def canon_fed(spark, d):
     out = records.canonical_suits(spark, {FEDERAL.state: federal_feed(spark, d)}, CARRY)
     return out.select("suit_id", "record_source", "county", "case_number", "case_type", "filing_date", "case_status",
-                      "judge_name", "disposition_date")
+                      "plaintiff_name", "defendant_name", "judge_name", "disposition_date")
 
 
 @query("canon_union", f"SELECT {', '.join(_CANON)} FROM o_suits", money=("amount_demanded",))

@@ -90,9 +90,9 @@ def stream_late(spark, d):
     for i in range(3):
         shuffled.where(F.col("part") == i).drop("part").write.mode("append").parquet(landed)
     stream = jobs.read_stream(spark, landed, ["ts"], maxFilesPerTrigger=1)
-    query_ = jobs.append_closed(
-        jobs.windowed_totals(stream, "ts", "value", [], "1 day", None, "1 hour"), new_folder(spark, "closed"), "late")
-    return spark.createDataFrame(jobs.late_rows(query_), "batch long, rows_read long, rows_dropped long")
+    totals = jobs.windowed_totals(stream, "ts", "value", [], "1 day", None, "1 hour")
+    late = jobs.late_rows(spark, lambda: jobs.append_closed(totals, new_folder(spark, "closed"), "late"))
+    return spark.createDataFrame(late, "batch long, rows_read long, rows_dropped long")
 
 
 @query("stream_dq", """SELECT 'not_null_user_id' AS check_name, count(*) AS records_checked, count(user_id) AS records_passed, 'PASS' AS status FROM events

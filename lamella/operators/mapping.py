@@ -52,15 +52,23 @@ def _one_party(name: str) -> str:
     return f"CASE WHEN trim({name}) <> '' THEN array({party}) ELSE CAST(array() AS {PARTY}) END"
 
 
+def _sides(caption: str) -> dict[str, str]:
+    """The sides of a caption, cut at its first "v." or "vs."; in capitals only where the whole caption is. A caption
+    without it is the plaintiff."""
+    parts = f"split({caption}, IF({caption} = upper({caption}), r'\\s+VS?\\.\\s+', r'\\s+vs?\\.?\\s+'), 2)"
+    return {"plaintiff": f"get({parts}, 0)", "defendant": f"get({parts}, 1)"}
+
+
 def rename_fields(feed: DataFrame, mapping: CourtMapping, carry: list[str]) -> DataFrame:
     """One court's columns under canonical names, all text, absent fields as typed nulls."""
     columns = feed.columns
     fields = {f: source_field(columns, mapping.fields, f) for f in TEXT_FIELDS}
     if mapping.county is not None:
         fields["county"] = _quoted(mapping.county)
-    parties = {
-        f"{side}s": _one_party(source_field(columns, mapping.fields, f"{side}_name")) for side in ("plaintiff", "defendant")
-    }
+    names = {side: source_field(columns, mapping.fields, f"{side}_name") for side in ("plaintiff", "defendant")}
+    if mapping.caption in columns:
+        names = _sides(f"`{mapping.caption}`")
+    parties = {f"{side}s": _one_party(name) for side, name in names.items()}
     if mapping.nested_parties in columns:
         nested = f"from_json(`{mapping.nested_parties}`, '{PARTIES_JSON}')"
         parties = {side: f"{nested}.{side}" for side in parties}
@@ -69,7 +77,7 @@ def rename_fields(feed: DataFrame, mapping: CourtMapping, carry: list[str]) -> D
         fields["disposition"], fields["disposition_date"] = f"{outcome}.type", f"{outcome}.date"
     constants = {
         "state_code": mapping.state, "record_source": mapping.record_source, "_prefix": mapping.id_prefix or mapping.state,
-        "_format": mapping.date_format, "_zero_is_null": mapping.zero_is_null,
+        "_format": mapping.date_format, "_zero_is_null": mapping.zero_is_null, "_status_from_date": mapping.status_from_date,
     }
     return feed.selectExpr(
         *[f"{_quoted(v)} AS {name}" for name, v in constants.items()],
@@ -99,6 +107,8 @@ def canonicalize(
     raw = reduce(lambda a, b: a.unionByName(b), named)
     coded = harmonize(raw, type_codes, "case_type_raw", "case_type", "OTHER")
     coded = harmonize(coded, status_codes, "case_status_raw", "case_status", "UNKNOWN")
+    dated = F.when(text.is_filled(F.col("disposition_date")), "DISPOSED").otherwise("OPEN")
+    status = F.when(F.col("_status_from_date") & ~text.is_filled(F.col("case_status_raw")), dated).otherwise(F.col("case_status"))
     formats = [m.date_format for m in mappings]
 
     def day(c: str) -> Column:
@@ -110,7 +120,7 @@ def canonicalize(
         "state_code", "record_source", "county", "case_number", "case_type", "case_type_raw",
         day("filing_date").alias("filing_date"),
         F.col("filing_date").alias("filing_date_raw"),
-        "case_status", "case_status_raw", "court_name",
+        status.alias("case_status"), "case_status_raw", "court_name",
         F.initcap(F.trim("judge_name")).alias("judge_name"),
         "cause_of_action",
         numbers.amount(F.col("amount_demanded"), F.col("_zero_is_null")).alias("amount_demanded"),

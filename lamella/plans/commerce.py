@@ -141,9 +141,16 @@ def customer_order_metrics(
     )
 
 
-def refresh_order_metrics(previous: DataFrame, orders: DataFrame, changed: DataFrame, **options) -> DataFrame:
-    """Metrics after a batch: only customers named in ``changed`` are computed again, the rest is kept."""
-    keys = changed.select("customer_id").distinct()
+def refresh_order_metrics(
+    previous: DataFrame, before: DataFrame, orders: DataFrame, changed: DataFrame, **options
+) -> DataFrame:
+    """Metrics after a batch: only customers of changed orders are computed again, the rest is kept.
+
+    ``before`` and ``orders`` are the valid orders without and with the batch, ``changed`` has the ids and customers of
+    the batch. An order may move to another customer, so those who had it before count as well as those who have it now.
+    """
+    had = before.join(changed.select("order_id"), "order_id", "left_semi").select("customer_id")
+    keys = had.unionByName(changed.select("customer_id")).distinct()
     again = customer_order_metrics(orders.join(keys, "customer_id", "left_semi"), **options)
     return previous.join(keys, "customer_id", "left_anti").unionByName(again)
 

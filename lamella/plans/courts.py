@@ -73,10 +73,11 @@ FEDERAL = CourtMapping(
     {
         "case_number": "docket_number", "filing_date": "date_filed", "case_type_raw": "nature_of_suit",
         "disposition_date": "date_terminated", "judge_name": "judge", "cause_of_action": "cause_code",
-        "county": "district", "plaintiff_name": "case_name",
+        "county": "district",
     },
-    "yyyy-MM-dd", record_source="FEDERAL_COURT", id_prefix="FED",
+    "yyyy-MM-dd", record_source="FEDERAL_COURT", id_prefix="FED", caption="case_name", status_from_date=True,
 )
+ALL_COURTS = [*COURTS, FEDERAL]
 
 # Canonical case type of each court's codes.
 CASE_TYPE_CODES = {
@@ -96,6 +97,16 @@ CASE_TYPE_CODES = {
     },
 }
 
+# Canonical case type of the federal codes for the nature of a suit; all others are OTHER.
+NATURE_OF_SUIT = {
+    "CONTRACT": [110, 120, 130, 140, 150, 151, 152, 153, 160, 190, 195, 196],
+    "REAL_PROPERTY": [210, 220, 240, 245, 290],
+    "EVICTION": [230],
+    "PERSONAL_INJURY": [310, 315, 320, 330, 340, 345, 350, 355, 360, 362, 365, 367, 368],
+    "CIVIL": [370, 371, 375, 380, 385, 400, 410, 430, 440, 441, 442, 443, 445, 446, 448, 450, 470, 480, 485, 490, 890],
+    "TAX": [870, 871],
+}
+
 # Canonical status of each court's status words.
 STATUS_CODES = {
     "OPEN": {
@@ -116,4 +127,4 @@ COMMON_STATUS_WORDS = {"STAYED": ["Stayed", "STAYED"], "SEALED": ["Sealed", "SEA
 
 CASE_TYPES = [*CASE_TYPE_CODES, "OTHER"]
 CASE_STATUSES = ["OPEN", "DISPOSED", "DISMISSED", "TRANSFERRED", "APPEALED", "STAYED", "SEALED", "UNKNOWN"]
-STATES = [c.state for c in COURTS]
+STATES = [c.state for c in ALL_COURTS]

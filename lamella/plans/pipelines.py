@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lamella.operators import quality
 from lamella.plans import commerce, records
-from lamella.plans.courts import COURTS
+from lamella.plans.courts import ALL_COURTS
 from lamella.plans.gates import suites
 from lamella.sources import bronze, sinks
 from lamella.sources.readers import read_layer
@@ -101,18 +101,18 @@ def run_commerce(
 def run_records(
     spark: SparkSession, specs: list[SourceSpec], root: str, day: str, reference_date: str, block: bool = True
 ) -> DataFrame:
-    """One source per court, named by its state and stored in table ``suits``, to the gold tables.
+    """One source per court, named by its state (the federal courts: FED) and stored in table ``suits``, to the gold tables.
 
     A court whose source fails stops the run instead of silently going missing.
     """
-    unknown = {s.name for s in specs} - {c.state for c in COURTS}
+    unknown = {s.name for s in specs} - {c.state for c in ALL_COURTS}
     if unknown:
         raise ValueError(f"no court mapping for {sorted(unknown)}")
     layers = Layers(spark, root, day, reference_date, block)
     _stop_on_failure(bronze.ingest_all(spark, specs, day, f"{layers.root}/bronze"))
     present = {s.name for s in specs}
     feeds = {
-        c.state: read_layer(spark, f"{layers.root}/bronze/suits/_source={c.state}") for c in COURTS if c.state in present
+        c.state: read_layer(spark, f"{layers.root}/bronze/suits/_source={c.state}") for c in ALL_COURTS if c.state in present
     }
     canonical = records.canonical_suits(spark, feeds, ["_batch_id", "_ingestion_timestamp"])
     layers.gate("bronze", "suits", canonical)

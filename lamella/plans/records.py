@@ -11,12 +11,13 @@ from lamella.operators.mapping import canonicalize, code_rows, inline_table, sui
 from lamella.operators.skew import salted_join
 from lamella.operators.validate import split_valid
 from lamella.plans.courts import (
+    ALL_COURTS,
     CASE_STATUSES,
     CASE_TYPE_CODES,
     CASE_TYPES,
     COMMON_STATUS_WORDS,
-    COURTS,
     FEDERAL,
+    NATURE_OF_SUIT,
     STATES,
     STATUS_CODES,
 )
@@ -27,7 +28,8 @@ FREQUENT = 10  # appearances that make a frequent litigant
 
 
 def type_codes(spark: SparkSession) -> DataFrame:
-    return inline_table(spark, code_rows(CASE_TYPE_CODES), ["state_code", "raw", "canonical"])
+    federal = [(FEDERAL.state, str(code), canon) for canon, codes in NATURE_OF_SUIT.items() for code in codes]
+    return inline_table(spark, code_rows(CASE_TYPE_CODES) + federal, ["state_code", "raw", "canonical"])
 
 
 def status_codes(spark: SparkSession) -> DataFrame:
@@ -36,7 +38,7 @@ def status_codes(spark: SparkSession) -> DataFrame:
 
 
 def canonical_suits(spark: SparkSession, feeds: dict[str, DataFrame], carry: list[str]) -> DataFrame:
-    return canonicalize(feeds, [*COURTS, FEDERAL], type_codes(spark), status_codes(spark), carry)
+    return canonicalize(feeds, ALL_COURTS, type_codes(spark), status_codes(spark), carry)
 
 
 def silver_suits(canonical: DataFrame, newest: str) -> tuple[DataFrame, DataFrame]:

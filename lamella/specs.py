@@ -24,7 +24,8 @@ class CourtMapping:
 
     ``fields`` maps canonical names to source columns. The county is fixed, or read from the canonical
     ``county`` field. ``nested_parties`` names a JSON column holding arrays of plaintiffs and defendants,
-    ``nested_disposition`` one holding type and date.
+    ``nested_disposition`` one holding type and date. ``caption`` names a column like "X v. Y" that holds both
+    sides. With ``status_from_date`` a suit without a status is disposed once it has a disposition date, else open.
     """
 
     state: str
@@ -36,3 +37,5 @@ class CourtMapping:
     nested_disposition: str | None = None
     zero_is_null: bool = False
     id_prefix: str | None = None
+    caption: str | None = None
+    status_from_date: bool = False

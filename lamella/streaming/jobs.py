@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from lamella.operators import quality
 from lamella.operators.validate import Rule, split_valid
@@ -114,10 +116,35 @@ def quality_stream(stream: DataFrame, checks: list[quality.Check], path: str, la
     return by_batch(stream, "quality", lambda df, i: _put(quality.run_suite(df, checks, layer, table), path, i))
 
 
-def late_rows(query: StreamingQuery) -> list[tuple[int, int, int]]:
-    """(batch, rows read, rows dropped as late) of every finished batch."""
-    out = []
-    for p in query.recentProgress:
+class _Progress(StreamingQueryListener):
+    """Every progress event of every run; a query itself remembers only its latest ones."""
+
+    def __init__(self):
+        self.batches, self.ended = defaultdict(list), defaultdict(threading.Event)
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
         dropped = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
-        out.append((p.batchId, p.numInputRows, dropped))
-    return out
+        self.batches[str(p.runId)].append((p.batchId, p.numInputRows, dropped))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.ended[str(event.runId)].set()
+
+
+def late_rows(spark: SparkSession, run: Callable[[], StreamingQuery], wait: float = 60) -> list[tuple[int, int, int]]:
+    """(batch, rows read, rows dropped as late) of every batch of the query that ``run`` starts and sees to its end."""
+    seen = _Progress()
+    spark.streams.addListener(seen)
+    try:
+        run_id = str(run().runId)
+        if not seen.ended[run_id].wait(wait):
+            raise TimeoutError(f"no end of run {run_id} was reported within {wait} s")
+        return seen.batches[run_id]
+    finally:
+        spark.streams.removeListener(seen)

@@ -133,6 +133,9 @@ def court_files(folder):
     } for i in n]
     (folder / "CA.json").write_text(json.dumps(cases, indent=1))
     specs.append(SourceSpec("CA", str(folder / "CA.json"), "json", table="suits"))
+    lines = [f"1:{i},Fed Plaintiff v. F{i},cause,190,2024-07-{i % 28 + 1:02d},,judge,SD NY" for i in n]
+    (folder / "FED.csv").write_text("\n".join(["docket_number,case_name,cause_code,nature_of_suit,date_filed,date_terminated,judge,district", *lines]) + "\n")
+    specs.append(SourceSpec("FED", str(folder / "FED.csv"), "csv", table="suits"))
     return specs
 
 
@@ -140,16 +143,16 @@ def test_records_pipeline(spark, tmp_path):
     specs, root = court_files(tmp_path / "in"), str(tmp_path / "out")
     rows = {(r["layer"], r["table_name"]): r["rows"]
             for r in pipelines.run_records(spark, specs, root, "2025-01-15", "2025-01-15").collect()}
-    assert rows["silver", "suits"] == 360 and rows["quarantine", "suits"] == 2
+    assert rows["silver", "suits"] == 420 and rows["quarantine", "suits"] == 2
     suits = spark.read.parquet(f"{root}/silver/suits")
-    assert {r[0] for r in suits.select("state_code").distinct().collect()} == {"TX", "CA", "NY", "FL", "IL", "OH"}
+    assert {r[0] for r in suits.select("state_code").distinct().collect()} == {"TX", "CA", "NY", "FL", "IL", "OH", "FED"}
     assert suits.where("state_code = 'FL' and amount_demanded is not null").count() == 0, "0.00 means no amount"
     assert suits.where("array_contains(_unread, 'disposition_date')").select("state_code").distinct().collect()[0][0] == "OH"
     parties = spark.read.parquet(f"{root}/silver/parties")
     assert parties.where("suit_id like 'CA%' and party_type = 'DEFENDANT'").count() == 120
     assert parties.where("sequence = 2").select("party_name").distinct().collect()[0][0] == "Second Party"
     best = spark.read.parquet(f"{root}/gold/suit_best_view")
-    assert best.count() == 360 and best.where("days_open < 0 or plaintiff_count < 1").count() == 0
+    assert best.count() == 420 and best.where("days_open < 0 or plaintiff_count < 1").count() == 0
     frequent = spark.read.parquet(f"{root}/gold/suit_party_best_view").where("party_name = 'ACME LLC'")
     assert frequent.where("is_frequent_litigant and total_suits_as_plaintiff = 60").count() == 60
 
@@ -176,3 +179,35 @@ def test_repeated_stream_batch_leaves_no_duplicates(spark, tmp_path):
         jobs._put(df, path, 0)
     jobs._put(df, path, 1)
     assert spark.read.parquet(path).count() == 20
+
+
+def test_late_rows_of_every_batch(spark, tmp_path):
+    """More batches than a query remembers."""
+    for i in range(6):
+        spark.sql(f"SELECT timestamp '2024-01-{20 - i:02d} 00:00:00' AS ts, 1 AS value").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        stream = jobs.read_stream(spark, str(tmp_path / "in"), ["ts"], maxFilesPerTrigger=1)
+        totals = jobs.windowed_totals(stream, "ts", "value", [], "1 day", None, "1 hour")
+        late = jobs.late_rows(spark, lambda: jobs.append_closed(totals, str(tmp_path / "out"), "late"))
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert {b for b, _, _ in late} >= set(range(6)) and sum(r for _, r, _ in late) == 6
+    assert sum(dropped for _, _, dropped in late) > 0
+
+
+def test_federal_captions(spark):
+    from lamella.plans import records
+
+    rows = [("1", "Ann Lee v. Big Bank", "190", "2024-05-01"), ("2", "JOHN DOE VS. ACME LLC", "440", ""), ("3", "In re Sunrise", "999", None),
+            ("4", "A V. Smith vs Ray v. Coe", None, None), ("5", None, "870", None), ("6", " v. Someone", "230", "")]
+    feed = spark.createDataFrame(rows, "docket_number string, case_name string, nature_of_suit string, date_terminated string").selectExpr(
+        "*", "'2024-01-01' AS date_filed", "'judge' AS judge", "'c' AS cause_code", "'SD NY' AS district")
+    got = {r["case_number"]: (r["plaintiff_name"], r["defendant_name"], r["case_type"], r["case_status"])
+           for r in records.canonical_suits(spark, {"FED": feed}, []).collect()}
+    assert got == {
+        "1": ("Ann Lee", "Big Bank", "CONTRACT", "DISPOSED"), "2": ("JOHN DOE", "ACME LLC", "CIVIL", "OPEN"),
+        "3": ("In re Sunrise", None, "OTHER", "OPEN"), "4": ("A V. Smith", "Ray v. Coe", "OTHER", "OPEN"),
+        "5": (None, None, "TAX", "OPEN"), "6": (None, "Someone", "EVICTION", "OPEN"),
+    }

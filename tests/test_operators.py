@@ -215,3 +215,21 @@ def test_clusters(spark):
         spark.createDataFrame([(n,) for n in nodes], "node long"), spark.createDataFrame(edges, "a_id long, b_id long"))
     got = {r["node"]: r["cluster"] for r in got.collect()}
     assert got == {n: 0 if n <= 60 else 100 if n < 200 else 200 if n < 300 else 300 for n in nodes}
+
+
+def test_an_order_that_moves_counts_for_neither_twice(spark):
+    from lamella.plans import commerce
+
+    schema = "order_id string, customer_id string, order_date string, status string, total_amount decimal(18,2)"
+
+    def orders(*rows):
+        made = spark.createDataFrame([(o, c, "2024-01-01", "completed", None) for o, c in rows], schema)
+        return made.withColumns({"order_date": F.col("order_date").cast("date"), "total_amount": F.lit(5).cast("decimal(18,2)")})
+
+    before, after = orders(("o1", "A"), ("o2", "A"), ("o3", "C"), ("o4", "D")), orders(("o1", "B"), ("o2", "A"), ("o3", "B"), ("o4", "D"))
+    options = {"reference_date": "2024-02-01"}
+    previous = commerce.customer_order_metrics(before, **options)
+    changed = orders(("o1", "B"), ("o3", "B"))
+    got = commerce.refresh_order_metrics(previous, before, after, changed, **options)
+    want = commerce.customer_order_metrics(after, **options)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())), "C has no orders left and goes"
