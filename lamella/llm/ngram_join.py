@@ -4,19 +4,20 @@ The global order of n-grams (by hash) is cut into fragments. Sets that link diff
 with more fragments than that at least one fragment is the same on both sides: texts are compared if they agree in a
 whole fragment. Fragments that hold nothing but n-grams of many texts are not looked up, unless a set has so many of
 them that it might share no others; and a text must agree with others in as many fragments as any link brings about. So
-passages that texts share do not make candidates. Candidate groups are then compared in blocks: overlaps
-are counted in each fragment of their common n-grams and summed per pair. Sets that are equal count as one class all
+passages that texts share do not make candidates. Candidate groups are then compared in blocks, large ones only with
+blocks of sets of similar size: overlaps are counted in each fragment of their common n-grams and summed per pair. Sets that are equal count as one class all
 along, and a block returns a spanning forest of its links, never all pairs of a group.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamella.llm.common import components, discard, slices, staged
@@ -26,8 +27,8 @@ from lamella.llm.words import BLANKS, WordHasher, mix64
 FREQUENT_A_TASK, FREQUENT = 8192, 131_072
 #: Sets of a fragment whose pairs are counted, at most.
 CROWD = 64
-#: Classes of a block; groups of more are compared block against block.
-BLOCK = 512
+#: Classes of a block, and n-grams that they have together, about; groups of more are compared block against block.
+BLOCK, VOLUME = 512, 2_000_000
 #: N-grams of a fragment in which overlaps are counted.
 FRAGMENT = 4096
 
@@ -279,6 +280,37 @@ def _compare(block: pd.DataFrame, percent: int) -> Iterator[tuple[int, int]]:
     return iter(_forest(pairs[pairs[:, 0] != pairs[:, 1]], len(sets)))
 
 
+def _cells(members: DataFrame, percent: int) -> DataFrame:
+    """``members`` with the cell they are in, all cells they must be compared with, and whether that is their group alone.
+
+    A cell is a block of a size band. Bands are as wide as linked sizes can lie apart, so links stay in a band or lead to
+    the next one. Groups of up to three blocks are one band.
+    """
+    def blocks(count: str, volume: str) -> Column:
+        return F.greatest(F.ceil(F.col(count) / BLOCK), F.ceil(F.col(volume) / VOLUME)).cast("long")
+
+    def cell(band: Column, block: Column) -> Column:
+        return band * (1 << 20) + block
+
+    width = max(math.log(100 / percent) * 1.0001, 0.01)
+    sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("v")).withColumn("in_all", blocks("m", "v"))
+    banded = members.join(sizes.select("label", "in_all"), "label").withColumn(
+        "band", F.when(F.col("in_all") > 3, F.floor(F.log(F.col("n").cast("double")) / width)).otherwise(0).cast("long"))
+    bands = banded.groupBy("label", "band").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("v"))
+    bands = bands.select("label", "band", blocks("m", "v").alias("blocks"))
+    near = (
+        bands.select("label", F.col("band").alias("of"), "blocks", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band"))
+        .groupBy("label", "band").agg(
+            F.max(F.when(F.col("of") == F.col("band"), F.col("blocks"))).alias("blocks"),  # null: no sets of this band
+            F.collect_list(F.struct("of", "blocks")).alias("near"))
+        .where("blocks IS NOT NULL")
+    )
+    others = F.flatten(F.transform("near", lambda x: F.transform(F.sequence(F.lit(0).cast("long"), x["blocks"] - 1), lambda b: cell(x["of"], b))))
+    return banded.join(near, ["label", "band"]).select(
+        "rep", "c1", "c2", "label", cell(F.col("band"), F.pmod(F.xxhash64("c1"), F.col("blocks"))).alias("own"),
+        others.alias("others"), (F.col("in_all") == 1).alias("alone"))
+
+
 def group_by_ngrams(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``.
 
@@ -299,10 +331,10 @@ def group_by_ngrams(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     groups = components(edges, "ngram-groups")
 
     classes = sets.where("doc_id IS NOT NULL AND n > 0").groupBy("n", "c1", "c2").agg(F.min("doc_id").alias("rep"))
-    members = staged(classes.join(groups, F.col("c1") == F.col("node")).select("rep", "c1", "c2", "label"), "ngram-members")
-    sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("m"))
+    members = staged(classes.join(groups, F.col("c1") == F.col("node")).select("rep", "n", "c1", "c2", "label"), "ngram-members")
     bins = 1 + members.count() // 1000
-    placed = members.join(sizes, "label").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    placed = _cells(members, percent)
+    kept = ("rep", "label", "own", "others", "alone")
     kind = slim.schema["doc_id"].dataType.simpleString()
 
     def read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,20 +347,18 @@ def group_by_ngrams(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
                 right = [i for i, s in enumerate(own, a) if _signature(s) == (c1[i], c2[i])]
                 rows = batch.take(pa.array(right, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(x) for x in ("rep", "c1", "label", "blocks")] + [pa.array([own[i - a].tobytes() for i in right], pa.binary())],
-                    names=["rep", "c1", "label", "blocks", "grams"])
+                    [rows.column(x) for x in kept] + [pa.array([own[i - a].tobytes() for i in right], pa.binary())], names=[*kept, "grams"])
 
     # members grow with the documents, so they are never broadcast, not even where they happen to be few
-    found = with_id.join(placed.withColumn("doc_id", F.col("rep")).hint("merge"), "doc_id").select("text", "rep", "c1", "c2", "label", "blocks")
-    found = found.mapInArrow(read_sets, f"rep {kind}, c1 long, label long, blocks int, grams binary")
-    own = F.pmod(F.xxhash64("c1"), F.col("blocks")).cast("int")
+    found = with_id.join(placed.withColumn("doc_id", F.col("rep")).hint("merge"), "doc_id").select("text", "c1", "c2", *kept)
+    found = found.mapInArrow(read_sets, f"rep {kind}, label long, own long, others array<long>, alone boolean, grams binary")
     spread = (
-        found.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        found.withColumn("other", F.explode("others"))
         .select(
             "rep", "label", "grams", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
             (F.col("own") > F.col("other")).cast("int").alias("side"),
             # small groups share a task, each pair of blocks of a large one has its own
-            F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("label"), F.lit(bins)))
+            F.when(F.col("alone"), F.pmod(F.xxhash64("label"), F.lit(bins)))
             .otherwise(F.xxhash64("label", F.least("own", "other"), F.greatest("own", "other"))).alias("task"),
         )
     )
