@@ -71,7 +71,7 @@ def join_small(big: DataFrame, small: DataFrame, on: str, max_rows: int = 100_00
     return big.join(small, on, "left")
 
 
-def slices(texts: Sequence[str | None], max_chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: Sequence[str | None], max_chars: int = 250_000) -> Iterator[tuple[int, int]]:
     """Cut a batch of texts into runs of at most ``max_chars``, or of one text, so that work arrays stay small."""
     start, held = 0, 0
     for i, t in enumerate(texts):
