@@ -1,6 +1,7 @@
 """Operators that read texts: held-out accuracy, brute force, planted cases and odd rows."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -140,6 +141,22 @@ def test_ngram_groups_of_similar_short_texts(spark):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts, n, percent)
 
 
+@pytest.mark.parametrize(("block", "volume"), [(8, 2_000_000), (200, 900)])
+def test_ngram_groups_in_size_bands(spark, monkeypatch, block, volume):
+    """One large candidate group of all sizes, cut into many blocks."""
+    rnd = random.Random(5)
+    texts = {}
+    for i in range(200):
+        words = [f"w{k}" for k in range(rnd.randint(20, 400))]
+        if rnd.random() < 0.7:
+            words[rnd.randrange(len(words))] = f"x{i}"
+        texts[i] = " ".join(words)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "VOLUME", volume)
+    got = ngram_join.group_by_ngrams(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts, 5, 80)
+
+
 def test_ngram_groups_odd_rows(spark, odd_docs):
     got = sorted(ngram_join.group_by_ngrams(odd_docs).collect(), key=lambda r: (r.doc_id is None, r.doc_id))
     assert [(r.doc_id, r.component_id) for r in got] == [(1, 1), (1, 1), (2, 2), (3, 3), (5, 5), (6, 6), (None, None)]
