@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from lamella.llm.common import fresh, staged
 
-#: Fixed size of the lexicon: of the terms that share a slot (by hash) the most frequent one belongs to it.
-SLOTS = 32_768
+#: A lexicon of at most so many terms is sent to all tasks, a larger one is joined by shuffle.
+SENT = 100_000
 FAMILIES, LEVELS = 8, 10
 #: A fingerprint is this many longs of four marks of 16 bits; mark i belongs to level i // FAMILIES.
 LONGS = FAMILIES * LEVELS // 4
@@ -34,13 +34,13 @@ def learn_lexicon(docs: DataFrame, text: str = "text", least: float = 0.001, mos
     """The lexicon (term, mark_0, mark_1, ...), staged: terms in a share of documents from ``least`` to ``most``, but two
     documents at least, with their hash in the subsets that they belong to and 0 in the others.
 
-    Frequencies are counted over all documents. There are at most SLOTS rows, however many documents there are.
+    Frequencies are counted over all documents and every term of the band belongs. There are at most as many rows as the
+    mean number of distinct terms of a document divided by ``least``, however many documents there are.
     """
     total = docs.count()
     each = docs.select(F.explode(terms(text)).alias("term")).where("term <> ''").select(F.xxhash64("term").alias("term"))
     counted = each.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     band = counted.where((F.col("df") >= max(2.0, least * total)) & (F.col("df") <= max(2.0, most * total)))
-    best = band.groupBy(F.pmod("term", F.lit(SLOTS)).alias("slot")).agg(F.max(F.struct("df", "term")).alias("best"))
 
     def mark(i: int) -> Column:
         """The hash of a term in subset i, if it belongs there: the lowest bits of its family's hash are zero."""
@@ -52,24 +52,29 @@ def learn_lexicon(docs: DataFrame, text: str = "text", least: float = 0.001, mos
         reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(mark(4 * n + k).cast("long"), 16 * k) for k in range(4)]).alias(name)
         for n, name in enumerate(_MARKS)
     ]
-    return staged(best.select(F.col("best.term").alias("term")).select("term", *packed), "imatch-lexicon")
+    return staged(band.select("term", *packed), "imatch-lexicon")
 
 
-def mark_texts(rows: DataFrame, texts: dict[str, str], lexicon: DataFrame) -> DataFrame:
+def mark_texts(rows: DataFrame, texts: dict[str, str], lexicon: DataFrame, sent: int = SENT) -> DataFrame:
     """``rows`` with, for each item ``name: text column`` of ``texts``, a fingerprint array<long> in place of the text.
 
-    Terms are looked up in the lexicon, which is small enough to be sent to all tasks by its fixed size. A text without a
-    lexicon term is represented by all of its terms, so that short texts differ too. If ``rows`` are partitioned by one
-    of the other columns nothing is shuffled.
+    Terms are looked up in the lexicon, which is counted and sent to all tasks if it has at most ``sent`` rows, otherwise
+    joined by shuffle. A text without a lexicon term is represented by all of its terms, so that short texts differ too.
+    If ``rows`` are partitioned by one of the other columns and the lexicon is sent, nothing is shuffled.
     """
     row, side, term, known = (fresh(rows, x) for x in ("_row", "_side", "_term", "_known"))
     names, kept = list(texts), [c for c in rows.columns if c not in texts.values()]
-    sides = rows.withColumn(row, F.monotonically_increasing_id()).select(
+    numbered, small = rows.withColumn(row, F.monotonically_increasing_id()), lexicon.count() <= sent
+    if not small:
+        # row numbers must not change when a task that feeds the shuffle is repeated
+        numbered = staged(numbered, "imatch-rows")
+    lexicon = lexicon.withColumnRenamed("term", known)
+    sides = numbered.select(
         *kept, row, F.explode(F.array(*(F.struct(F.lit(i).alias("side"), terms(texts[x]).alias("terms")) for i, x in enumerate(names)))).alias(side))
     found = (
         sides.select(*kept, row, F.col(f"{side}.side").alias(side), F.explode(f"{side}.terms").alias(term))
         .withColumn(term, F.when(F.col(term) != "", F.xxhash64(term)))
-        .join(F.broadcast(lexicon.withColumnRenamed("term", known)), F.col(term) == F.col(known), "left")
+        .join(F.broadcast(lexicon) if small else lexicon.hint("merge"), F.col(term) == F.col(known), "left")
     )
     hashed = found.groupBy(*kept, row, side).agg(
         *(F.bit_xor(m).alias(m) for m in _MARKS), F.count(known).alias(known), F.bit_xor(term).alias(term))

@@ -223,6 +223,18 @@ def test_imatch_odd_rows(spark, odd_docs):
     assert imatch.fingerprints(odd_docs.limit(0), lexicon).count() == 0
 
 
+def test_imatch_lexicon_is_the_whole_band(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    each = docs.select(F.explode(imatch.terms("text")).alias("t")).where("t <> ''").groupBy("t").agg(F.count("t").alias("df"))
+    total = docs.count()
+    band = [r.h for r in each.where(f"df >= 2 AND df <= {0.2 * total}").select(F.xxhash64("t").alias("h")).collect()]
+    lexicon = imatch.learn_lexicon(docs)
+    assert len(band) > 1000 and sorted(r.term for r in lexicon.collect()) == sorted(band)
+    some = docs.where("doc_id < 100").withColumnRenamed("text", "t")
+    sent, shuffled = ({r.doc_id: r.m for r in imatch.mark_texts(some, {"m": "t"}, lexicon, n).collect()} for n in (10**6, 0))
+    assert sent and sent == shuffled
+
+
 def test_models_on_odd_rows(spark, odd_docs):
     labels = spark.createDataFrame([(1, 1, 0), (5, None, 1), (None, 0, 0), (99, 1, 1)], "doc_id long, quality int, toxic int")
     quality = compression.fit(odd_docs, labels)
