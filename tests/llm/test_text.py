@@ -94,6 +94,21 @@ def test_ownership_separates_copies(spark):
     assert [(s.kind, s.live) for s in out[20]] == [("opaque", True)]
 
 
+def test_one_repository_is_never_a_copy(spark):
+    words = " ".join(f"word{i}" for i in range(60))
+    own, near, wide = ("Zx9Kq2Lm7Vb4Nc8Wd1Rt5Y" + x for x in ("own", "near", "wide"))
+    rows = [(i, f"file {i} holds {own}", "repo1") for i in range(8)]
+    rows += [(10 + i, f"{words} {near} edited {i}", "repo1") for i in range(7)] + [(19, f"other text {near}", "repo2")]
+    rows += [(20 + i, f"sample {i} of {wide}", f"repo{i % 2}") for i in range(6)]
+    rows += [(30, f"blob {own * 30} end", "repo3")]
+    out = {r.doc_id: r.spans for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    seen = {i: [(s.kind, s.repositories, s.owners, s.live) for s in spans] for i, spans in out.items()}
+    assert all(seen[i] == [("opaque", 1, 8, True)] for i in range(8))
+    assert all(seen[i] == [("opaque", 2, 2, True)] for i in [*range(10, 17), 19])
+    assert all(seen[i] == [("opaque", 2, 6, False)] for i in range(20, 26))
+    assert seen[30] == [("opaque", 1, 1, True)] and (out[30][0].start, out[30][0].end) == (5, 5 + 30 * len(own))
+
+
 def brute_components(texts, n, percent):
     sets = {}
     for d, t in texts.items():
