@@ -3,7 +3,8 @@
 The inverted index of the test items goes to every worker; each passage of each training text is a query. Passages are
 windows twice as long as the longest item, moved by half their length, so every item lies whole in one of them. Impacts
 are divided by an item's score against itself, so one threshold holds for all items. Retrieved items are then verified:
-the question and the answer must both overlap with the passage.
+the question and the answer must both overlap with the passage: short ones by their words in a stretch of it, long ones by
+4-grams, so that a few changed words lose neither.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from lamella.llm.words import PUNCTUATION, WordHasher, mix64
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 OVERLAP = 0.5
+#: Parts of at most so many words are compared by words; in a longer one three changed words spare half of the 4-grams.
+SHORT = 26
 #: Items of one block of the index, and of one index; more items make several indexes, each asked by every passage.
 BLOCK, ITEMS_AN_INDEX = 64, 20_000
 _LEAKS = "array<struct<item_id:long,score:double,question:double,answer:double>>"
@@ -49,6 +52,20 @@ def _grams(hashes: np.ndarray, n: int) -> np.ndarray:
     return np.unique(out)
 
 
+def _words_share(want: np.ndarray, passage: np.ndarray, length: int) -> float:
+    """The greatest share of the distinct words ``want`` in any stretch of ``passage`` of twice ``length`` words."""
+    spot = np.minimum(np.searchsorted(want, passage), len(want) - 1)
+    at = np.flatnonzero(want[spot] == passage)
+    if not len(at):
+        return 0.0
+    word, hits = spot[at], np.zeros(len(at), np.int64)
+    for w in np.unique(word):
+        own = np.append(at[word == w], len(passage) + 2 * length)
+        # the next stand of the word from each start on
+        hits += own[np.searchsorted(own, at)] < at + 2 * length
+    return float(hits.max() / len(want))
+
+
 class Index:
     """Postings by term and block of items, with the greatest impact of a term in each block."""
 
@@ -60,8 +77,8 @@ class Index:
         self.ids = [i for i, _ in items]
         self.window = 2 * int(max(counts, default=1))
         parts = [split_item(t or "") for _, t in items]
-        # an item part is verified by its n-grams of up to four words
-        self.parts = [tuple((len(h), _grams(h, 4)) for h in (hasher([p])[0] for p in qa)) for qa in parts]
+        # a short part of an item is verified by its distinct words, a long one by its 4-grams
+        self.parts = [tuple((len(h), np.unique(h) if len(h) <= SHORT else _grams(h, 4)) for h in (hasher([p])[0] for p in qa)) for qa in parts]
         self.terms, at = np.unique(hashes, return_inverse=True)
         item = np.repeat(np.arange(len(items)), counts)
         pairs, tf = np.unique(at * max(1, len(items)) + item, return_counts=True)
@@ -141,14 +158,16 @@ def _scan(texts: list, index: Index, hasher: WordHasher, threshold: float, overl
         t = owner[h]
         start = begins[t] + (h - (np.cumsum(halves) - halves)[t]) * half
         passage = hashes[start : min(start + 2 * half, begins[t] + counts[t])]
-        grams: dict[int, np.ndarray] = {}
+        grams = None
         for item, score in zip(items.tolist(), scores.tolist(), strict=True):
             shares = []
             for length, want in index.parts[item]:
-                n = min(4, length)
-                if n not in grams:
-                    grams[n] = _grams(passage, n) if n else passage[:0]
-                shares.append(float(np.isin(want, grams[n]).mean()) if len(want) else 1.0)
+                if length <= SHORT:
+                    shares.append(_words_share(want, passage, length) if len(want) else 1.0)
+                    continue
+                if grams is None:
+                    grams = _grams(passage, 4)
+                shares.append(float(np.isin(want, grams).mean()))
             if min(shares) >= overlap and (item not in found[t] or found[t][item][1] < score):
                 found[t][item] = (index.ids[item], score, *shares)
     return [[own[i] for i in sorted(own)] for own in found]

@@ -210,6 +210,24 @@ def test_block_max_search_loses_nothing():
         assert hits.tolist() == np.flatnonzero(scores >= 0.3 - 1e-9).tolist() and np.allclose(got, scores[hits])
 
 
+def test_leaks_with_changed_words(spark):
+    question = " ".join(f"q{i}" for i in range(40)) + "? "
+    answers = {1: "the old red bridge", 2: "one bridge over the wide river", 3: " ".join(f"a{i}" for i in range(27))}
+    benchmark = spark.createDataFrame([(i, question.replace("q", f"q{i}x") + a) for i, a in answers.items()], "item_id long, text string")
+    texts, alone = [], len(answers) * 3
+    for i, a in answers.items():
+        for changed in (1, 2, 3):
+            words = a.split()
+            for at in range(1, len(words) - 1, max(2, len(words) // 3))[: min(changed, len(words) // 2)]:
+                words[at] = "changed"
+            texts.append("before it " + question.replace("q", f"q{i}x") + " ".join(words) + " and after")
+    texts += [question.replace("q", f"q{i}x") + "nothing that fits here at all" for i in answers]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontamination.find_leaks(docs, benchmark).collect()}
+    assert found == {(d, 1 + d // 3) for d in range(alone)}
+    assert sorted(r.doc_id for r in decontamination.remove_leaks(docs, benchmark).collect()) == list(range(alone, len(texts)))
+
+
 def test_leaks_odd_rows(spark, odd_docs):
     none = spark.createDataFrame([(1, None), (None, "a b"), (2, "")], "item_id long, text string")
     assert decontamination.find_leaks(odd_docs, none).count() == 0
