@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamella.llm import chat, compression, decontamination, imatch, language, mixing, ngram_join, secrets, sharding, toxicity
-from lamella.llm.common import documents
+from lamella.llm import chat, compression, decontamination, imatch, language, mixing, ngram_join, secrets, sharding, toxicity, trie
+from lamella.llm.common import documents, id_fold, staged
+from lamella.llm.oracles import PREFIX_TRIE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,7 +93,14 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, sf_dir), weights=(3, 1, 2), share=1.5, epochs=2.0)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations open with up to three turns of the first one of their block of twenty."""
+    slim = staged(trie.digest_turns(documents(spark, sf_dir, "conversations")), "trie-turns")
+    conv = F.col("conv_id")
+    return trie.trie(trie.share_openings(slim, base=conv - conv % 20, taken=id_fold("conv_id", 4), most=3))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_jump_shards, op2_compression_quality, op3_language_profiles, op4_secret_ownership, op5_imatch, op6_ngram_groups, op7_counterfactual_toxicity,
-    op8_chat_format, op9_benchmark_leaks, op10_mix_sources)}
-ORACLES: dict[str, str] = {}
+    op8_chat_format, op9_benchmark_leaks, op10_mix_sources, op13_prefix_trie)}
+ORACLES: dict[str, str] = {"op13_prefix_trie": PREFIX_TRIE}
