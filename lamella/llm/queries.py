@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamella.llm import chat, compression, decontamination, imatch, language, mixing, ngram_join, secrets, sharding, toxicity, trie
+from lamella.llm import chat, compression, decontamination, imatch, language, mixing, ngram_join, secrets, sharding, toxicity, trie, whitening
 from lamella.llm.common import documents, id_fold, staged
 from lamella.llm.oracles import PREFIX_TRIE
 
@@ -93,6 +93,19 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, sf_dir), weights=(3, 1, 2), share=1.5, epochs=2.0)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.usable(documents(spark, sf_dir, "embeddings"), "embedding").select("vec_id", whitening.grid("embedding").alias("x"))
+    model = whitening.fit(rows, components=16)
+    shares = model.values / model.trace if model else []
+    known = F.array(*(F.lit(float(s)) for s in shares)).cast("array<double>")
+    done = whitening.whiten(rows, model, "x") if model else rows.select(
+        "vec_id", F.lit(None).cast("decimal(38,0)").alias("deviation"), F.lit(None).cast("array<double>").alias("whitened"))
+    return done.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "value")).select(
+        "vec_id", (F.col("at") + 1).cast("int").alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"),
+        F.expr("try_cast(deviation AS long)").alias("deviation"), F.col("value").alias("whitened"),
+        F.get(known, F.col("at")).alias("explained"), F.lit(model.identity_error if model else 0.0).alias("identity_error"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations open with up to three turns of the first one of their block of twenty."""
     slim = staged(trie.digest_turns(documents(spark, sf_dir, "conversations")), "trie-turns")
@@ -102,5 +115,6 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_jump_shards, op2_compression_quality, op3_language_profiles, op4_secret_ownership, op5_imatch, op6_ngram_groups, op7_counterfactual_toxicity,
-    op8_chat_format, op9_benchmark_leaks, op10_mix_sources, op13_prefix_trie)}
+    op8_chat_format, op9_benchmark_leaks, op10_mix_sources, op11_embedding_whitening,
+    op13_prefix_trie)}
 ORACLES: dict[str, str] = {"op13_prefix_trie": PREFIX_TRIE}
