@@ -48,19 +48,21 @@ def secular_roots(d: np.ndarray, z2: np.ndarray) -> tuple[np.ndarray, np.ndarray
     lower, upper = np.where(near_left, 0.0, -gap / 2), np.where(near_left, gap / 2, 0.0)
     lower[-1], upper[-1] = (gap[-1] / 2, gap[-1]) if middle[-1] < 0 else (0.0, gap[-1] / 2)
     x = (lower + upper) / 2
-    left = np.arange(k)[None, :] <= np.arange(k)[:, None]
+    left = np.tri(k)
+    inner_root = np.arange(k) < k - 1
     own, nxt = delta[np.arange(k), np.arange(k)], delta[np.arange(k), np.minimum(np.arange(k) + 1, k - 1)]
     with np.errstate(all="ignore"):
         for _ in range(60):
-            t = z2 / (delta - x[:, None])
-            s = t / (delta - x[:, None])
-            psi, phi = np.where(left, t, 0).sum(axis=1), np.where(left, 0, t).sum(axis=1)
+            away = delta - x[:, None]
+            t = z2 / away
+            s = t / away
+            psi, dpsi = np.einsum("ij,ij->i", t, left), np.einsum("ij,ij->i", s, left)
+            phi, dphi = t.sum(axis=1) - psi, s.sum(axis=1) - dpsi
             f = 1 + psi + phi
             lower, upper = np.where(f < 0, x, lower), np.where(f < 0, upper, x)
-            dpsi, dphi = np.where(left, s, 0).sum(axis=1), np.where(left, 0, s).sum(axis=1)
             a, b = own - x, nxt - x
             p, q = a * a * dpsi, b * b * dphi
-            c = 1 + (psi - a * dpsi) + np.where(np.arange(k) < k - 1, phi - b * dphi, 0)
+            c = 1 + (psi - a * dpsi) + np.where(inner_root, phi - b * dphi, 0)
             # c + p / (a - h) + q / (b - h) = 0 for the step h
             half = (c * (a + b) + p + q) / 2
             inner = c * a * b + p * b + q * a
