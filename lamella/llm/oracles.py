@@ -50,3 +50,20 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
 FROM costed n JOIN below b ON b.depth = n.depth AND b.path = n.path
 LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
 """
+
+#: Written for the markup of the given pages, whose articles hold headings, paragraphs, bold type and line breaks only.
+MAIN_TEXT = r"""
+WITH cut AS (
+    SELECT page_id, url, regexp_split_to_array(
+        regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1), '</?b>', '', 'g'), '<br>', ' ', 'g'),
+        '</?(p|h1)>') AS parts
+    FROM pages
+), decoded AS (
+    SELECT page_id, url, list_transform(parts, lambda x: trim(regexp_replace(
+        regexp_replace(replace(replace(replace(x, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS parts
+    FROM cut
+), texts AS (
+    SELECT page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)) AS text FROM decoded
+)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM texts
+"""

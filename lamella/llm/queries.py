@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamella.llm import chat, compression, decontamination, imatch, language, mixing, ngram_join, secrets, sharding, toxicity, trie, whitening
+from lamella.llm import (
+    chat, compression, decontamination, html_text, imatch, language, mixing, ngram_join, secrets, sharding, toxicity, trie, whitening,
+)
 from lamella.llm.common import documents, id_fold, staged
-from lamella.llm.oracles import PREFIX_TRIE
+from lamella.llm.oracles import MAIN_TEXT, PREFIX_TRIE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,6 +108,12 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get(known, F.col("at")).alias("explained"), F.lit(model.identity_error if model else 0.0).alias("identity_error"))
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = documents(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages, html_text.learn_weights(pages)).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations open with up to three turns of the first one of their block of twenty."""
     slim = staged(trie.digest_turns(documents(spark, sf_dir, "conversations")), "trie-turns")
@@ -116,5 +124,5 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_jump_shards, op2_compression_quality, op3_language_profiles, op4_secret_ownership, op5_imatch, op6_ngram_groups, op7_counterfactual_toxicity,
     op8_chat_format, op9_benchmark_leaks, op10_mix_sources, op11_embedding_whitening,
-    op13_prefix_trie)}
-ORACLES: dict[str, str] = {"op13_prefix_trie": PREFIX_TRIE}
+    op12_main_text, op13_prefix_trie)}
+ORACLES: dict[str, str] = {"op12_main_text": MAIN_TEXT, "op13_prefix_trie": PREFIX_TRIE}
