@@ -11,7 +11,7 @@ from catalog.bindings import DERIVED, bind
 from catalog.registry import half_up, query
 from lamella.operators import quality as q
 from lamella.operators.mapping import suit_rules
-from lamella.operators.validate import tag
+from lamella.operators.validate import SplitOnce, tag
 from lamella.plans import commerce, gates, records
 
 REF = "2001-08-02"
@@ -231,9 +231,9 @@ SELECT state_code, bronze, silver, rejected, gold, bronze - silver - rejected AS
 FROM (SELECT state_code, count(*) AS bronze, count(*) FILTER (case_number = '' OR filing_date IS NULL) AS rejected FROM o_canon GROUP BY 1)
 JOIN (SELECT state_code, count(*) AS silver, count(*) FILTER (case_status <> 'SEALED') AS gold FROM o_suits GROUP BY 1) USING (state_code)""")
 def dq_reconcile(spark, d):
-    canonical = r.canonical(spark, d)
-    valid, rejected = records.silver_suits(canonical, r.NEWEST)
-    return q.reconcile(canonical, valid, rejected, valid.where("case_status != 'SEALED'"), "state_code", 5.0)
+    split = SplitOnce("reconcile")
+    valid, rejected = records.silver_suits(r.canonical(spark, d), r.NEWEST, split)
+    return q.reconcile(split.rows, valid, rejected, valid.where("case_status != 'SEALED'"), "state_code", 5.0)
 
 
 @query("quarantine_report", """

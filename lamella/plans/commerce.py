@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lamella.functions import dates, numbers, scoring, text
 from lamella.operators import dedupe, rank
-from lamella.operators.validate import Rule, split_valid
+from lamella.operators.validate import Rule, Split, split_valid
 from lamella.staging import stage
 
 # Order states, and those that count as revenue.
@@ -53,16 +53,16 @@ def product_rules() -> list[Rule]:
     ]
 
 
-def _silver(raw: DataFrame, rules: list[Rule], key: str, newest: str, columns: list[Column]):
-    valid, rejected = split_valid(raw, rules)
+def _silver(raw: DataFrame, rules: list[Rule], key: str, newest: str, split: Split, columns: list[Column]):
+    valid, rejected = split(raw, rules)
     kept = dedupe.latest(valid, [key], newest)
     lineage = F.col("_batch_id").alias("_bronze_batch_id"), F.lit(VERSION).alias("_silver_version")
     return kept.select(*columns, *lineage), rejected
 
 
-def silver_customers(raw: DataFrame, newest: str = LATEST_BY) -> tuple[DataFrame, DataFrame]:
+def silver_customers(raw: DataFrame, newest: str = LATEST_BY, split: Split = split_valid) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantine). Rows are validated before the latest of each customer is chosen."""
-    return _silver(raw, customer_rules(), "customer_id", newest, [
+    return _silver(raw, customer_rules(), "customer_id", newest, split, [
         F.col("customer_id"),
         text.lowered(F.col("email")).alias("email"),
         text.clean(F.col("first_name")).alias("first_name"),
@@ -74,8 +74,8 @@ def silver_customers(raw: DataFrame, newest: str = LATEST_BY) -> tuple[DataFrame
     ])
 
 
-def silver_orders(raw: DataFrame, newest: str = LATEST_BY) -> tuple[DataFrame, DataFrame]:
-    return _silver(raw, order_rules(), "order_id", newest, [
+def silver_orders(raw: DataFrame, newest: str = LATEST_BY, split: Split = split_valid) -> tuple[DataFrame, DataFrame]:
+    return _silver(raw, order_rules(), "order_id", newest, split, [
         F.col("order_id"),
         F.col("customer_id"),
         dates.iso_date(F.col("order_date")).alias("order_date"),
@@ -85,8 +85,8 @@ def silver_orders(raw: DataFrame, newest: str = LATEST_BY) -> tuple[DataFrame, D
     ])
 
 
-def silver_order_items(raw: DataFrame, newest: str = LATEST_BY) -> tuple[DataFrame, DataFrame]:
-    return _silver(raw, item_rules(), "order_item_id", newest, [
+def silver_order_items(raw: DataFrame, newest: str = LATEST_BY, split: Split = split_valid) -> tuple[DataFrame, DataFrame]:
+    return _silver(raw, item_rules(), "order_item_id", newest, split, [
         F.col("order_item_id"),
         F.col("order_id"),
         F.col("product_id"),
@@ -96,9 +96,9 @@ def silver_order_items(raw: DataFrame, newest: str = LATEST_BY) -> tuple[DataFra
     ])
 
 
-def silver_products(raw: DataFrame, newest: str = LATEST_BY) -> tuple[DataFrame, DataFrame]:
+def silver_products(raw: DataFrame, newest: str = LATEST_BY, split: Split = split_valid) -> tuple[DataFrame, DataFrame]:
     price, cost = numbers.safe_decimal(F.col("price")), numbers.safe_decimal(F.col("cost"))
-    return _silver(raw, product_rules(), "product_id", newest, [
+    return _silver(raw, product_rules(), "product_id", newest, split, [
         F.col("product_id"),
         text.clean(F.col("name")).alias("name"),
         text.clean(F.col("category")).alias("category"),

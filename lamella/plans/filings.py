@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lamella.functions import dates, numbers, text
 from lamella.operators.dedupe import latest
 from lamella.operators.mapping import source_field
-from lamella.operators.validate import Rule, split_valid
+from lamella.operators.validate import Rule, Split, split_valid
 from lamella.plans.public_records import judgment_id, lien_id
 
 
@@ -95,13 +95,13 @@ def _filled(c: str) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
-def canonical_liens(feeds: dict[str, DataFrame], newest: str, carry: list[str]) -> tuple[DataFrame, DataFrame]:
+def canonical_liens(feeds: dict[str, DataFrame], newest: str, carry: list[str], split: Split = split_valid) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantine) of all lien feeds; the latest version of each lien counts."""
     raw = _stack(feeds, LIEN_FEEDS, _LIEN_TEXT, carry)
     formats = [k.date_format for k in LIEN_FEEDS]
     filed = dates.parse_date_by(F.col("filing_date"), F.col("_format"), formats)
     released = dates.parse_date_by(F.col("release_date"), F.col("_format"), formats)
-    valid, rejected = split_valid(raw, [
+    valid, rejected = split(raw, [
         Rule("MISSING_FILE_NUMBER", text.is_filled(F.col("file_number"))),
         Rule("MISSING_STATE", text.is_filled(F.col("state_code"))),
         Rule("BAD_FILING_DATE", filed.isNotNull()),
@@ -130,14 +130,14 @@ def canonical_liens(feeds: dict[str, DataFrame], newest: str, carry: list[str])
     return latest(liens, ["lien_id"], newest), rejected
 
 
-def canonical_judgments(feeds: dict[str, DataFrame], newest: str, carry: list[str]) -> tuple[DataFrame, DataFrame]:
+def canonical_judgments(feeds: dict[str, DataFrame], newest: str, carry: list[str], split: Split = split_valid) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantine) of the judgment feeds; the latest version of each judgment of a court counts.
 
     Satisfaction is a flag or one of the canonical words; a date alone means satisfied, anything else unsatisfied.
     """
     raw = _stack(feeds, JUDGMENT_FEEDS, _JUDGMENT_TEXT, carry)
     decided = dates.parse_date_by(F.col("judgment_date"), F.col("_format"), [k.date_format for k in JUDGMENT_FEEDS])
-    valid, rejected = split_valid(raw, [
+    valid, rejected = split(raw, [
         Rule("MISSING_CASE_NUMBER", text.is_filled(F.col("case_number"))),
         Rule("MISSING_STATE", text.is_filled(F.col("state_code"))),
         Rule("BAD_JUDGMENT_DATE", decided.isNotNull()),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamella.operators import quality
+from lamella.operators.validate import SplitOnce
 from lamella.plans import commerce, records
 from lamella.plans.courts import ALL_COURTS
 from lamella.plans.gates import suites
@@ -40,7 +41,8 @@ class Layers:
     def quarantine(self, table: str, rejected: DataFrame) -> None:
         """Rejected rows keep their raw columns; the day's partition is replaced on a second run."""
         dated = rejected.withColumn("_quarantine_date", F.lit(self.day).cast("date"))
-        rows = sinks.write_partition(dated, self.path("quarantine", table), ["_quarantine_date"])
+        rows = sinks.write_partition(
+            dated, self.path("quarantine", table), ["_quarantine_date"], owned=[{"_quarantine_date": self.day}])
         self.written.append(("quarantine", table, rows))
 
     def gate(self, layer: str, table: str, df: DataFrame) -> None:
@@ -50,9 +52,9 @@ class Layers:
             return
         keyed = quality.run_suite(df, checks, layer, table).withColumn("_run_date", F.lit(self.day).cast("date"))
         path = self.path("quality", f"{layer}_{table}")
-        sinks.write_partition(keyed, path, ["_run_date"])
+        sinks.write_partition(keyed, path, ["_run_date"], owned=[{"_run_date": self.day}])
         if self.block:
-            stored = self.spark.read.parquet(path).where(F.col("_run_date") == F.lit(self.day).cast("date"))
+            stored = read_layer(self.spark, path).where(F.col("_run_date") == F.lit(self.day).cast("date"))
             quality.enforce(stored)
 
     def summary(self) -> DataFrame:
@@ -79,9 +81,9 @@ def run_commerce(
     }
     silver = {}
     for table, build in builders.items():
-        raw = layers.read("bronze", table)
-        layers.gate("bronze", table, raw)
-        valid, rejected = build(raw)
+        split = SplitOnce(table)
+        valid, rejected = build(layers.read("bronze", table), split=split)
+        layers.gate("bronze", table, split.rows)
         silver[table] = layers.write("silver", table, valid)
         layers.quarantine(table, rejected)
         layers.gate("silver", table, silver[table])
@@ -115,8 +117,9 @@ def run_records(
         c.state: read_layer(spark, f"{layers.root}/bronze/suits/_source={c.state}") for c in ALL_COURTS if c.state in present
     }
     canonical = records.canonical_suits(spark, feeds, ["_batch_id", "_ingestion_timestamp"])
-    layers.gate("bronze", "suits", canonical)
-    valid, rejected = records.silver_suits(canonical, "_ingestion_timestamp")
+    split = SplitOnce("suits")
+    valid, rejected = records.silver_suits(canonical, "_ingestion_timestamp", split)
+    layers.gate("bronze", "suits", split.rows)
     suits = layers.write("silver", "suits", valid, ["state_code"])
     layers.quarantine("suits", rejected)
     layers.gate("silver", "suits", suits)

@@ -9,7 +9,7 @@ from lamella.functions import dates, numbers, text
 from lamella.operators import dedupe, rank
 from lamella.operators.mapping import canonicalize, code_rows, inline_table, suit_rules, unread_fields
 from lamella.operators.skew import salted_join
-from lamella.operators.validate import split_valid
+from lamella.operators.validate import Split, split_valid
 from lamella.plans.courts import (
     ALL_COURTS,
     CASE_STATUSES,
@@ -41,9 +41,9 @@ def canonical_suits(spark: SparkSession, feeds: dict[str, DataFrame], carry: lis
     return canonicalize(feeds, ALL_COURTS, type_codes(spark), status_codes(spark), carry)
 
 
-def silver_suits(canonical: DataFrame, newest: str) -> tuple[DataFrame, DataFrame]:
+def silver_suits(canonical: DataFrame, newest: str, split: Split = split_valid) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantine): validated, then the latest version of each suit."""
-    valid, rejected = split_valid(canonical, suit_rules())
+    valid, rejected = split(canonical, suit_rules())
     ties = ["case_status_raw", "filing_date_raw", "amount_raw", "plaintiff_name", "defendant_name"]
     kept = dedupe.latest(valid, ["suit_id"], newest, ties)
     return kept.withColumn("_unread", unread_fields()), rejected

@@ -84,13 +84,14 @@ def ingest_all(spark: SparkSession, specs: list[SourceSpec], day: str, path: str
     """Write every source's partition below ``path``; one status row per source.
 
     A source that fails is recorded and the others go on. Each write replaces exactly the partition of its
-    source and day, so a run can be repeated.
+    source and day, so a run can be repeated; a source that has become empty leaves an empty day.
     """
     status = []
     for spec in specs:
         target = f"{path}/{spec.table or spec.name}"
         try:
-            written = sinks.write_partition(ingest(spark, spec, day), target, ["_source", "_ingestion_date"])
+            written = sinks.write_partition(ingest(spark, spec, day), target, ["_source", "_ingestion_date"],
+                                            owned=[{"_source": spec.name, "_ingestion_date": day}])
             status.append((spec.name, "ok", written, ""))
         except Exception as error:  # any failure of one source is an outcome, not the end of the run
             status.append((spec.name, "failed", 0, str(error) or type(error).__name__))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lamella.sources import commits
 from lamella.specs import SourceSpec
 
 CORRUPT = "_corrupt_record"
@@ -69,7 +70,7 @@ def read_fixed_width(spark: SparkSession, path: str, layout: list[tuple[str, int
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
     """All partitions of a stored table; columns are matched by name and absent ones are null."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    return commits.read(spark, path)
 
 
 def read_partition(spark: SparkSession, path: str, **keys) -> DataFrame:

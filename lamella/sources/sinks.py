@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from lamella.sources import commits
+
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """Count rows while they are written, instead of by a second job."""
@@ -12,14 +14,15 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def write_partition(df: DataFrame, path: str, keys: list[str]) -> int:
-    """Replace only the partitions that occur in ``df``; returns the number of rows written.
+def write_partition(df: DataFrame, path: str, keys: list[str], owned: list[dict] | None = None) -> int:
+    """Replace the partitions that ``owned`` names, or else those that occur in ``df``; returns the number of rows written.
 
-    Rows of a partition are brought together before the write, so that it does not end in many small files;
+    A run that names what it owns also clears what it no longer has rows for. The switch is whole: a run that fails leaves
+    the table as it was. Rows of a partition are brought together before the write, so that it does not end in many small files;
     ``rebalance`` lets Spark split a partition value that holds a large part of all rows.
     """
     counted, seen = _counted(df.hint("rebalance", *keys))
-    counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    commits.commit(counted, path, keys, owned)
     return seen.get["rows"]
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from lamella.operators import quality
-from lamella.operators.validate import Rule, split_valid
+from lamella.operators.validate import Rule, SplitOnce
 from lamella.sources.bronze import add_lineage
 from lamella.sources.sinks import write_partition
 from lamella.staging import new_folder
@@ -39,7 +39,7 @@ def by_batch(stream: DataFrame, name: str, write: Callable[[DataFrame, int], Non
 
 def _put(df: DataFrame, path: str, batch: int) -> None:
     """Each batch owns one partition and replaces it, so a batch that is repeated leaves no duplicates."""
-    write_partition(df.withColumn(BATCH, F.lit(batch).cast("long")), path, [BATCH])
+    write_partition(df.withColumn(BATCH, F.lit(batch).cast("long")), path, [BATCH], owned=[{BATCH: batch}])
 
 
 def bronze_ingest(stream: DataFrame, path: str, batch: str, system: str, table: str, at: Column | None = None):
@@ -52,11 +52,9 @@ def split_stream(stream: DataFrame, rules: list[Rule], valid_path: str, rejected
     """Valid and rejected rows from one read of every batch."""
 
     def write(df: DataFrame, i: int) -> None:
-        df.persist()
-        valid, rejected = split_valid(df, rules)
+        valid, rejected = SplitOnce("stream_split")(df, rules)
         _put(valid, valid_path, i)
         _put(rejected, rejected_path, i)
-        df.unpersist()
 
     return by_batch(stream, "split", write)
 

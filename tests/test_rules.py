@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from lamella.functions import scoring, text
 from lamella.operators import quality as q
 from lamella.operators.mapping import code_rows
-from lamella.plans.courts import CASE_STATUSES, CASE_TYPE_CODES, CASE_TYPES, COURTS, STATES, STATUS_CODES
+from lamella.plans.courts import (
+    CASE_STATUSES, CASE_TYPE_CODES, CASE_TYPES, COURTS, FEDERAL, NATURE_OF_SUIT, STATES, STATUS_CODES,
+)
 
 
 @pytest.fixture(scope="module")
@@ -85,11 +87,17 @@ def test_mappings():
     for codes, taxonomy in ((CASE_TYPE_CODES, CASE_TYPES), (STATUS_CODES, CASE_STATUSES)):
         rows = code_rows(codes)
         assert {canon for _, _, canon in rows} <= set(taxonomy)
-        assert {state for state, _, _ in rows} == set(STATES)
+        assert {state for state, _, _ in rows} == {c.state for c in COURTS}
         keys = [(state, raw) for state, raw, _ in rows]
         assert len(keys) == len(set(keys)), "a code means one thing per court"
 
 
+def test_federal_codes():
+    codes = [c for group in NATURE_OF_SUIT.values() for c in group]
+    assert len(codes) == len(set(codes)), "a code means one thing"
+    assert set(NATURE_OF_SUIT) <= set(CASE_TYPES) and set(STATES) == {c.state for c in COURTS} | {FEDERAL.state}
+
+
 def test_entity_words_are_whole_words(spark):
     cases = {"Nicole Vincent": False, "Vincent Banks": False, "ACME INC": True, "Acme Co. of Ohio": True, "Acme Co.": True,
              "First Bank, N.A.": True, "Groupe Dupont": False, "Smith Partners": True}
