@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from catalog.bindings import DERIVED, bind
 from catalog.records import best_view, suits
 from catalog.registry import half_up, query
-from lamella.operators import similarity
+from lamella.operators import parties, similarity
 from lamella.plans import public_records as pr
 from lamella.plans import records
-from lamella.staging import stage
+from lamella.staging import new_folder, stage
 
 REF = "2001-08-02"
 
@@ -278,6 +278,24 @@ def party_master(spark, d):
                     F.array_join("states_appeared", "|").alias("states"), "records", "is_entity")
 
 
+@query("party_registry", _CLUSTERS.replace("WITH RECURSIVE", "WITH") + """
+SELECT array_to_string(list_sort(list(DISTINCT party_name)), '|') AS variants, array_to_string(list_sort(list(DISTINCT state_code)), '|') AS states,
+  count(*) AS records, count(*) FILTER (record_id % 4 = 0) AS total_as_plaintiff, count(*) FILTER (record_id % 4 = 1) AS total_as_defendant,
+  count(*) FILTER (record_id % 4 = 2) AS total_liens_as_debtor, count(*) FILTER (record_id % 4 = 3) AS total_liens_as_creditor
+FROM (SELECT record_id, n.state_code, trim(party_name) AS party_name, cluster FROM o_names n JOIN o_nodes d ON n.block = d.block AND n.key = d.key
+      JOIN clusters c ON d.node = c.node) GROUP BY cluster""")
+def party_registry(spark, d):
+    """All names in two batches, the second one against the index of the first; the SQL resolves them at once."""
+    role = F.element_at(F.array(*(F.lit(r) for r in parties.ROLES)), (F.col("record_id") % 4 + 1).cast("int"))
+    names = bind(spark, d, "b_names").withColumn("role", role)
+    registry = parties.PartyRegistry(spark, new_folder(spark, "parties"))
+    for batch in (0, 1):
+        registry.add(names.where(F.col("record_id") % 2 == batch), f"batch {batch}", "party_name", "state_code")
+    return registry.master().select(
+        F.array_join("party_name_variants", "|").alias("variants"), F.array_join("states_appeared", "|").alias("states"),
+        "records", *parties.ROLES.values())
+
+
 _LIEN_FEEDS = {
     "UCC": """SELECT 'TX' AS _source_state, cast(s_suppkey AS string) AS file_number, '2000-01-05' AS file_date, s_name AS debtor_name,
       'FIRST BANK' AS secured_party, 'all assets' AS collateral_description,

@@ -83,8 +83,8 @@ def display_name(name: Column) -> Column:
 
 
 def match_name(name: Column) -> Column:
-    """The form in which names are compared: lower case, no punctuation, no legal suffix."""
-    words = squeeze(F.regexp_replace(F.lower(name), r"[^a-z0-9 ]", " "))
+    """The form in which names are compared: lower case, letters and digits of any script, no legal suffix."""
+    words = squeeze(F.regexp_replace(F.lower(name), r"[^\p{L}\p{M}\p{N} ]", " "))
     ends = "|".join(s.lower() for s in LEGAL_SUFFIXES)
     return squeeze(F.regexp_replace(words, rf"(?:\s(?:{ends}))+$", ""))
 
