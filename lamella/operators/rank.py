@@ -1,4 +1,4 @@
-"""Exact global ranks, quantile cuts and medians without sending a table through one task."""
+"""Exact global ranks, quantile cuts, percent ranks and medians without sending a table through one task."""
 
 from __future__ import annotations
 
@@ -33,14 +33,37 @@ def global_rank(df: DataFrame, order: list[Column], into: str) -> DataFrame:
     )
 
 
-def percent_rank(df: DataFrame, value: str, unique: str, into: str) -> DataFrame:
-    """``(first rank of the value - 1) / (n - 1)``, as the SQL function over the whole table."""
-    ranked = stage(global_rank(df, [F.col(value), F.col(unique)], "_rank"), "percent_rank")
-    ties = ranked.groupBy(value).agg(F.min("_rank").alias("_first"), F.count(F.lit(1)).alias("_ties"))
-    last = ranked.select(F.max("_rank")).scalar()
-    joined = salted_join(ranked, ties, [value], "_ties", [unique])
-    share = F.when(last > 1, (F.col("_first") - 1) / (last - 1)).otherwise(F.lit(0.0))
-    return joined.withColumn(into, share.cast("double")).drop("_rank", "_first", "_ties")
+def _cuts(df: DataFrame, value: str, parts: int) -> Column:
+    """Ascending values that cut the distinct values of ``df`` into about equal parts, as an array of constant size."""
+    shares = [i / parts for i in range(1, parts)]
+    return df.select(F.array_distinct(F.percentile_approx(value, shares, 20 * parts))).scalar()
+
+
+def percent_rank(df: DataFrame, value: str, unique: str, into: str, parts: int = 64) -> DataFrame:
+    """``(first rank of the value - 1) / (n - 1)``, as the SQL function over the whole table.
+
+    Rows are counted by value. A sketch of the values gives ``parts`` ranges that hold about equally many of them; counts
+    are summed up inside a range, and the totals of the ranges before are added. So neither rows nor values are sorted as
+    a whole, equal values are one row from the first aggregate on, and only the join back sees rows, split where a value is
+    very frequent. ``df`` is read twice and should be a stored table if it is costly.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_ties"))
+    below_it = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
+    ranged = counts.withColumn("_cuts", _cuts(counts, value, parts)).withColumn("_part", F.coalesce(below_it, F.lit(0))).drop("_cuts")
+    totals = ranged.groupBy("_part").agg(F.sum("_ties").alias("_n"))
+    # one row a range
+    before = totals.select("_part", F.coalesce(
+        F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    missing = df.select(F.count_if(F.col(value).isNull())).scalar()
+    below = ranged.withColumn("_below", F.coalesce(F.sum("_ties").over(inside), F.lit(0))).join(F.broadcast(before), "_part")
+    below = below.select(value, "_ties", (F.col("_below") + F.col("_before")).alias("_below"))
+    total = df.select(F.count(F.lit(1))).scalar()
+    joined = salted_join(df, below, [value], "_ties", [unique])
+    # nulls come first, as in SQL
+    lower = F.when(F.col(value).isNull(), 0).otherwise(F.col("_below") + missing)
+    share = F.when(total > 1, lower / (total - 1)).otherwise(F.lit(0.0))
+    return joined.withColumn(into, share.cast("double")).drop("_below", "_ties")
 
 
 def quantile_cuts(df: DataFrame, unique: str, values: list[str], n: int = 5) -> dict[str, list[tuple]] | None:
@@ -78,17 +101,27 @@ def quantile_of(value: str, unique: str, cuts: list[tuple]) -> Column:
     return above
 
 
-def exact_median(df: DataFrame, group: list[str], value: str, unique: str, into: str) -> DataFrame:
-    """Median of the non-null values per group, with no group ever held in one task.
+def exact_median(df: DataFrame, group: list[str], value: str, unique: str | None = None, into: str = "median", error: float = 0.0005) -> DataFrame:
+    """Median of the non-null values per group, with no group ever sorted or held in one task.
 
-    Rows are ranked once by (group, value, id); the middle ranks of each group follow from its first rank
-    and its size, and are joined back on the rank, which is unique and therefore spread evenly.
+    A first aggregate sketches every group and gives two values between which its middle ranks must lie. A second one
+    counts the rows below, and those between by value; in a group of n rows these are about ``4 * error * n`` rows at most,
+    and the only ones that are brought in order. Nothing is stored; ``df`` is read twice. ``unique``, if given, spreads the
+    rows of a hot group over tasks, by default the value does. A sketch that missed the middle would be an error.
     """
-    present = df.where(F.col(value).isNotNull()).select(*group, value, unique)
-    ranked = global_rank(present, [*[F.col(g) for g in group], F.col(value), F.col(unique)], "_rank")
-    spans = ranked.groupBy(*group).agg(F.min("_rank").alias("_lo"), F.count(F.lit(1)).alias("_n"))
-    lower = F.col("_lo") + F.expr("(_n - 1) div 2")
-    upper = F.col("_lo") + F.expr("_n div 2")
-    middles = spans.select(*group, F.explode(F.array(lower, upper)).alias("_rank"))
-    found = middles.join(ranked.select("_rank", value), "_rank")
-    return found.groupBy(*group).agg((F.sum(value) / 2).cast("double").alias(into))
+    key, number = F.struct(*group).alias("_group"), F.col(value).cast("double").alias("_number")  # in a struct nulls are equal
+    present = df.where(F.col(value).isNotNull()).select(key, number, F.col(value).alias("_value"), F.col(unique or value).alias("_id"))
+    near = F.percentile_approx("_number", [0.5 - 1.5 * error, 0.5 + 1.5 * error], round(1 / error))
+    spans = present.groupBy("_group").agg(near.alias("_near"), F.count(F.lit(1)).alias("_n"))
+    spans = spans.select("_group", F.col("_near")[0].alias("_low"), F.col("_near")[1].alias("_high"), "_n")
+    seen = salted_join(present, spans, ["_group"], "_n", ["_id"], how="inner").where("_number <= _high")
+    at = F.when(F.col("_number") >= F.col("_low"), F.col("_value"))
+    counts = seen.groupBy("_group", at.alias("_at")).agg(F.count(F.lit(1)).alias("_rows"), F.first("_n").alias("_n"))
+    upto = F.sum("_rows").over(Window.partitionBy("_group").orderBy(F.asc_nulls_first("_at")).rowsBetween(Window.unboundedPreceding, 0))
+    placed = counts.withColumn("_upto", upto)
+    lower, upper = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
+    holds = lambda r: F.when((F.col("_upto") >= r) & (F.col("_upto") - F.col("_rows") < r), F.col("_at"))
+    found = placed.groupBy("_group").agg(F.max(holds(lower)).alias("_a"), F.max(holds(upper)).alias("_b"))
+    missed = F.raise_error(F.lit("the sketch missed the middle of a group")).cast("double")
+    both = F.when(F.col("_a").isNotNull() & F.col("_b").isNotNull(), ((F.col("_a") + F.col("_b")) / 2).cast("double"))
+    return found.select("_group.*", F.coalesce(both, missed).alias(into))

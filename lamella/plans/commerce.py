@@ -327,9 +327,8 @@ def product_performance(products: DataFrame, items: DataFrame, orders: DataFrame
         F.sum("orders").alias("order_appearances"),
         F.count(F.lit(1)).alias("unique_buyers"),
     )
-    ranked = rank.percent_rank(
-        sales.join(products, "product_id"), "total_revenue", "product_id", "revenue_percentile"
-    )
+    sold = stage(sales.join(products, "product_id"), "sales")  # one row a product, read for the ranks and for the result
+    ranked = rank.percent_rank(sold, "total_revenue", "product_id", "revenue_percentile")
     revenue = F.col("total_revenue")
     cost = F.col("units_sold") * F.col("cost")
     return ranked.select(

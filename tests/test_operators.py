@@ -37,6 +37,34 @@ def test_percent_rank(skewed):
     pd.testing.assert_series_equal(got.sort_index(), want.sort_index(), check_names=False)
 
 
+def test_percent_rank_with_nulls_and_few_rows(spark):
+    df = spark.createDataFrame([(i, None if i % 7 == 0 else float(i % 5)) for i in range(60)], "id long, v double")
+    want = df.selectExpr("id", "percent_rank() OVER (ORDER BY v) AS p").orderBy("id").collect()
+    for parts in (2, 3, 64):
+        got = rank.percent_rank(df, "v", "id", "p", parts).select("id", "p").orderBy("id").collect()
+        assert got == want
+    assert rank.percent_rank(df.limit(1), "v", "id", "p").first()["p"] == 0.0
+    assert rank.percent_rank(df.limit(0), "v", "id", "p").count() == 0
+
+
+def test_selection_sorts_no_table(skewed):
+    for df in (rank.percent_rank(skewed, "v", "id", "p"), rank.exact_median(skewed, ["grp"], "v", "id")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan  # sorts inside a join or window partition only
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 4, 1000, 1001, 5000])
+def test_median_beyond_the_sketch(spark, rows):
+    """A coarse sketch, so that it is not exact; groups with null keys, ties, decimals and a hot value."""
+    df = spark.range(rows).selectExpr(
+        "id", "IF(id % 10 = 3, NULL, id % 2) AS g", "'x' AS h",
+        "CAST(IF(id % 3 = 0, 7, (id * 7919) % 1000 / 4.0) AS decimal(18,2)) AS v").repartition(5)
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.expr("CAST(median(v) AS double) AS m")).collect()}
+    for error in (0.0005, 0.02):
+        got = rank.exact_median(df, ["g", "h"], "v", "id", "m", error).collect()
+        assert {r.g: r.m for r in got} == pytest.approx(want) and {r.h for r in got} == {"x"}
+
+
 @pytest.mark.parametrize("n", [5, 6, 7, 13, 20, 101])
 def test_quintiles_as_pandas(spark, n):
     rnd = random.Random(n)
