@@ -101,27 +101,39 @@ def quantile_of(value: str, unique: str, cuts: list[tuple]) -> Column:
     return above
 
 
-def exact_median(df: DataFrame, group: list[str], value: str, unique: str | None = None, into: str = "median", error: float = 0.0005) -> DataFrame:
-    """Median of the non-null values per group, with no group ever sorted or held in one task.
-
-    A first aggregate sketches every group and gives two values between which its middle ranks must lie. A second one
-    counts the rows below, and those between by value; in a group of n rows these are about ``4 * error * n`` rows at most,
-    and the only ones that are brought in order. Nothing is stored; ``df`` is read twice. ``unique``, if given, spreads the
-    rows of a hot group over tasks, by default the value does. A sketch that missed the middle would be an error.
+def _magnitude(v: Column, steps: int = 256) -> Column:
+    """Number of a cell of the number line: ``steps`` cells between a power of two and the next, in the order of values."""
+    size = F.abs(v)
+    power = F.floor(F.log2(size))
+    # where a logarithm is rounded to the neighbouring power, the second term makes up for it
+    cell = power * steps + F.floor((size / F.pow(F.lit(2.0), power) - 1) * steps) + F.lit(1 << 20)
+    return F.when(v > 0, cell).when(v < 0, -cell).otherwise(0)
+
+
+def exact_median(df: DataFrame, group: list[str], value: str, unique: str | None = None, into: str = "median") -> DataFrame:
+    """Median of the non-null, finite values per group, with no group ever sorted or held in one task.
+
+    A first aggregate counts rows by group and cell of the number line (256 to an octave), which tells in which cells the
+    middle ranks lie. A second one counts the rows of those cells by value. Only counts are brought in order: a few
+    thousand cells and the distinct values of a cell or two for each group. Nothing is stored; ``df`` is read twice.
+    ``unique``, if given, spreads the rows of a very full cell over tasks, by default the value does.
     """
-    key, number = F.struct(*group).alias("_group"), F.col(value).cast("double").alias("_number")  # in a struct nulls are equal
-    present = df.where(F.col(value).isNotNull()).select(key, number, F.col(value).alias("_value"), F.col(unique or value).alias("_id"))
-    near = F.percentile_approx("_number", [0.5 - 1.5 * error, 0.5 + 1.5 * error], round(1 / error))
-    spans = present.groupBy("_group").agg(near.alias("_near"), F.count(F.lit(1)).alias("_n"))
-    spans = spans.select("_group", F.col("_near")[0].alias("_low"), F.col("_near")[1].alias("_high"), "_n")
-    seen = salted_join(present, spans, ["_group"], "_n", ["_id"], how="inner").where("_number <= _high")
-    at = F.when(F.col("_number") >= F.col("_low"), F.col("_value"))
-    counts = seen.groupBy("_group", at.alias("_at")).agg(F.count(F.lit(1)).alias("_rows"), F.first("_n").alias("_n"))
-    upto = F.sum("_rows").over(Window.partitionBy("_group").orderBy(F.asc_nulls_first("_at")).rowsBetween(Window.unboundedPreceding, 0))
-    placed = counts.withColumn("_upto", upto)
+    key, cell = F.struct(*group).alias("_group"), _magnitude(F.col(value).cast("double")).alias("_cell")  # in a struct nulls are equal
+    present = df.where(F.col(value).isNotNull()).select(key, cell, F.col(value).alias("_value"), F.col(unique or value).alias("_id"))
+
+    def upto(*by: str, order: str) -> Column:
+        return F.sum("_rows").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+
+    cells = present.groupBy("_group", "_cell").agg(F.count(F.lit(1)).alias("_rows"))
+    placed = cells.withColumns({"_upto": upto("_group", order="_cell"), "_n": F.sum("_rows").over(Window.partitionBy("_group"))})
     lower, upper = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
-    holds = lambda r: F.when((F.col("_upto") >= r) & (F.col("_upto") - F.col("_rows") < r), F.col("_at"))
-    found = placed.groupBy("_group").agg(F.max(holds(lower)).alias("_a"), F.max(holds(upper)).alias("_b"))
-    missed = F.raise_error(F.lit("the sketch missed the middle of a group")).cast("double")
-    both = F.when(F.col("_a").isNotNull() & F.col("_b").isNotNull(), ((F.col("_a") + F.col("_b")) / 2).cast("double"))
-    return found.select("_group.*", F.coalesce(both, missed).alias(into))
+    holds = lambda r: (F.col("_upto") >= r) & (F.col("_upto") - F.col("_rows") < r)
+    middle = placed.where(holds(lower) | holds(upper)).select(
+        "_group", "_cell", "_rows", "_n", (F.col("_upto") - F.col("_rows")).alias("_before"))
+    seen = salted_join(present, middle, ["_group", "_cell"], "_rows", ["_id"], how="inner")
+    counts = seen.groupBy("_group", "_cell", "_value").agg(
+        F.count(F.lit(1)).alias("_rows"), F.first("_n").alias("_n"), F.first("_before").alias("_before"))
+    exact = counts.withColumn("_upto", upto("_group", "_cell", order="_value") + F.col("_before"))
+    found = exact.groupBy("_group").agg(
+        F.max(F.when(holds(lower), F.col("_value"))).alias("_a"), F.max(F.when(holds(upper), F.col("_value"))).alias("_b"))
+    return found.select("_group.*", ((F.col("_a") + F.col("_b")) / 2).cast("double").alias(into))

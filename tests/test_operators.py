@@ -54,15 +54,21 @@ def test_selection_sorts_no_table(skewed):
 
 
 @pytest.mark.parametrize("rows", [1, 2, 3, 4, 1000, 1001, 5000])
-def test_median_beyond_the_sketch(spark, rows):
-    """A coarse sketch, so that it is not exact; groups with null keys, ties, decimals and a hot value."""
+def test_median_of_odd_groups(spark, rows):
+    """Groups with null keys, ties, decimals of both signs, zero and a hot value."""
     df = spark.range(rows).selectExpr(
         "id", "IF(id % 10 = 3, NULL, id % 2) AS g", "'x' AS h",
-        "CAST(IF(id % 3 = 0, 7, (id * 7919) % 1000 / 4.0) AS decimal(18,2)) AS v").repartition(5)
+        "CAST(IF(id % 3 = 0, 7, ((id * 7919) % 1000 - 500) / 4.0) AS decimal(18,2)) AS v").repartition(5)
     want = {r.g: r.m for r in df.groupBy("g").agg(F.expr("CAST(median(v) AS double) AS m")).collect()}
-    for error in (0.0005, 0.02):
-        got = rank.exact_median(df, ["g", "h"], "v", "id", "m", error).collect()
-        assert {r.g: r.m for r in got} == pytest.approx(want) and {r.h for r in got} == {"x"}
+    got = rank.exact_median(df, ["g", "h"], "v", "id", "m").collect()
+    assert {r.g: r.m for r in got} == pytest.approx(want) and {r.h for r in got} == {"x"}
+
+
+def test_cells_keep_the_order(spark):
+    """Around powers of two too, where logarithms are rounded."""
+    near = sorted({s * 2.0**e * f for e in range(-40, 60) for f in (1 - 2**-52, 1, 1 + 2**-52, 1.3) for s in (-1, 1)} | {0.0, 5e-324, -5e-324, 1e308})
+    cells = [r.c for r in spark.createDataFrame([(x,) for x in near], "v double").select("v", rank._magnitude(F.col("v")).alias("c")).orderBy("v").collect()]
+    assert cells == sorted(cells) and len(set(cells)) > 300
 
 
 @pytest.mark.parametrize("n", [5, 6, 7, 13, 20, 101])
