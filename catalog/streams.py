@@ -49,25 +49,22 @@ def stream_dedupe(spark, d):
     return spark.read.parquet(out).select("event_id", "user_id", "event_type")
 
 
-@query("stream_daily", """SELECT * FROM (SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS rows,
-  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY ALL)
-  WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+@query("stream_daily", """SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS rows,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY ALL""")
 def stream_daily(spark, d):
-    out = new_folder(spark, "daily")
-    jobs.append_closed(jobs.windowed_totals(events(spark, d), "ts", "value", ["event_type"], "1 day", None, "1 hour"), out, "daily")
+    out, stream = new_folder(spark, "daily"), jobs.FiniteStream(spark, f"{d}/events*.parquet", ["ts"], "ts")
+    stream.append_closed(jobs.windowed_totals(stream.rows, "ts", "value", ["event_type"], "1 day", None, "1 hour"), out, "daily")
     return spark.read.parquet(out).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "rows",
         F.col("total").cast("double").alias("total"))
 
 
-@query("stream_sliding", """SELECT * FROM (
-  SELECT day - INTERVAL 1 DAY * k AS window_start, sum(n)::BIGINT AS rows, CAST(sum(v) AS DOUBLE) AS total
+@query("stream_sliding", """SELECT day - INTERVAL 1 DAY * k AS window_start, sum(n)::BIGINT AS rows, CAST(sum(v) AS DOUBLE) AS total
   FROM (SELECT date_trunc('day', ts) AS day, count(*) AS n, sum(CAST(value AS DECIMAL(18,2))) AS v FROM events GROUP BY 1),
-       (SELECT unnest(range(7)) AS k) GROUP BY 1)
-  WHERE window_start + INTERVAL 7 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+       (SELECT unnest(range(7)) AS k) GROUP BY 1""")
 def stream_sliding(spark, d):
-    out = new_folder(spark, "sliding")
-    jobs.append_closed(jobs.windowed_totals(events(spark, d), "ts", "value", [], "7 days", "1 day", "1 hour"), out, "sliding")
+    out, stream = new_folder(spark, "sliding"), jobs.FiniteStream(spark, f"{d}/events*.parquet", ["ts"], "ts")
+    stream.append_closed(jobs.windowed_totals(stream.rows, "ts", "value", [], "7 days", "1 day", "1 hour"), out, "sliding")
     return spark.read.parquet(out).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"), "rows", F.col("total").cast("double").alias("total"))
 
@@ -105,3 +102,19 @@ def stream_dq(spark, d):
     checks = [quality.not_null("user_id"), quality.in_range("value", 1, 50)]
     jobs.quality_stream(events(spark, d), checks, out, "bronze", "events")
     return spark.read.parquet(out).select("check_name", "records_checked", "records_passed", "status")
+
+
+@query("stream_unique", """SELECT 'unique_event_id' AS check_name, count(*) + count(*) FILTER (event_type = 'error') AS records_checked,
+  count(DISTINCT event_id) AS records_passed, CASE WHEN count(*) FILTER (event_type = 'error') = 0 THEN 'PASS'
+    WHEN count(*) / (count(*) + count(*) FILTER (event_type = 'error')) >= 0.8 THEN 'WARN' ELSE 'FAIL' END AS status FROM events
+UNION ALL SELECT 'not_null_user_id', count(*) + count(*) FILTER (event_type = 'error'),
+  count(user_id) + count(user_id) FILTER (event_type = 'error'), 'PASS' FROM events""")
+def stream_unique(spark, d):
+    """All events, then the errors once more in a batch of their own: every batch is free of repeats, all together are not."""
+    landed, out = new_folder(spark, "twice"), new_folder(spark, "quality")
+    rows = bind(spark, d, "events")
+    for part in (rows, rows.where("event_type = 'error'")):
+        part.coalesce(1).write.mode("append").parquet(landed)
+    checks = [quality.unique("event_id"), quality.not_null("user_id")]
+    jobs.quality_stream(jobs.read_stream(spark, landed, ["ts"], maxFilesPerTrigger=1), checks, out, "bronze", "events", compact_every=1)
+    return jobs.read_quality(spark, out, checks).select("check_name", "records_checked", "records_passed", "status")
