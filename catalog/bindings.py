@@ -143,15 +143,17 @@ SQL["b_liens"] = """
 SELECT concat('JUDGMENT_', state_code, '_', cast(judgment_key AS string)) AS lien_id, 'JUDGMENT' AS lien_type, state_code,
   CASE WHEN judgment_key % 10 = 0 THEN NULL ELSE case_number END AS related_case_number,
   debtor_key, judgment_amount AS lien_amount, judgment_date + cast(judgment_key % 60 AS int) AS filing_date,
-  CASE WHEN satisfaction_status = 'SATISFIED' THEN 'RELEASED' ELSE 'ACTIVE' END AS lien_status
-FROM {b_judgments} j WHERE judgment_key % 2 = 0
+  CASE WHEN satisfaction_status = 'SATISFIED' THEN 'RELEASED' ELSE 'ACTIVE' END AS lien_status,
+  debtor_key + 1 AS creditor_key
+FROM {b_judgments} j
 UNION ALL
 SELECT concat('UCC_TX_', cast(s_suppkey AS string)), 'UCC', 'TX', NULL, s_suppkey,
-  cast(abs(s_acctbal) AS decimal(18,2)), date '1995-01-01' + cast(s_suppkey % 2000 AS int), 'ACTIVE'
+  cast(abs(s_acctbal) AS decimal(18,2)), date '1995-01-01' + cast(s_suppkey % 2000 AS int), 'ACTIVE',
+  cast(CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_nationkey END AS bigint)
 FROM {supplier}
 """
 
-SQL["b_docket"] = "SELECT event_id % 1500 AS o_orderkey, ts, event_type, value FROM {events}"
+SQL["b_docket"] = "SELECT cast((event_id - event_id % 3) / 3 AS bigint) AS o_orderkey, ts, event_type, value FROM {events}"
 
 # Names of organizations with varying type words and suffixes; the brand stands for the state of a block.
 SQL["b_names"] = """

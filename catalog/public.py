@@ -93,6 +93,24 @@ def link_suit_judgment(spark, d):
         "judgment_key", "state_code", "case_number", "suit_id")
 
 
+@query("unlinked_judgments", """
+WITH asked AS (SELECT j.judgment_key, j.state_code, lower(replace(j.county, ' County', '')) AS court,
+    CASE WHEN judgment_key % 11 = 0 THEN NULL WHEN judgment_key % 7 = 0 THEN 'x' || j.case_number ELSE j.case_number END AS case_number,
+    judgment_key % 5 = 0 AS abroad FROM b_judgments j),
+  held AS (SELECT state_code, lower(replace(county, ' County', '')) AS court, case_number FROM o_suits)
+SELECT judgment_key, 0 AS suits_that_fit, CASE WHEN case_number IS NULL THEN 'NO_CASE_NUMBER' WHEN abroad THEN 'UNKNOWN_COURT' ELSE 'NO_SUIT' END AS reason
+FROM asked a WHERE abroad OR case_number IS NULL OR NOT EXISTS (SELECT 1 FROM held h WHERE h.state_code = a.state_code AND h.court = a.court
+  AND h.case_number = a.case_number)""")
+def unlinked_judgments(spark, d):
+    """Judgments with courts in another spelling, unknown courts, wrong and missing numbers."""
+    key = F.col("judgment_key")
+    asked = judgments(spark, d).withColumns({
+        "county": F.when(key % 5 == 0, "Nowhere County").otherwise(F.upper(F.replace("county", F.lit(" County")))),
+        "case_number": F.when(key % 11 == 0, None).when(key % 7 == 0, F.concat(F.lit("x"), "case_number")).otherwise(F.col("case_number"))})
+    found = pr.unlinked_judgments(suits(spark, d), asked)
+    return found.select("judgment_key", F.col("suits_that_fit").cast("int").alias("suits_that_fit"), "reason")
+
+
 @query("link_judgment_lien", "SELECT * FROM o_linked", money=("lien_amount",))
 def link_judgment_lien(spark, d):
     return linked(spark, d)
@@ -140,14 +158,15 @@ SELECT *, coalesce({half_up("(suits_as_plaintiff + suits_as_defendant) * 365",
   suits_as_plaintiff + suits_as_defendant >= 10 OR liens_as_debtor >= 5 AS is_frequent_litigant
 FROM (SELECT party_key, coalesce(sp, 0) AS suits_as_plaintiff, coalesce(sd, 0) AS suits_as_defendant,
         coalesce(ja, 0) AS judgments_against, coalesce(ju, 0) AS unsatisfied_judgments, coalesce(ld, 0) AS liens_as_debtor,
-        coalesce(la, 0) AS active_liens, coalesce(jm, 0)::DOUBLE AS judgment_amount, coalesce(lm, 0)::DOUBLE AS lien_amount,
+        coalesce(lc, 0) AS liens_as_creditor, coalesce(la, 0) AS active_liens, coalesce(jm, 0)::DOUBLE AS judgment_amount, coalesce(lm, 0)::DOUBLE AS lien_amount,
         coalesce(lo, 0)::DOUBLE AS lien_outstanding, first_filing, last_filing
       FROM (SELECT party_key, count(*) FILTER (party_type = 'PLAINTIFF') AS sp, count(*) FILTER (party_type = 'DEFENDANT') AS sd,
                    min(filing_date) AS first_filing, max(filing_date) AS last_filing FROM o_suit_parties GROUP BY 1)
       FULL JOIN (SELECT debtor_key AS party_key, count(*) AS ja, count(*) FILTER (satisfaction_status <> 'SATISFIED') AS ju,
                    sum(judgment_amount) AS jm FROM b_judgments GROUP BY 1) USING (party_key)
       FULL JOIN (SELECT debtor_key AS party_key, count(*) AS ld, count(*) FILTER (is_active) AS la, sum(lien_amount) AS lm,
-                   sum(lien_amount) FILTER (is_active) AS lo FROM o_dated GROUP BY 1) USING (party_key))
+                   sum(lien_amount) FILTER (is_active) AS lo FROM o_dated GROUP BY 1) USING (party_key)
+      FULL JOIN (SELECT creditor_key AS party_key, count(*) AS lc FROM b_liens WHERE creditor_key IS NOT NULL GROUP BY 1) USING (party_key))
 """
 
 
@@ -170,7 +189,8 @@ SELECT party_key, 'SUIT' AS record_type, suit_id AS record_id, state_code, filin
   NULL::DECIMAL(18,2) AS amount FROM o_suit_parties
 UNION ALL SELECT debtor_key, 'JUDGMENT', state_code || '_' || case_number || '_' || judgment_date, state_code, judgment_date,
   'DEBTOR', judgment_amount FROM b_judgments
-UNION ALL SELECT debtor_key, 'LIEN', lien_id, state_code, filing_date, 'DEBTOR', lien_amount FROM b_liens""", money=("amount",))
+UNION ALL SELECT debtor_key, 'LIEN', lien_id, state_code, filing_date, 'DEBTOR', lien_amount FROM b_liens
+UNION ALL SELECT creditor_key, 'LIEN', lien_id, state_code, filing_date, 'CREDITOR', lien_amount FROM b_liens WHERE creditor_key IS NOT NULL""", money=("amount",))
 def due_diligence(spark, d):
     return pr.due_diligence(suit_parties(spark, d), judgments(spark, d), liens(spark, d))
 

@@ -63,6 +63,24 @@ def spanning_forest(pairs: DataFrame) -> DataFrame:
     return pairs.select("a_id", "b_id").mapInPandas(keep, "a_id string, b_id string")
 
 
+def master(counted: DataFrame) -> DataFrame:
+    """One row per party of ``counted(party_id, spelling, state, role, n)``: its most frequent spelling, all spellings and
+    states, and how often it appears in each role."""
+    counted = stage(counted, "party_counts")
+    by_spelling = counted.groupBy("party_id", "spelling").agg(F.sum("n").alias("n"))
+    canonical = keep_first(by_spelling, ["party_id"], [F.col("n").desc(), F.col("spelling").asc()])
+    shown = text.display_name(F.col("spelling"))
+    totals = counted.groupBy("party_id").agg(
+        F.sort_array(F.collect_set("spelling")).alias("party_name_variants"),
+        F.sort_array(F.collect_set("state")).alias("states_appeared"),
+        *[F.coalesce(F.sum(F.when(F.col("role") == r, F.col("n"))), F.lit(0)).alias(c) for r, c in ROLES.items()],
+        F.sum("n").alias("records"))
+    return totals.join(canonical.select("party_id", shown.alias("party_name_normalized")), "party_id").select(
+        "party_id", "party_name_normalized", "party_name_variants",
+        text.is_entity(F.col("party_name_normalized")).alias("is_entity"),
+        text.entity_type(F.col("party_name_normalized")).alias("entity_type"), "states_appeared", *ROLES.values(), "records")
+
+
 class PartyRegistry:
     """Names, parties and the index below ``path``. Batches are added one after the other, each under a name of its own."""
 
@@ -220,21 +238,8 @@ class PartyRegistry:
 
     def master(self) -> DataFrame:
         """One row per party: its most frequent spelling, all spellings and states, and how often it appears in each role."""
-        done = len(self.batches())
-        members = self._stored("members", done).join(self.names(), ["block", "key"])
-        counted = stage(members.groupBy("party_id", "spelling", "state", "role").agg(F.sum("n").alias("n")), "party_counts")
-        by_spelling = counted.groupBy("party_id", "spelling").agg(F.sum("n").alias("n"))
-        canonical = keep_first(by_spelling, ["party_id"], [F.col("n").desc(), F.col("spelling").asc()])
-        shown = text.display_name(F.col("spelling"))
-        totals = counted.groupBy("party_id").agg(
-            F.sort_array(F.collect_set("spelling")).alias("party_name_variants"),
-            F.sort_array(F.collect_set("state")).alias("states_appeared"),
-            *[F.coalesce(F.sum(F.when(F.col("role") == r, F.col("n"))), F.lit(0)).alias(c) for r, c in ROLES.items()],
-            F.sum("n").alias("records"))
-        return totals.join(canonical.select("party_id", shown.alias("party_name_normalized")), "party_id").select(
-            "party_id", "party_name_normalized", "party_name_variants",
-            text.is_entity(F.col("party_name_normalized")).alias("is_entity"),
-            text.entity_type(F.col("party_name_normalized")).alias("entity_type"), "states_appeared", *ROLES.values(), "records")
+        members = self._stored("members", len(self.batches())).join(self.names(), ["block", "key"])
+        return master(members.groupBy("party_id", "spelling", "state", "role").agg(F.sum("n").alias("n")))
 
     def compact(self) -> None:
         """Bring what earlier batches wrote together in the partition of the last one, so that reads open fewer files."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lamella.operators.quality import WARN, accepted_values, holds, in_range, not_null, unique
 from lamella.plans.commerce import ORDER_STATUSES
+from lamella.plans.filings import LIEN_STATUSES, SATISFACTION_STATUSES
 from lamella.plans.records import CASE_STATUSES, CASE_TYPES, STATES
 
 TIERS = ["platinum", "gold", "silver", "bronze"]
@@ -61,6 +62,27 @@ def suites(reference_date: str) -> dict[tuple[str, str], list]:
             accepted_values("state_code", STATES, 98.0),
             holds("filing_date_not_future", F.col("filing_date") <= today, 98.0),
         ],
+        ("silver", "liens"): [
+            unique("lien_id", **_KEY), not_null("state_code", 99.0, **_TEXT), not_null("filing_date", 99.0),
+            accepted_values("lien_status", LIEN_STATUSES, 98.0),
+            holds("filing_date_not_future", F.col("filing_date") <= today, 98.0),
+            holds("amount_non_negative", F.coalesce(F.col("lien_amount") >= 0, F.lit(True))),
+        ],
+        ("silver", "judgments"): [
+            unique("judgment_key", **_KEY), not_null("state_code", 99.0, **_TEXT), not_null("judgment_date", 99.0),
+            accepted_values("satisfaction_status", SATISFACTION_STATUSES, 98.0), not_null("suit_id", 95.0, severity=WARN),
+            holds("amount_non_negative", F.coalesce(F.col("judgment_amount") >= 0, F.lit(True))),
+        ],
+        ("silver", "party_master"): [
+            unique("party_id", **_KEY), not_null("party_name_normalized", 99.0, **_TEXT), in_range("records", 1, threshold=100.0),
+        ],
+        ("gold", "lien_best_view"): [unique("lien_id", **_KEY), in_range("days_since_filing", 0, threshold=99.0)],
+        ("gold", "judgment_best_view"): [unique("judgment_key", **_KEY)],
+        ("gold", "party_profile"): [
+            unique("party_key", **_KEY),
+            holds("has_record", F.col("suits_as_plaintiff") + F.col("suits_as_defendant") + F.col("judgments_against")
+                  + F.col("liens_as_debtor") + F.col("liens_as_creditor") > 0, 100.0),
+        ],
         ("gold", "suit_best_view"): [
             unique("suit_id", **_KEY), not_null("primary_plaintiff", 95.0, severity=WARN, **_TEXT),
             not_null("state_code", 100.0, **_TEXT), in_range("days_open", 0, threshold=99.0),

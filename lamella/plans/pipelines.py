@@ -11,9 +11,14 @@ from pyspark.sql import functions as F
 
 from lamella.operators import quality
 from lamella.operators.validate import SplitOnce
-from lamella.plans import commerce, records
+from lamella.operators.parties import PartyRegistry, master
+from lamella.plans import commerce, filings, records
+from lamella.plans import public_records as pr
+from lamella.plans.court_names import court_aliases
 from lamella.plans.courts import ALL_COURTS
 from lamella.plans.gates import suites
+from lamella.functions import text
+from lamella.operators.skew import left_join_filled
 from lamella.sources import bronze, sinks
 from lamella.sources.readers import read_layer
 from lamella.specs import SourceSpec
@@ -130,3 +135,97 @@ def run_records(
     layers.write("gold", "suit_state_summary", records.full_state_summary(best), ["state_code"])
     layers.write("gold", "suit_monthly_trends", records.monthly_trends(best), ["state_code"])
     return layers.summary()
+
+
+def _filings(layers: Layers, table: str, prefix: str, specs: list[SourceSpec], build) -> DataFrame:
+    """Bronze tables named ``prefix``_KIND to valid rows; the others go to the quarantine."""
+    tables = sorted({s.table for s in specs if s.table.startswith(f"{prefix}_")})
+    feeds = {t.removeprefix(f"{prefix}_").upper(): layers.read("bronze", t) for t in tables}
+    split = SplitOnce(table)
+    valid, rejected = build(feeds, "_ingestion_timestamp", ["_batch_id", "_ingestion_timestamp"], split)
+    layers.quarantine(table, rejected)
+    return valid
+
+
+def _losing_party(judgments: DataFrame, parties: DataFrame) -> DataFrame:
+    """Judgments with ``debtor_name``, the first named party on the side that lost; no winner named: the defendant."""
+    lost = F.when(F.col("prevailing_party") == "DEFENDANT", "PLAINTIFF").otherwise("DEFENDANT")
+    first = parties.where("sequence = 1").select("suit_id", F.col("party_type").alias("_side"), F.col("party_name").alias("debtor_name"))
+    return left_join_filled(judgments.withColumn("_side", lost), first, ["suit_id", "_side"]).drop("_side")
+
+
+def run_public_records(
+    spark: SparkSession, suits: list[SourceSpec], others: list[SourceSpec], root: str, day: str, reference_date: str,
+    block: bool = True,
+) -> DataFrame:
+    """Suits, liens and judgments from raw feeds to all gold tables. Returns rows per table.
+
+    ``suits`` as for ``run_records``. ``others`` are stored in tables ``lien_KIND`` and ``judgment_KIND`` (kinds as in
+    ``filings``) and name their state, and county where the feed has none, in ``lineage``. Every record gets the
+    key of its parties from a registry that lives below ``root`` and keeps ids from run to run; the debtor of a judgment is
+    the party that lost its suit. Judgments that meet no suit are listed in ``review/judgments``.
+    """
+    done = run_records(spark, suits, root, day, reference_date, block)
+    layers = Layers(spark, root, day, reference_date, block)
+    _stop_on_failure(bronze.ingest_all(spark, others, day, f"{layers.root}/bronze"))
+    silver = layers.read("silver", "suits")
+    aliases = court_aliases(spark)
+
+    named = records.extract_parties(silver, ["filing_date", "state_code"])
+    liens = layers.write("silver", "liens_named", _filings(layers, "liens", "lien", others, filings.canonical_liens), ["lien_type"])
+    decided = _filings(layers, "judgments", "judgment", others, filings.canonical_judgments).withColumn(
+        "judgment_key", text.hash_key(F.col("judgment_id"), F.col("county")))
+    decided = layers.write("silver", "judgments_decided", decided)
+    layers.write("review", "judgments", pr.unlinked_judgments(silver, decided, aliases))
+    losing = layers.write("silver", "judgments_named", _losing_party(pr.link_suit_judgment(silver, decided, aliases), named))
+
+    def mentions(df: DataFrame, name: str, role) -> DataFrame:
+        return df.where(F.col(name).isNotNull()).select(F.col(name).alias("name"), F.col("state_code").alias("state"), role.alias("role"))
+
+    stated = [mentions(named, "party_name", F.col("party_type")), mentions(liens, "debtor_name", F.lit("DEBTOR")),
+              mentions(liens, "creditor_name", F.lit("CREDITOR"))]
+    mentioned = stated[0].unionByName(stated[1]).unionByName(stated[2])
+    registry = PartyRegistry(spark, f"{layers.root}/parties")
+    # a rerun of a day adds the names that are new in it; counts come from the records, so nothing counts twice
+    registry.add(mentioned.unionByName(mentions(losing, "debtor_name", F.lit("DEBTOR"))), f"{day} {len(registry.batches())}")
+    counted = registry.resolve(mentioned, "name", "state").where("party_id is not null")
+    master_table = master(counted.groupBy("party_id", F.trim("name").alias("spelling"), "state", "role").agg(F.count(F.lit(1)).alias("n")))
+    layers.write("silver", "party_master", master_table)
+    layers.gate("silver", "party_master", layers.read("silver", "party_master"))
+
+    keyed = registry.resolve(liens, "debtor_name", "state_code", "debtor_key")
+    keyed = registry.resolve(keyed, "creditor_name", "state_code", "creditor_key")
+    rules = pr.lien_rules(spark)
+    expiring = pr.with_expired(pr.lien_expiration(keyed, rules, reference_date))
+    stored_liens = layers.write("silver", "liens", expiring, ["lien_type"])
+    layers.gate("silver", "liens", stored_liens)
+    judgments = layers.write("silver", "judgments", registry.resolve(losing, "debtor_name", "state_code", "debtor_key"))
+    layers.gate("silver", "judgments", judgments)
+    suit_parties = layers.write("silver", "suit_parties", registry.resolve(named, "party_name", "state_code", "party_key").drop("party_id"))
+
+    asked = judgments.drop("suit_id")
+    linked = layers.write("silver", "lien_links", pr.link_judgment_lien(
+        asked, stored_liens.drop("expiration_date", "is_active"), aliases))
+    best = layers.read("gold", "suit_best_view")
+    gold = {
+        "suit_best_view_full": pr.suit_best_view_full(best, asked, linked, aliases),
+        "lien_best_view": pr.lien_best_view(linked, rules, asked, silver, reference_date, aliases),
+        "judgment_best_view": pr.judgment_best_view(asked, silver, linked, aliases),
+        "suit_judgment_lien_xref": pr.xref_chain(silver, asked, linked, aliases),
+    }
+    known = suit_parties.where("party_key is not null")
+    profile = pr.party_risk(pr.party_profile(
+        known, judgments.where("debtor_key is not null"), stored_liens.where("debtor_key is not null or creditor_key is not null")))
+    gold["party_profile"] = profile.where("party_key is not null")
+    for table, df in gold.items():
+        layers.gate("gold", table, layers.write("gold", table, df))
+    stacked = pr.all_records(best, judgments, stored_liens)
+    views = {
+        "record_summary": pr.record_summary(stacked), "record_trend": pr.record_trend(stacked),
+        "active_liens": pr.active_liens_by_state(stored_liens), "risk_dashboard": pr.risk_dashboard(best, judgments, stored_liens),
+        "due_diligence": pr.due_diligence(known, judgments, stored_liens).where("party_key is not null"),
+        "frequent_parties": pr.frequent_parties(layers.read("gold", "party_profile")),
+    }
+    for table, df in views.items():
+        layers.write("gold", table, df)
+    return done.unionByName(layers.summary())

@@ -9,6 +9,7 @@ from lamella.functions import dates, numbers
 from lamella.operators.linkage import near_by_amount_and_day, nearest_by_key
 from lamella.operators.mapping import inline_table
 from lamella.operators.skew import left_join_filled
+from lamella.plans.court_names import with_court
 from lamella.plans.courts import STATES
 from lamella.staging import stage
 
@@ -58,35 +59,61 @@ def lien_expiration(liens: DataFrame, rules: DataFrame, reference_date: str) ->
     )
 
 
-def link_suit_judgment(suits: DataFrame, judgments: DataFrame) -> DataFrame:
+def _suit_candidates(suits: DataFrame, judgments: DataFrame, aliases: DataFrame | None) -> DataFrame:
+    """Judgments with ``suit_id`` and ``_suits``, the number of suits that fit; the suit is null unless it is one."""
+    named = with_court(suits.select("suit_id", "state_code", "county", "case_number"), aliases)
+    asked = with_court(judgments, aliases)
+
+    def fitting(on: list[str]) -> DataFrame:
+        counted = named.groupBy(*on).agg(F.min("suit_id").alias("suit_id"), F.count(F.lit(1)).alias("_suits"))
+        return counted.withColumn("suit_id", F.when(F.col("_suits") == 1, F.col("suit_id")))
+
+    court, state = ["state_code", "_court", "case_number"], ["state_code", "case_number"]
+    known = left_join_filled(asked.where("_court is not null"), fitting(court), court)
+    rest = left_join_filled(asked.where("_court is null"), fitting(state), state)
+    return known.unionByName(rest).select(*judgments.columns, "_court", "suit_id", "_suits")
+
+
+def link_suit_judgment(suits: DataFrame, judgments: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """Every judgment, once, with the suit of its state, court (county) and case number.
 
-    Courts of a state use the same case numbers. A judgment without a county links if its number occurs in the state
-    once only; where several suits fit, the suit stays null.
+    Courts of a state use the same case numbers. Spellings of a court are one ("HARRIS", "Harris County"), other names are
+    looked up in ``aliases``. A judgment without a county links if its number occurs in the state once only; where several
+    suits fit, the suit stays null and ``unlinked_judgments`` says why.
     """
-    def only(on: list[str]) -> DataFrame:
-        counted = suits.groupBy(*on).agg(F.min("suit_id").alias("suit_id"), F.count(F.lit(1)).alias("_n"))
-        return counted.where("_n = 1").drop("_n")
+    return _suit_candidates(suits, judgments, aliases).drop("_court", "_suits")
 
-    court, state = ["state_code", "county", "case_number"], ["state_code", "case_number"]
-    known = left_join_filled(judgments.where("county is not null"), only(court), court)
-    return known.unionByName(left_join_filled(judgments.where("county is null"), only(state), state))
 
+def unlinked_judgments(suits: DataFrame, judgments: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """Every judgment that links to no suit, with the reason: for review, so that none is lost without a trace."""
+    courts = with_court(suits.select("state_code", "county"), aliases).select("state_code", "_court").where("_court is not null").distinct()
+    open_ones = _suit_candidates(suits, judgments, aliases).where("suit_id is null").drop("suit_id")
+    placed = left_join_filled(open_ones, courts.withColumn("_known", F.lit(True)), ["state_code", "_court"])
+    reason = (
+        F.when(F.col("case_number").isNull(), "NO_CASE_NUMBER").when(F.col("_suits") > 1, "SEVERAL_SUITS")
+        .when(F.col("_court").isNotNull() & F.col("_known").isNull(), "UNKNOWN_COURT").otherwise("NO_SUIT"))
+    return placed.select(*judgments.columns, F.coalesce("_suits", F.lit(0)).alias("suits_that_fit"), reason.alias("reason"))
 
-def link_judgment_lien(judgments: DataFrame, liens: DataFrame) -> DataFrame:
+
+def link_judgment_lien(judgments: DataFrame, liens: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """Each lien with its judgment and how sure that is.
 
-    HIGH: same state and case number, nearest in time. MEDIUM, tried only for liens without such a match:
-    same debtor, amount within 1 %, at most 90 days after the judgment. Two separate equality joins, because
+    HIGH: same state and case number, nearest in time; of the same court if there is such a judgment and both tables have
+    counties, since courts of a state use the same numbers. MEDIUM, tried only for liens without such a match:
+    same debtor, amount within 1 %, at most 90 days after the judgment. Separate equality joins, because
     one join on "this or that" would compare every lien with every judgment.
     """
-    cases = judgments.select(
-        "state_code", F.col("case_number").alias("related_case_number"), "judgment_date", "judgment_key"
-    )
-    named = liens.where("related_case_number is not null")
-    on = ["state_code", "related_case_number"]
-    exact = nearest_by_key(named, cases, on, "filing_date", "judgment_date", "judgment_key")
-    tried = stage(left_join_filled(liens, exact, [*on, "filing_date"]), "liens")
+    columns = liens.columns
+    by_court = "county" in columns and "county" in judgments.columns
+    asked = with_court(liens, aliases) if by_court else liens
+    cases = (with_court(judgments, aliases) if by_court else judgments).withColumnRenamed("case_number", "related_case_number")
+    unlinked = asked.withColumn("judgment_key", F.lit(None).cast(judgments.schema["judgment_key"].dataType))
+    for on in ([["state_code", "_court", "related_case_number"]] if by_court else []) + [["state_code", "related_case_number"]]:
+        named = unlinked.where("related_case_number is not null and judgment_key is null")
+        exact = nearest_by_key(named, cases, on, "filing_date", "judgment_date", "judgment_key").withColumnRenamed("judgment_key", "_found")
+        filled = left_join_filled(unlinked, exact, [*on, "filing_date"])
+        unlinked = stage(filled.withColumn("judgment_key", F.coalesce("judgment_key", "_found")).drop("_found"), "liens")
+    tried = unlinked.select(*columns, "judgment_key")
     found = tried.where("judgment_key is not null").withColumn("confidence", F.lit("HIGH"))
     rest = tried.where("judgment_key is null").drop("judgment_key")
     near = near_by_amount_and_day(
@@ -98,18 +125,20 @@ def link_judgment_lien(judgments: DataFrame, liens: DataFrame) -> DataFrame:
     return found.unionByName(second)
 
 
-def xref_chain(suits: DataFrame, judgments: DataFrame, linked_liens: DataFrame) -> DataFrame:
+def xref_chain(suits: DataFrame, judgments: DataFrame, linked_liens: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """Suit -> judgment -> lien: one row per lien of a judgment, or per judgment without liens."""
-    with_suit = link_suit_judgment(suits, judgments).select("suit_id", "state_code", "judgment_key", "judgment_amount")
+    with_suit = link_suit_judgment(suits, judgments, aliases).select("suit_id", "state_code", "judgment_key", "judgment_amount")
     liens = linked_liens.where("judgment_key is not null").select("judgment_key", "lien_id", "lien_amount", "confidence")
     return with_suit.join(liens, "judgment_key", "left")
 
 
-def suit_best_view_full(best_view: DataFrame, judgments: DataFrame, linked_liens: DataFrame) -> DataFrame:
+def suit_best_view_full(
+    best_view: DataFrame, judgments: DataFrame, linked_liens: DataFrame, aliases: DataFrame | None = None
+) -> DataFrame:
     """Suit best view with its judgments and the liens that came from them."""
     liens = linked_liens.where("judgment_key is not null").groupBy("judgment_key").agg(F.count(F.lit(1)).alias("liens"))
     per_suit = (
-        link_suit_judgment(best_view, judgments).where("suit_id is not null").join(liens, "judgment_key", "left")
+        link_suit_judgment(best_view, judgments, aliases).where("suit_id is not null").join(liens, "judgment_key", "left")
         .groupBy("suit_id")
         .agg(F.sum("judgment_amount").alias("judgment_amount"), F.coalesce(F.sum("liens"), F.lit(0)).alias("lien_count"))
     )
@@ -119,9 +148,12 @@ def suit_best_view_full(best_view: DataFrame, judgments: DataFrame, linked_liens
     })
 
 
-def lien_best_view(linked: DataFrame, rules: DataFrame, judgments: DataFrame, suits: DataFrame, reference_date: str):
+def lien_best_view(
+    linked: DataFrame, rules: DataFrame, judgments: DataFrame, suits: DataFrame, reference_date: str,
+    aliases: DataFrame | None = None,
+) -> DataFrame:
     """One row per lien: active or not, age, the judgment and suit behind it."""
-    origins = link_suit_judgment(suits, judgments).select("judgment_key", F.col("suit_id").alias("related_suit_id"))
+    origins = link_suit_judgment(suits, judgments, aliases).select("judgment_key", F.col("suit_id").alias("related_suit_id"))
     dated = lien_expiration(linked, rules, reference_date)
     return left_join_filled(dated, origins, ["judgment_key"]).select(
         "lien_id", "lien_type", "state_code", "filing_date", "lien_amount", "lien_status", "debtor_key",
@@ -133,12 +165,14 @@ def lien_best_view(linked: DataFrame, rules: DataFrame, judgments: DataFrame, su
     )
 
 
-def judgment_best_view(judgments: DataFrame, suits: DataFrame, linked_liens: DataFrame) -> DataFrame:
+def judgment_best_view(
+    judgments: DataFrame, suits: DataFrame, linked_liens: DataFrame, aliases: DataFrame | None = None
+) -> DataFrame:
     """One row per judgment: its suit, whether and where a lien was recorded, time to satisfaction."""
     recorded = linked_liens.where("judgment_key is not null").groupBy("judgment_key").agg(
         F.array_join(F.sort_array(F.collect_set("state_code")), ",").alias("lien_states")
     )
-    return link_suit_judgment(suits, judgments).join(recorded, "judgment_key", "left").select(
+    return link_suit_judgment(suits, judgments, aliases).join(recorded, "judgment_key", "left").select(
         "judgment_key", "suit_id", "state_code", "case_number", "judgment_date", "judgment_type", "judgment_amount",
         "satisfaction_status", "satisfaction_date",
         F.col("lien_states").isNotNull().alias("has_lien_recorded"),
@@ -147,6 +181,18 @@ def judgment_best_view(judgments: DataFrame, suits: DataFrame, linked_liens: Dat
     )
 
 
+def with_expired(dated_liens: DataFrame) -> DataFrame:
+    """Liens whose time has run out get the status EXPIRED, whatever their feed still says."""
+    out = (F.col("lien_status") == "ACTIVE") & ~F.col("is_active")
+    return dated_liens.withColumn("lien_status", F.when(out, "EXPIRED").otherwise(F.col("lien_status")))
+
+
+def frequent_parties(profile: DataFrame, suits: int = 10, liens: int = 5) -> DataFrame:
+    """Parties of many suits or many liens."""
+    appearances = F.col("suits_as_plaintiff") + F.col("suits_as_defendant")
+    return profile.where((appearances >= suits) | (F.col("liens_as_debtor") >= liens))
+
+
 def active_liens_by_state(dated_liens: DataFrame) -> DataFrame:
     return dated_liens.where("is_active").groupBy("state_code", "lien_type").agg(
         F.count(F.lit(1)).alias("active_liens"),
@@ -157,7 +203,7 @@ def active_liens_by_state(dated_liens: DataFrame) -> DataFrame:
 
 # One shape for rows of every record type, so that parties are summed in a single aggregate.
 _MEASURES = ["suits_as_plaintiff", "suits_as_defendant", "judgments_against", "unsatisfied_judgments",
-             "liens_as_debtor", "active_liens"]
+             "liens_as_debtor", "liens_as_creditor", "active_liens"]
 _SUMS = ["judgment_amount", "lien_amount", "lien_outstanding"]
 
 
@@ -192,6 +238,8 @@ def party_profile(suit_parties: DataFrame, judgments: DataFrame, dated_liens: Da
         {"liens_as_debtor": F.lit(1), "active_liens": F.col("is_active")},
         {"lien_amount": F.col("lien_amount"), "lien_outstanding": F.when(F.col("is_active"), F.col("lien_amount"))},
         None,
+    )).unionByName(_contribution(
+        dated_liens.where("creditor_key is not null"), "creditor_key", {"liens_as_creditor": F.lit(1)}, {}, None,
     ))
     total = rows.groupBy("party_key").agg(
         *[F.sum(m).alias(m) for m in _MEASURES],
@@ -238,7 +286,12 @@ def due_diligence(suit_parties: DataFrame, judgments: DataFrame, liens: DataFram
         "state_code", F.col("filing_date").alias("record_date"), F.lit("DEBTOR").alias("role"),
         F.col("lien_amount").alias("amount"),
     )
-    return suits.unionByName(decided).unionByName(filed).select(*columns)
+    held = liens.where("creditor_key is not null").select(
+        F.col("creditor_key").alias("party_key"), F.lit("LIEN").alias("record_type"), F.col("lien_id").alias("record_id"),
+        "state_code", F.col("filing_date").alias("record_date"), F.lit("CREDITOR").alias("role"),
+        F.col("lien_amount").alias("amount"),
+    )
+    return suits.unionByName(decided).unionByName(filed).unionByName(held).select(*columns)
 
 
 def all_records(best_view: DataFrame, judgments: DataFrame, liens: DataFrame) -> DataFrame:
