@@ -67,3 +67,47 @@ WITH cut AS (
 )
 SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM texts
 """
+
+#: Sets of three-word shingles, links of 90 % and what they reach.
+NGRAM_GROUPS = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ') || ' ' || len(w)]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS grams
+    FROM words
+), classes AS (
+    SELECT list_sort(grams) AS grams, min(doc_id) AS rep, len(any_value(grams)) AS n FROM sets WHERE len(grams) > 0 GROUP BY 1
+), postings AS (
+    SELECT rep, n, unnest(grams) AS gram FROM classes
+), links AS (
+    SELECT a.rep AS a, b.rep AS b FROM postings a JOIN postings b ON a.gram = b.gram AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+    GROUP BY a.rep, b.rep HAVING 100 * count(*) >= 90 * (min(a.n) + min(b.n) - count(*))
+), reach(node, seen) AS (
+    SELECT rep, rep FROM classes
+    UNION SELECT r.node, e.b FROM reach r JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) e ON r.seen = e.a
+), labels AS (
+    SELECT node, min(seen) AS component_id FROM reach GROUP BY node
+)
+SELECT s.doc_id, len(s.grams)::BIGINT AS n_shingles, coalesce(l.component_id, s.doc_id) AS component_id
+FROM sets s LEFT JOIN classes c ON len(s.grams) > 0 AND c.grams = list_sort(s.grams) LEFT JOIN labels l ON l.node = c.rep
+"""
+
+#: Turns, what is learnt of them, and the length of the template with its escapes; conversation -7 is added.
+CHAT_FORMAT = r"""
+WITH own AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), turns AS (
+    SELECT *, row_number() OVER w AS pos, lag(role) OVER w IS NOT DISTINCT FROM role AS goes_on,
+           replace(replace(text, '\', '\\'), '<|', '<\|') AS body,
+           replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n') AS head
+    FROM own WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(body) + CASE WHEN goes_on THEN length('<|next|>') ELSE length('<|start|>') + length(head) + 1 + length('<|end|>') + 1 END)::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""

@@ -11,7 +11,7 @@ from lamella.llm import (
     chat, compression, decontamination, html_text, imatch, language, mixing, ngram_join, secrets, sharding, toxicity, trie, whitening,
 )
 from lamella.llm.common import documents, id_fold, staged
-from lamella.llm.oracles import MAIN_TEXT, PREFIX_TRIE
+from lamella.llm.oracles import CHAT_FORMAT, MAIN_TEXT, NGRAM_GROUPS, PREFIX_TRIE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,4 +125,5 @@ QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_jump_shards, op2_compression_quality, op3_language_profiles, op4_secret_ownership, op5_imatch, op6_ngram_groups, op7_counterfactual_toxicity,
     op8_chat_format, op9_benchmark_leaks, op10_mix_sources, op11_embedding_whitening,
     op12_main_text, op13_prefix_trie)}
-ORACLES: dict[str, str] = {"op12_main_text": MAIN_TEXT, "op13_prefix_trie": PREFIX_TRIE}
+ORACLES: dict[str, str] = {
+    "op6_ngram_groups": NGRAM_GROUPS, "op8_chat_format": CHAT_FORMAT, "op12_main_text": MAIN_TEXT, "op13_prefix_trie": PREFIX_TRIE}
