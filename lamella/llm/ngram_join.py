@@ -25,7 +25,7 @@ from lamella.llm.words import BLANKS, WordHasher, mix64
 
 #: Frequent n-grams that one task reports, and that are known to all, at most. They change the candidates only.
 FREQUENT_A_TASK, FREQUENT = 8192, 131_072
-#: Sets of a fragment whose pairs are counted, at most.
+#: Sets, or gathered sets, of a fragment whose pairs are counted, at most.
 CROWD = 64
 #: Classes of a block, and n-grams that they have together, about; groups of more are compared block against block.
 BLOCK, VOLUME = 512, 2_000_000
@@ -211,20 +211,38 @@ def _plausible(rows: DataFrame, rounds: int = 4) -> DataFrame:
     return shared
 
 
+def _stars(shared: DataFrame) -> DataFrame:
+    """(a, b): sets that agree with the first set of their fragments in as many fragments as any link brings about.
+
+    Near copies mostly do, whatever their number, at one row for each set and fragment.
+    """
+    rows = shared.where(F.col("c1") != F.col("first")).groupBy("size_class", "c1", "first").agg(
+        F.count(F.lit(1)).alias("n"), F.max("need").alias("need"))
+    return rows.where("n >= need").select(F.col("c1").alias("a"), F.col("first").alias("b"))
+
+
 def _candidates(shared: DataFrame) -> DataFrame:
     """(a, b): links that join all sets which may be alike into one group.
 
-    In fragments of few sets the pairs are counted, and a pair that has no other fragment in common needs as many as any
-    link brings about. In a fragment of more sets all hang on the smallest one.
+    Sets are first gathered around the first sets of their fragments; what is gathered is one node from then on and needs no
+    pairs. In fragments of few nodes the pairs are counted, and a pair needs as many fragments as the least that a link of
+    their sets can bring about. In a fragment of more nodes all hang on the smallest one.
     """
-    few = shared.where(F.col("crowd") <= CROWD).select("fragment", "size_class", "c1", "need")
+    stars = staged(_stars(shared).distinct(), "ngram-stars")
+    gathered = components(stars, "ngram-gathered")
+    nodes = shared.select("fragment", "size_class", "c1", "need").join(gathered, F.col("c1") == F.col("node"), "left").groupBy(
+        "fragment", "size_class", F.coalesce("label", "c1").alias("c1")).agg(F.min("need").alias("need"))
+    crowds = nodes.groupBy("fragment").agg(F.count(F.lit(1)).alias("crowd"), F.min("c1").alias("first"), F.max("c1").alias("last"))
+    crowds = crowds.where("first <> last").drop("last")
+    nodes = staged(nodes.join(crowds, "fragment"), "ngram-nodes")
+    few = nodes.where(F.col("crowd") <= CROWD).select("fragment", "size_class", "c1", "need")
     other = few.select("fragment", F.col("c1").alias("c2"), F.col("need").alias("need_2"))
     pairs = (
         few.join(other.hint("merge"), "fragment").where("c1 < c2").groupBy("size_class", "c1", "c2")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(F.least("need", "need_2")).alias("least")).where("n >= least")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.least("need", "need_2")).alias("least")).where("n >= least")
     )
-    hung = shared.where((F.col("crowd") > CROWD) & (F.col("c1") != F.col("first"))).select(F.col("c1").alias("a"), F.col("first").alias("b"))
-    return pairs.select(F.col("c1").alias("a"), F.col("c2").alias("b")).unionByName(hung).distinct()
+    hung = nodes.where((F.col("crowd") > CROWD) & (F.col("c1") != F.col("first"))).select(F.col("c1").alias("a"), F.col("first").alias("b"))
+    return pairs.select(F.col("c1").alias("a"), F.col("c2").alias("b")).unionByName(hung).unionByName(stars).distinct()
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
