@@ -10,6 +10,8 @@ from catalog.registry import half_up, query
 from lamella.functions import numbers, scoring
 from lamella.operators.validate import REASONS, tag
 from lamella.plans import commerce
+from lamella.plans.customer_store import CustomerStore
+from lamella.staging import new_folder
 
 REF = "2001-08-02"
 NEWEST = "_ingestion_date"
@@ -261,6 +263,18 @@ def customer_360_incremental(spark, d):
     return m.withColumn("total_revenue", F.col("total_revenue").cast("double")).drop("rfm_orders", "rfm_revenue")
 
 
+@query("customer_360_batches", "SELECT * FROM o_360")
+def customer_360_batches(spark, d):
+    """Kept up to date over three batches: orders before 1995, the others, and the corrections."""
+    raw, people = bind(spark, d, "b_orders"), bind(spark, d, "b_customers")
+    first, early = F.col("_batch_id") == "b1", F.col("order_date") < "1995-01-01"
+    store = CustomerStore(spark, new_folder(spark, "customer_store"))
+    for name, of_people, of_orders in (("early", first, first & early), ("late", F.lit(False), first & ~early), ("changes", ~first, ~first)):
+        store.add(commerce.silver_customers(people.where(of_people), NEWEST)[0],
+                  commerce.silver_orders(raw.where(of_orders), NEWEST)[0], name, REF)
+    return store.table()
+
+
 _ROLL = "sum(cents) OVER (ORDER BY order_date ROWS {n} PRECEDING)", "count(*) OVER (ORDER BY order_date ROWS {n} PRECEDING) * 100"
 
 

@@ -155,22 +155,29 @@ def refresh_order_metrics(
     return previous.join(keys, "customer_id", "left_anti").unionByName(again)
 
 
-def rfm_scores(metrics: DataFrame, reference_date: str) -> DataFrame:
-    """Quintile scores 1-5 of recency, frequency and money; ties go by customer id.
+RFM_VALUES = ["recency_days", "rfm_orders", "rfm_revenue"]
 
-    ``metrics`` is read twice (ranking and scoring) and should be a stored table.
-    """
+
+def with_recency(metrics: DataFrame, reference_date: str) -> DataFrame:
     recency = dates.days_between(F.col("last_order_date"), F.lit(reference_date).cast("date"))
-    based = metrics.withColumn("recency_days", F.coalesce(recency, F.lit(9999)))
-    names = ["recency_days", "rfm_orders", "rfm_revenue"]
-    cuts = rank.quantile_cuts(based.where("total_orders > 0"), "customer_id", names)
-    if cuts is None:  # fewer customers than quintiles: nobody is scored
-        none = F.lit(None).cast("int")
-        r, f, m = none, none, none
-    else:
-        r, f, m = (rank.quantile_of(n, "customer_id", cuts[n]) for n in names)
-        scored = F.col("total_orders") > 0
-        r, f, m = F.when(scored, 6 - r), F.when(scored, f), F.when(scored, m)
+    return metrics.withColumn("recency_days", F.coalesce(recency, F.lit(9999)))
+
+
+def rfm_cuts(based: DataFrame) -> dict[str, list[tuple]] | None:
+    """Ends of the quintiles of customers with orders; None with fewer customers than quintiles."""
+    return rank.quantile_cuts(based.where("total_orders > 0"), "customer_id", RFM_VALUES)
+
+
+def rfm_quintiles(cuts: dict[str, list[tuple]] | None) -> list[Column]:
+    """Scores of recency, frequency and money; null without orders, and for everyone where there are no cuts."""
+    if cuts is None:
+        return [F.lit(None).cast("int")] * 3
+    r, f, m = (rank.quantile_of(n, "customer_id", cuts[n]) for n in RFM_VALUES)
+    return [F.when(F.col("total_orders") > 0, c) for c in (6 - r, f, m)]
+
+
+def score_by(based: DataFrame, cuts: dict[str, list[tuple]] | None) -> DataFrame:
+    r, f, m = rfm_quintiles(cuts)
     return based.withColumns({"r_score": r, "f_score": f, "m_score": m}).withColumns({
         "rfm_score": scoring.rfm_score(F.col("r_score"), F.col("f_score"), F.col("m_score")),
         "rfm_segment": F.when(
@@ -180,24 +187,32 @@ def rfm_scores(metrics: DataFrame, reference_date: str) -> DataFrame:
     })
 
 
-def customer_360(
-    customers: DataFrame, orders: DataFrame, reference_date: str, window_months: int | None = None
-) -> DataFrame:
-    """One row per customer: profile, order metrics, value tier and RFM segment."""
-    metrics = customer_order_metrics(orders, reference_date=reference_date, window_months=window_months)
-    profile = [
-        "customer_id", "email", "first_name", "last_name", "city", "state", "signup_date", "is_active",
-    ]
-    joined = customers.select(*profile).join(metrics, "customer_id", "left").fillna(
+def rfm_scores(metrics: DataFrame, reference_date: str) -> DataFrame:
+    """Quintile scores 1-5 of recency, frequency and money; ties go by customer id.
+
+    ``metrics`` is read twice (ranking and scoring) and should be a stored table.
+    """
+    based = with_recency(metrics, reference_date)
+    return score_by(based, rfm_cuts(based))
+
+
+PROFILE = ["customer_id", "email", "first_name", "last_name", "city", "state", "signup_date", "is_active"]
+
+
+def profile_with_metrics(customers: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Every customer with order metrics; zeros for those without orders."""
+    joined = customers.select(*PROFILE).join(metrics, "customer_id", "left").fillna(
         {"total_orders": 0, "avg_order_value": 0.0, "completed_orders": 0, "cancelled_orders": 0, "rfm_orders": 0}
     )
     zero = F.lit(0).cast("decimal(28,2)")
-    joined = joined.withColumns({c: F.coalesce(c, zero) for c in ("total_revenue", "rfm_revenue")})
-    scored = rfm_scores(stage(joined, "customer_profile"), reference_date)
+    return joined.withColumns({c: F.coalesce(c, zero) for c in ("total_revenue", "rfm_revenue")})
+
+
+def as_customer_360(scored: DataFrame, reference_date: str) -> DataFrame:
     ref = F.lit(reference_date).cast("date")
     tenure = F.greatest(dates.days_between(F.col("signup_date"), ref), F.lit(1))
     return scored.select(
-        *profile,
+        *PROFILE,
         "total_orders",
         F.col("total_revenue").cast("double").alias("total_revenue"),
         "avg_order_value",
@@ -209,12 +224,24 @@ def customer_360(
         "cancelled_orders",
         scoring.ltv_tier(F.col("total_revenue")).alias("ltv_tier"),
         F.coalesce("rfm_score", F.lit(0)).alias("rfm_score"),
-        F.coalesce("rfm_segment", F.lit("No Orders")).alias("rfm_segment"),
+        F.coalesce("rfm_segment", F.when(F.col("total_orders") > 0, "Not Scored").otherwise("No Orders")).alias("rfm_segment"),
         F.lit(reference_date).alias("_gold_computed_at"),
         F.lit(VERSION).alias("_gold_version"),
     )
 
 
+def customer_360(
+    customers: DataFrame, orders: DataFrame, reference_date: str, window_months: int | None = None
+) -> DataFrame:
+    """One row per customer: profile, order metrics, value tier and RFM segment.
+
+    With fewer than five customers with orders there are no quintiles: those customers are ``Not Scored``.
+    """
+    metrics = customer_order_metrics(orders, reference_date=reference_date, window_months=window_months)
+    joined = stage(profile_with_metrics(customers, metrics), "customer_profile")
+    return as_customer_360(rfm_scores(joined, reference_date), reference_date)
+
+
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows per value of several columns in one pass."""
     pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in columns])
