@@ -162,6 +162,27 @@ def sink_clustered(spark, d):
     return spark.read.parquet(path).select("judgment_key", "state_code", "judgment_type", "judgment_date", "month")
 
 
+@query("sink_interleaved", """SELECT 'day' AS read_by, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys FROM orders
+    WHERE CAST(o_orderdate AS DATE) BETWEEN date '1995-01-01' AND date '1995-03-31'
+  UNION ALL SELECT 'customer', count(*), sum(o_orderkey)::BIGINT FROM orders WHERE o_custkey BETWEEN 10 AND 60
+  UNION ALL SELECT 'priority', count(*), sum(o_orderkey)::BIGINT FROM orders WHERE o_orderpriority = '2-HIGH'""")
+def sink_interleaved(spark, d):
+    """One layout that is read by each of its columns alone."""
+    path, day = new_folder(spark, "interleaved"), F.col("o_orderdate").cast("date")
+    sinks.write_interleaved(
+        bind(spark, d, "orders").withColumn("day", day), path, ["day", "o_custkey", "o_orderpriority"], "o_orderkey")
+    stored = spark.read.parquet(path)
+    filters = {
+        "day": F.col("day").between("1995-01-01", "1995-03-31"), "customer": F.col("o_custkey").between(10, 60),
+        "priority": F.col("o_orderpriority") == "2-HIGH",
+    }
+    parts = [
+        stored.where(f).agg(F.lit(n).alias("read_by"), F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").cast("long").alias("keys"))
+        for n, f in filters.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("ingest_status", """SELECT 'products' AS source, 'ok' AS status, count(*) AS rows, false AS has_error FROM part
   UNION ALL SELECT 'missing', 'failed', 0, true UNION ALL SELECT 'unknown', 'failed', 0, true""")
 def ingest_status(spark, d):
