@@ -15,13 +15,16 @@ from lamella.llm.common import digest, fresh, hex_number
 # because a product of longs is an error in Spark SQL when it overflows.
 _HIGH, _LOW_1, _LOW_0 = 0x27BB2EE6, 0x87B0, 0xB0FD
 _MASK = 0xFFFFFFFF
+#: Steps that every key takes; beyond them only keys whose walk has not ended.
+JUMPS = 64
 
 
 def jump(key: str | Column, shards: int) -> Column:
     """struct(shard, grown): the shard of a key among ``shards``, and among one more.
 
     The state holds the current shard and the generator's halves; the next jump follows from them. A jump beyond the
-    last shard ends the walk: later steps only return the state.
+    last shard ends the walk: later steps only return the state. A walk takes about as many jumps as the natural logarithm
+    of ``shards``, so ``JUMPS`` steps end nearly all; the keys that are not through go on for as many as there can be.
     """
 
     def next_jump(s: Column) -> Column:
@@ -41,12 +44,18 @@ def jump(key: str | Column, shards: int) -> Column:
         F.lit(-1).cast("long").alias("prev"), F.lit(-1).cast("long").alias("b"),
         hex_number(F.substring(hex_digits, 1, 8)).alias("hi"), hex_number(F.substring(hex_digits, 9, 8)).alias("lo"),
     )
-    return F.aggregate(
-        F.sequence(F.lit(0), F.lit(shards)), start, step,
-        lambda s: F.struct(
-            F.when(s["b"] == shards, s["prev"]).otherwise(s["b"]).cast("int").alias("shard"), s["b"].cast("int").alias("grown")
-        ),
-    )
+
+    def result(s: Column) -> Column:
+        return F.struct(
+            F.when(s["b"] == shards, s["prev"]).otherwise(s["b"]).cast("int").alias("shard"), s["b"].cast("int").alias("grown"))
+
+    def finish(s: Column) -> Column:
+        if shards <= JUMPS:
+            return result(s)
+        rest = F.aggregate(F.sequence(F.lit(JUMPS), F.lit(shards)), s, step, result)
+        return F.when(next_jump(s) <= shards, rest).otherwise(result(s))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(min(shards, JUMPS))), start, step, finish)
 
 
 def assign_shards(docs: DataFrame, shards: int, key: str = "doc_id", shard: str = "shard") -> DataFrame:

@@ -43,6 +43,13 @@ def test_jump_for_other_counts(spark, shards):
         assert (r.j.shard, r.j.grown) == (jump_hash(seed, shards), jump_hash(seed, shards + 1))
 
 
+def test_walks_longer_than_the_common_steps(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "JUMPS", 2)
+    for r in spark.range(300).select("id", sharding.jump("id", 50).alias("j")).collect():
+        seed = int(hashlib.md5(str(r.id).encode()).hexdigest()[:16], 16)
+        assert (r.j.shard, r.j.grown) == (jump_hash(seed, 50), jump_hash(seed, 51))
+
+
 def test_sharding_odd_rows(spark, odd_docs):
     out = sharding.assign_shards(odd_docs, 4)
     assert out.columns == odd_docs.columns and out.count() == 7
@@ -161,3 +168,20 @@ def test_chat_round_trip(spark):
     parts = [by[1].formatted[s.start:s.end] for s in by[1].spans]
     assert [re.sub(r"\\([\\|])", r"\1", p) for p in parts] == nasty
     assert chat.format_chats(df.limit(0)).count() == 0
+
+
+def test_long_conversation_and_merged_blocks(spark):
+    """Runs of one to four turns of a role; twenty thousand turns are one conversation."""
+    roles = ["user", "assistant", "assistant", "tool", "assistant", "user", "user", "user", "user"]
+    many = spark.range(20_000).select(
+        F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
+        F.element_at(F.array(*map(F.lit, roles)), (F.col("id") % len(roles) + 1).cast("int")).alias("role"),
+        F.concat(F.lit("t<|"), F.col("id").cast("string")).alias("text"))
+    chats = chat.format_chats(many)
+    row = chats.withColumn("turns", chat.parse_chats(chats)).withColumn("spans", chat.loss_spans()).first()
+    assert [(t.role, t.text) for t in row.turns] == [(roles[i % len(roles)], f"t<|{i}") for i in range(20_000)]
+    assert [row.formatted[s.start:s.end] for s in row.spans] == [
+        f"t<\\|{i}" for i in range(20_000) if roles[i % len(roles)] == "assistant"]
+    changes = 1 + sum(roles[i % len(roles)] != roles[(i - 1) % len(roles)] for i in range(1, 20_000))
+    assert row.formatted.count("<|start|>") == changes
+    assert chats.select(chat.loss_spans(learn="nobody").alias("s")).first().s == []
