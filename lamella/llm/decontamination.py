@@ -10,13 +10,15 @@ the question and the answer must both overlap with the passage: short ones by th
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
-from lamella.llm.common import fresh, slices
+from lamella.llm.common import fresh, slices, staged
 from lamella.llm.words import PUNCTUATION, WordHasher, mix64
 
 K1, B = 1.2, 0.75
@@ -24,7 +26,8 @@ THRESHOLD = 0.6
 OVERLAP = 0.5
 #: Parts of at most so many words are compared by words; in a longer one three changed words spare half of the 4-grams.
 SHORT = 26
-#: Items of one block of the index, and of one index; more items make several indexes, each asked by every passage.
+#: Items of one block of the index, and of one index; more items make several indexes with the statistics of all items, each
+#: asked by every passage.
 BLOCK, ITEMS_AN_INDEX = 64, 20_000
 _LEAKS = "array<struct<item_id:long,score:double,question:double,answer:double>>"
 
@@ -66,16 +69,28 @@ def _words_share(want: np.ndarray, passage: np.ndarray, length: int) -> float:
     return float(hits.max() / len(want))
 
 
+class Statistics(NamedTuple):
+    """Of all items of a benchmark, for an index that holds a part of them: frequencies of the part's terms, in their order."""
+
+    items: int
+    mean_length: float
+    longest: int
+    frequency: np.ndarray
+
+
 class Index:
-    """Postings by term and block of items, with the greatest impact of a term in each block."""
+    """Postings by term and block of items, with the greatest impact of a term in each block.
+
+    Without ``whole`` the items are the whole benchmark.
+    """
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], whole: Statistics | None = None):
         hasher = WordHasher(PUNCTUATION)
         hashes, counts = hasher([t for _, t in items])
         ends = np.cumsum(counts)
         own = [hashes[e - c : e] for e, c in zip(ends, counts, strict=True)]
         self.ids = [i for i, _ in items]
-        self.window = 2 * int(max(counts, default=1))
+        self.window = 2 * (whole.longest if whole else int(max(counts, default=1)))
         parts = [split_item(t or "") for _, t in items]
         # a short part of an item is verified by its distinct words, a long one by its 4-grams
         self.parts = [tuple((len(h), np.unique(h) if len(h) <= SHORT else _grams(h, 4)) for h in (hasher([p])[0] for p in qa)) for qa in parts]
@@ -83,9 +98,9 @@ class Index:
         item = np.repeat(np.arange(len(items)), counts)
         pairs, tf = np.unique(at * max(1, len(items)) + item, return_counts=True)
         term, doc = pairs // max(1, len(items)), pairs % max(1, len(items))
-        df = np.bincount(term, minlength=len(self.terms))
-        idf = np.log(1 + (len(items) - df + 0.5) / (df + 0.5))
-        length = counts / max(1.0, counts.mean()) if len(items) else counts
+        df = whole.frequency if whole else np.bincount(term, minlength=len(self.terms))
+        idf = np.log(1 + ((whole.items if whole else len(items)) - df + 0.5) / (df + 0.5))
+        length = counts / max(1.0, whole.mean_length if whole else counts.mean()) if len(items) else counts
         impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc]))
         impact = impact / np.bincount(doc, impact, len(items))[doc]
         # sorted by term, then item: a term's postings, and inside them its blocks, are slices
@@ -173,8 +188,7 @@ def _scan(texts: list, index: Index, hasher: WordHasher, threshold: float, overl
     return [[own[i] for i in sorted(own)] for own in found]
 
 
-def _searcher(items: list[tuple[int, str]], threshold: float, overlap: float):
-    index = Index(items)
+def _searcher(index: Index, threshold: float, overlap: float):
 
     @F.pandas_udf(_LEAKS)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -190,14 +204,36 @@ def _searcher(items: list[tuple[int, str]], threshold: float, overlap: float):
     return search
 
 
+@F.pandas_udf(ArrayType(LongType()))
+def _hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The word hashes of each text, as the index makes them."""
+    hasher = WordHasher(PUNCTUATION)
+    for texts in batches:
+        hashes, counts = hasher(texts.tolist())
+        yield pd.Series(np.split(hashes.view(np.int64), np.cumsum(counts)[:-1])) if len(texts) else pd.Series([], dtype=object)
+
+
+def _indexes(items: DataFrame, parts: int) -> Iterator[Index]:
+    """One index a part. Frequencies and lengths are counted by Spark over all items; a part's own share comes back."""
+    part = F.pmod(F.xxhash64("item_id"), F.lit(parts))
+    words = staged(items.select("item_id", "text", part.alias("part"), _hashed("text").alias("words")), "benchmark-words")
+    total, mean, longest = words.select(F.count(F.lit(1)), F.avg(F.size("words")), F.max(F.size("words"))).first()
+    terms = words.select("part", F.explode(F.array_distinct("words")).alias("term"))
+    counted = staged(terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.collect_set("part").alias("parts")), "benchmark-terms")
+    for p in range(parts):
+        own = sorted((r.item_id, r.text) for r in words.where(F.col("part") == p).select("item_id", "text").collect())
+        table = counted.where(F.array_contains("parts", F.lit(p).cast("long"))).select("term", "df").toPandas()
+        order = np.argsort(table["term"].to_numpy(np.int64).view(np.uint64))
+        yield Index(own, Statistics(total, mean, longest, table["df"].to_numpy(np.int64)[order]))
+
+
 def _searchers(benchmark: DataFrame, threshold: float, overlap: float) -> list:
     """One search function for each ITEMS_AN_INDEX items. Items without text or id are left out."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND trim(text) <> ''").distinct()
     parts = max(1, -(-items.count() // ITEMS_AN_INDEX))
-    return [
-        _searcher(sorted((r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == p).collect()), threshold, overlap)
-        for p in range(parts)
-    ]
+    if parts == 1:
+        return [_searcher(Index(sorted((r.item_id, r.text) for r in items.collect())), threshold, overlap)]
+    return [_searcher(index, threshold, overlap) for index in _indexes(items, parts)]
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id",

@@ -296,3 +296,18 @@ def test_pipeline(spark, sf):
             assert decontamination.find_leaks(out, spark.read.parquet(f"{sf}/benchmark.parquet")).count() == 0
     got = corpus_pipeline.run(spark, sf)
     assert sorted(map(str, got.collect())) == sorted(map(str, out.collect())) and 0 < got.select(F.max("shard")).first()[0] < 16
+
+
+def test_several_indexes_score_as_one(spark, sf, monkeypatch):
+    docs, benchmark = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+
+    def found():
+        rows = decontamination.find_leaks(docs, benchmark, threshold=0.3, overlap=0.1).collect()
+        return {(r.doc_id, r.item_id): (r.score, r.question_overlap, r.answer_overlap) for r in rows}
+
+    one, kept = found(), decontamination.remove_leaks(docs, benchmark).count()
+    monkeypatch.setattr(decontamination, "ITEMS_AN_INDEX", 7)
+    several = found()
+    assert benchmark.count() > 14 and len(one) > 10 and set(several) == set(one)
+    assert all(several[k] == pytest.approx(one[k], abs=1e-9) for k in one)
+    assert decontamination.remove_leaks(docs, benchmark).count() == kept
