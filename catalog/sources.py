@@ -36,14 +36,14 @@ def src_csv_tab(spark, d):
   '{"plaintiffs":[{"name":"' || c_name || '"}],"defendants":[{"name":"' || n_name || '"}]}' AS parties
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""")
 def src_json_raw(spark, d):
-    """Each file holds one JSON array of up to a thousand cases, as a court would send them."""
+    """Each file holds one JSON array of up to five thousand cases, as a court would send them."""
     cases = bind(spark, d, "orders").join(bind(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(
         bind(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     name = lambda c: F.array(F.struct(F.col(c).alias("name")))
     document = F.to_json(F.struct(
         F.col("o_orderkey").alias("docket_id"), F.col("o_orderpriority").alias("priority"),
         F.struct(name("c_name").alias("plaintiffs"), name("n_name").alias("defendants")).alias("parties")))
-    files = cases.groupBy(F.floor(F.col("o_orderkey") / 1000).alias("f")).agg(F.collect_list(document).alias("docs"))
+    files = cases.groupBy(F.floor(F.col("o_orderkey") / 5000).alias("f")).agg(F.collect_list(document).alias("docs"))
     path = new_folder(spark, "json")
     files.select(F.concat(F.lit("[\n"), F.array_join("docs", ",\n"), F.lit("\n]")).alias("value")).write.option(
         "maxRecordsPerFile", 1).text(path)

@@ -13,6 +13,9 @@ from lamella.specs import SourceSpec
 
 CORRUPT = "_corrupt_record"
 
+# Control characters, which JSON must escape: no document holds them, so a file read in lines that end there is one line.
+_NEVER_IN_JSON = "\x1e" * 8
+
 
 def all_text(names: list[str], corrupt: bool = False) -> StructType:
     names = [*names, CORRUPT] if corrupt else names
@@ -40,8 +43,11 @@ def read_json_raw(
 
     ``multiline`` reads pretty-printed files and top-level arrays, whole file by file. Without ``fields``
     their names are found by one extra pass.
+
+    A whole file is read as one long line. Spark's ``multiLine`` would parse the open file and, to keep the text of
+    each object or array, seek back and forth in it once per field; out of a line in memory the text is copied.
     """
-    reader = spark.read.option("multiLine", multiline)
+    reader = spark.read.option("lineSep", _NEVER_IN_JSON) if multiline else spark.read
     if not fields:
         fields = [f.name for f in reader.json(path).schema if f.name != CORRUPT]
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}

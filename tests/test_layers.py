@@ -1,5 +1,6 @@
 """Sources, sinks, pipelines and streams on small files."""
 
+import gzip
 import json
 
 import pytest
@@ -24,6 +25,25 @@ def test_nested_json_array_keeps_text(spark, tmp_path):
     assert json.loads(rows[0]["parties"]) == doc[0]["parties"] and rows[0]["amount"] == "12.5" and rows[1]["amount"] is None
 
 
+def test_json_raw_keeps_text_of_split_and_packed_files(spark, tmp_path):
+    """Nested text stays as written, also in a gzip file and in one that Spark cuts in parts."""
+    cases = ",\n".join(f'{{"id": {i}, "parties": {{"a": [{i},  1.50]}}}}' for i in range(20_000))
+    for folder, opened in (("plain", open), ("packed", gzip.open)):
+        (tmp_path / folder).mkdir()
+        with opened(tmp_path / folder / ("a.json" + ".gz" * (folder == "packed")), "wt") as f:
+            f.write(f"[\n{cases}\n]")
+    expected = {(str(i), f'{{"a": [{i},  1.50]}}') for i in range(20_000)}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        for folder in ("plain", "packed"):
+            rows = readers.read_json_raw(spark, str(tmp_path / folder), ["id", "parties"])
+            assert {tuple(r) for r in rows.collect()} == expected
+            assert rows.count() == len(expected)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_malformed_json_lines(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"a": 1}\nbroken\n{"a": 2}\n')
     df = readers.read_jsonl_raw(spark, str(tmp_path / "a.jsonl"), ["a"], keep_malformed=True)
