@@ -131,7 +131,7 @@ FROM o_best b LEFT JOIN (SELECT suit_id, CAST(sum(judgment_amount) AS DECIMAL(28
                (SELECT count(*) FROM o_linked l WHERE l.judgment_key = j.judgment_key) AS n FROM o_judged j) GROUP BY 1) p
   ON b.suit_id = p.suit_id""", money=("judgment_amount",))
 def suit_best_view_full(spark, d):
-    full = pr.suit_best_view_full(best_view(spark, d), judgments(spark, d), linked(spark, d))
+    full = pr.suit_best_view_full(stage(best_view(spark, d), "best"), judgments(spark, d), linked(spark, d))
     return full.select("suit_id", "state_code", "case_number", "days_open", "judgment_amount", "has_judgment", "lien_count")
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamella.operators.skew import place
 
-def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+
+def keep_first(df: DataFrame, keys: list[str | Column], order: list[Column]) -> DataFrame:
     """First row per key in a total order.
 
     The filter sits directly on the row number, so Spark keeps one row per key in every map task before
@@ -17,9 +19,12 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 
 
 def latest(df: DataFrame, keys: list[str], newest: str, ties: list[str] | None = None) -> DataFrame:
-    """Latest row per key; equal times fall back to all other columns, so the choice is repeatable."""
+    """Latest row per key; equal times fall back to all other columns, so the choice is repeatable.
+
+    The rows are wide and their ids begin alike, so they are sorted by ``place`` first.
+    """
     ties = ties if ties is not None else [c for c in df.columns if c not in (*keys, newest)]
-    return keep_first(df, keys, [F.col(newest).desc(), *[F.col(c).asc() for c in ties]])
+    return keep_first(df, [place(*keys), *keys], [F.col(newest).desc(), *[F.col(c).asc() for c in ties]])
 
 
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int, into: str = "rank") -> DataFrame:

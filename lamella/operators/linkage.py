@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamella.operators.dedupe import keep_first
+from lamella.operators.skew import place
 
 
 def orphans(children: DataFrame, parents: DataFrame, on: list[str]) -> DataFrame:
@@ -40,8 +41,8 @@ def nearest_by_key(
     # Both frames grow, one along each direction of time (a shrinking frame would be recomputed per row), and
     # being range frames they include the targets of the same day.
     so_far = Window.unboundedPreceding, Window.currentRow
-    forward = Window.partitionBy(*on).orderBy(F.col("_day").asc()).rangeBetween(*so_far)
-    backward = Window.partitionBy(*on).orderBy(F.col("_day").desc()).rangeBetween(*so_far)
+    forward = Window.partitionBy(place(*on), *on).orderBy(F.col("_day").asc()).rangeBetween(*so_far)
+    backward = Window.partitionBy(place(*on), *on).orderBy(F.col("_day").desc()).rangeBetween(*so_far)
     before = F.last(seen, ignorenulls=True).over(forward)
     after = F.last(seen, ignorenulls=True).over(backward)
     both = line.withColumns({"_b": before, "_a": after}).where("_asks")

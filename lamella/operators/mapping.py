@@ -70,11 +70,12 @@ def rename_fields(feed: DataFrame, mapping: CourtMapping, carry: list[str]) -> D
         names = _sides(f"`{mapping.caption}`")
     parties = {f"{side}s": _one_party(name) for side, name in names.items()}
     if mapping.nested_parties in columns:
-        nested = f"from_json(`{mapping.nested_parties}`, '{PARTIES_JSON}')"
-        parties = {side: f"{nested}.{side}" for side in parties}
+        # Parsed in a step before, so that each text is parsed once though two fields are taken from it.
+        feed = feed.selectExpr("*", f"from_json(`{mapping.nested_parties}`, '{PARTIES_JSON}') AS _nested")
+        parties = {side: f"_nested.{side}" for side in parties}
     if mapping.nested_disposition in columns:
-        outcome = f"from_json(`{mapping.nested_disposition}`, 'struct<type:string,date:string>')"
-        fields["disposition"], fields["disposition_date"] = f"{outcome}.type", f"{outcome}.date"
+        feed = feed.selectExpr("*", f"from_json(`{mapping.nested_disposition}`, 'struct<type:string,date:string>') AS _outcome")
+        fields["disposition"], fields["disposition_date"] = "_outcome.type", "_outcome.date"
     constants = {
         "state_code": mapping.state, "record_source": mapping.record_source, "_prefix": mapping.id_prefix or mapping.state,
         "_format": mapping.date_format, "_zero_is_null": mapping.zero_is_null, "_status_from_date": mapping.status_from_date,

@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lamella.staging import stage
+
+
+def place(*on: str | Column) -> Column:
+    """A number that goes before the key columns ``on`` where rows are sorted by them; the columns stay part of the key.
+
+    Sorts compare 8 bytes of the first column, and only where these are equal, rows with all columns. Ids and court names
+    begin alike ("TX_Harris_County_"), so nearly every comparison would read the rows; numbers mostly differ.
+    """
+    return F.xxhash64(*on)
+
 
 def salted_join(
     left: DataFrame,
@@ -21,7 +32,10 @@ def salted_join(
     unique columns ``spread``, its right row is copied once per split. There can be at most ``share`` such
     keys, so their list is small enough to broadcast and the copies add at most 2 x ``share`` rows. Rows
     without a key match nothing and are spread too. The hash makes a retried task repeat its choice.
+
+    ``right`` is written once: its sum, its hot keys and its copies would each work it out again.
     """
+    right = stage(right, "salted")
     total = right.select(F.sum(rows)).scalar()
     splits = F.ceil(F.try_divide(F.col(rows) * share, total)).cast("int")
     is_hot = (F.col(rows) * share >= total) & (F.col(rows) > 0)
@@ -38,7 +52,8 @@ def salted_join(
         .drop("_splits")
     )
     copied = right.withColumn("_salt", F.explode(copies))
-    return salted.join(copied, [*on, "_salt"], how).drop("_salt")
+    sides = [side.withColumn("_place", place(*on, "_salt")) for side in (salted, copied)]
+    return sides[0].join(sides[1], ["_place", *on, "_salt"], how).drop("_place", "_salt")
 
 
 def left_join_filled(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:

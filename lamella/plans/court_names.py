@@ -19,7 +19,8 @@ def court_form(county: Column) -> Column:
     """Lower case without punctuation and without the word for the kind of district. Null or nothing left is null."""
     words = text.squeeze(F.regexp_replace(F.lower(county), r"[^\p{L}\p{M}\p{N} ]", " "))
     bare = text.squeeze(F.regexp_replace(words, r"^(?:county|city and county|parish|borough) of |\b(?:county|cnty|parish|borough)\b", ""))
-    return F.nullif(F.trim(F.coalesce(F.nullif(bare, F.lit("")), words)), F.lit(""))
+    # The first that is not empty. Tests for empty text would each hold the patterns again, and filters run them each time.
+    return F.get(F.filter(F.array(bare, words), lambda w: w != ""), F.lit(0))
 
 
 def court_aliases(spark: SparkSession, more: list[tuple[str, str, str]] = ()) -> DataFrame:

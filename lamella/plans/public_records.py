@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lamella.functions import dates, numbers
 from lamella.operators.linkage import near_by_amount_and_day, nearest_by_key
 from lamella.operators.mapping import inline_table
-from lamella.operators.skew import left_join_filled
+from lamella.operators.skew import left_join_filled, place
 from lamella.plans.court_names import with_court
 from lamella.plans.courts import STATES
 from lamella.staging import stage
@@ -59,19 +59,33 @@ def lien_expiration(liens: DataFrame, rules: DataFrame, reference_date: str) ->
     )
 
 
+def _with_court_text(df: DataFrame, aliases: DataFrame | None) -> DataFrame:
+    """``with_court``, and empty text for a missing court."""
+    return with_court(df, aliases).withColumn("_court", F.coalesce("_court", F.lit("")))
+
+
 def _suit_candidates(suits: DataFrame, judgments: DataFrame, aliases: DataFrame | None) -> DataFrame:
-    """Judgments with ``suit_id`` and ``_suits``, the number of suits that fit; the suit is null unless it is one."""
-    named = with_court(suits.select("suit_id", "state_code", "county", "case_number"), aliases)
-    asked = with_court(judgments, aliases)
+    """Judgments with ``suit_id`` and ``_suits``, the number of suits that fit; the suit is null unless it is one.
+
+    Judgments without a court look for the number in the whole state; ``_whole`` tells these from the others, so that one
+    join does for both. Inside, a missing court is empty text: the patterns of the court's name run once a row, where a
+    test for null would run them again in the filters that Spark derives from it.
+    """
+    on = ["_place", "state_code", "_court", "_whole", "case_number"]
+
+    def placed(df: DataFrame, whole: Column) -> DataFrame:
+        return df.withColumn("_whole", whole).withColumn("_place", place(*on[1:]))
 
-    def fitting(on: list[str]) -> DataFrame:
-        counted = named.groupBy(*on).agg(F.min("suit_id").alias("suit_id"), F.count(F.lit(1)).alias("_suits"))
+    def fitting(suits_of: DataFrame, whole: bool) -> DataFrame:
+        counted = placed(suits_of, F.lit(whole)).groupBy(*on).agg(
+            F.min("suit_id").alias("suit_id"), F.count(F.lit(1)).alias("_suits"))
         return counted.withColumn("suit_id", F.when(F.col("_suits") == 1, F.col("suit_id")))
 
-    court, state = ["state_code", "_court", "case_number"], ["state_code", "case_number"]
-    known = left_join_filled(asked.where("_court is not null"), fitting(court), court)
-    rest = left_join_filled(asked.where("_court is null"), fitting(state), state)
-    return known.unionByName(rest).select(*judgments.columns, "_court", "suit_id", "_suits")
+    named = suits.select("suit_id", "state_code", "county", "case_number")
+    fits = fitting(_with_court_text(named, aliases), False).unionByName(fitting(named.withColumn("_court", F.lit("")), True))
+    asked = placed(_with_court_text(judgments, aliases), F.col("_court") == "")
+    joined = left_join_filled(asked, fits, on)
+    return joined.withColumn("_court", F.nullif("_court", F.lit(""))).select(*judgments.columns, "_court", "suit_id", "_suits")
 
 
 def link_suit_judgment(suits: DataFrame, judgments: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
@@ -86,8 +100,8 @@ def link_suit_judgment(suits: DataFrame, judgments: DataFrame, aliases: DataFram
 
 def unlinked_judgments(suits: DataFrame, judgments: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """Every judgment that links to no suit, with the reason: for review, so that none is lost without a trace."""
-    courts = with_court(suits.select("state_code", "county"), aliases).select("state_code", "_court").where("_court is not null").distinct()
-    open_ones = _suit_candidates(suits, judgments, aliases).where("suit_id is null").drop("suit_id")
+    courts = _with_court_text(suits.select("state_code", "county").distinct(), aliases).select("state_code", "_court").distinct()
+    open_ones = stage(_suit_candidates(suits, judgments, aliases).where("suit_id is null").drop("suit_id"), "unlinked")
     placed = left_join_filled(open_ones, courts.withColumn("_known", F.lit(True)), ["state_code", "_court"])
     reason = (
         F.when(F.col("case_number").isNull(), "NO_CASE_NUMBER").when(F.col("_suits") > 1, "SEVERAL_SUITS")
@@ -111,7 +125,9 @@ def link_judgment_lien(judgments: DataFrame, liens: DataFrame, aliases: DataFram
     for on in ([["state_code", "_court", "related_case_number"]] if by_court else []) + [["state_code", "related_case_number"]]:
         named = unlinked.where("related_case_number is not null and judgment_key is null")
         exact = nearest_by_key(named, cases, on, "filing_date", "judgment_date", "judgment_key").withColumnRenamed("judgment_key", "_found")
-        filled = left_join_filled(unlinked, exact, [*on, "filing_date"])
+        key = [*on, "filing_date"]
+        sides = [side.withColumn("_place", place(*key)) for side in (unlinked, exact)]
+        filled = left_join_filled(*sides, ["_place", *key]).drop("_place")
         unlinked = stage(filled.withColumn("judgment_key", F.coalesce("judgment_key", "_found")).drop("_found"), "liens")
     tried = unlinked.select(*columns, "judgment_key")
     found = tried.where("judgment_key is not null").withColumn("confidence", F.lit("HIGH"))
@@ -139,10 +155,11 @@ def suit_best_view_full(
     liens = linked_liens.where("judgment_key is not null").groupBy("judgment_key").agg(F.count(F.lit(1)).alias("liens"))
     per_suit = (
         link_suit_judgment(best_view, judgments, aliases).where("suit_id is not null").join(liens, "judgment_key", "left")
-        .groupBy("suit_id")
+        .groupBy(place("suit_id").alias("_place"), "suit_id")
         .agg(F.sum("judgment_amount").alias("judgment_amount"), F.coalesce(F.sum("liens"), F.lit(0)).alias("lien_count"))
     )
-    return best_view.join(per_suit, "suit_id", "left").withColumns({
+    placed = best_view.withColumn("_place", place("suit_id"))
+    return placed.join(per_suit, ["_place", "suit_id"], "left").drop("_place").withColumns({
         "has_judgment": F.col("judgment_amount").isNotNull(),
         "lien_count": F.coalesce("lien_count", F.lit(0)),
     })

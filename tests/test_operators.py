@@ -267,3 +267,34 @@ def test_an_order_that_moves_counts_for_neither_twice(spark):
     got = commerce.refresh_order_metrics(previous, before, after, changed, **options)
     want = commerce.customer_order_metrics(after, **options)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())), "C has no orders left and goes"
+
+
+def _parquet(spark, path, rows, schema):
+    spark.createDataFrame(rows, schema).write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+def test_courts_are_read_once_a_row(spark, tmp_path):
+    """Suits and judgments link with and without courts, and no filter runs the patterns of the court's name again."""
+    from lamella.plans import public_records
+
+    suits = _parquet(spark, tmp_path / "s", [
+        ("s1", "TX", "Harris County", "1"), ("s2", "TX", None, "2"), ("s3", "TX", "Travis", "3"), ("s4", "TX", "Harris", "3"),
+        ("s5", "TX", "--", "4"), ("s6", "TX", None, None)], "suit_id string, state_code string, county string, case_number string")
+    judgments = _parquet(spark, tmp_path / "j", [
+        (1, "TX", "HARRIS", "1"), (2, "TX", None, "2"), (3, "TX", None, "3"), (4, "TX", "Travis County", "3"), (5, "TX", "", "4"),
+        (6, "TX", "Harris", "2"), (7, "TX", None, None), (8, None, "Harris", "1")],
+        "judgment_key int, state_code string, county string, case_number string")
+    linked = public_records.link_suit_judgment(suits, judgments)
+    assert {r.judgment_key: r.suit_id for r in linked.collect()} == {
+        1: "s1", 2: "s2", 3: None, 4: "s3", 5: "s5", 6: None, 7: None, 8: None}
+    plan = linked._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "regexp_replace" in line]
+
+
+def test_salted_join_works_out_its_right_side_once(spark, tmp_path):
+    facts = _parquet(spark, tmp_path / "f", [(i, i % 3) for i in range(30)], "id int, grp int")
+    stats = facts.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    joined = skew.salted_join(facts, stats, ["grp"], "n", ["id"])
+    assert {(r.id, r.n) for r in joined.collect()} == {(i, 10) for i in range(30)}
+    assert "count(1)" not in joined._jdf.queryExecution().optimizedPlan().toString()
