@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.bindings import DERIVED, bind
-from catalog.records import best_view, suits
+from catalog.records import best_view, latest_suits, suits
 from catalog.registry import half_up, query
 from lamella.operators import parties, similarity
 from lamella.plans import public_records as pr
@@ -14,6 +14,7 @@ from lamella.plans import records
 from lamella.staging import new_folder, stage
 
 REF = "2001-08-02"
+LINKED = ["suit_id", "state_code", "county", "case_number"]  # what links judgments to suits
 
 
 def judgments(spark: SparkSession, d: str) -> DataFrame:
@@ -89,7 +90,7 @@ def active_liens(spark, d):
 
 @query("link_suit_judgment", "SELECT judgment_key, state_code, case_number, suit_id FROM o_judged")
 def link_suit_judgment(spark, d):
-    return pr.link_suit_judgment(suits(spark, d), judgments(spark, d)).select(
+    return pr.link_suit_judgment(latest_suits(spark, d), judgments(spark, d)).select(
         "judgment_key", "state_code", "case_number", "suit_id")
 
 
@@ -107,7 +108,7 @@ def unlinked_judgments(spark, d):
     asked = judgments(spark, d).withColumns({
         "county": F.when(key % 5 == 0, "Nowhere County").otherwise(F.upper(F.replace("county", F.lit(" County")))),
         "case_number": F.when(key % 11 == 0, None).when(key % 7 == 0, F.concat(F.lit("x"), "case_number")).otherwise(F.col("case_number"))})
-    found = pr.unlinked_judgments(suits(spark, d), asked)
+    found = pr.unlinked_judgments(suits(spark, d, *LINKED), asked)
     return found.select("judgment_key", F.col("suits_that_fit").cast("int").alias("suits_that_fit"), "reason")
 
 
@@ -120,7 +121,7 @@ def link_judgment_lien(spark, d):
   FROM o_judged j LEFT JOIN (SELECT judgment_key, lien_id, lien_amount, confidence FROM o_linked WHERE judgment_key IS NOT NULL) l
     ON j.judgment_key = l.judgment_key""", money=("judgment_amount", "lien_amount",))
 def xref_chain(spark, d):
-    return pr.xref_chain(suits(spark, d), judgments(spark, d), linked(spark, d))
+    return pr.xref_chain(latest_suits(spark, d), judgments(spark, d), linked(spark, d))
 
 
 @query("suit_best_view_full", """SELECT b.suit_id, b.state_code, b.case_number, days_open, judgment_amount,
@@ -131,7 +132,10 @@ FROM o_best b LEFT JOIN (SELECT suit_id, CAST(sum(judgment_amount) AS DECIMAL(28
                (SELECT count(*) FROM o_linked l WHERE l.judgment_key = j.judgment_key) AS n FROM o_judged j) GROUP BY 1) p
   ON b.suit_id = p.suit_id""", money=("judgment_amount",))
 def suit_best_view_full(spark, d):
-    full = pr.suit_best_view_full(stage(best_view(spark, d), "best"), judgments(spark, d), linked(spark, d))
+    counts = ["plaintiff_count", "defendant_count"]
+    s = suits(spark, d, *LINKED, "filing_date", "disposition_date", "plaintiffs", "defendants")
+    best = records.suit_best_view(s, records.extract_parties(s), REF, [*LINKED, "days_open", *counts])
+    full = pr.suit_best_view_full(best, judgments(spark, d), linked(spark, d), suits=s)
     return full.select("suit_id", "state_code", "case_number", "days_open", "judgment_amount", "has_judgment", "lien_count")
 
 
@@ -140,7 +144,7 @@ def suit_best_view_full(spark, d):
   k.judgment_key AS related_judgment_key, confidence
 FROM o_dated l JOIN o_linked k ON l.lien_id = k.lien_id LEFT JOIN o_judged j ON k.judgment_key = j.judgment_key""", money=("lien_amount",))
 def lien_best_view(spark, d):
-    return pr.lien_best_view(linked(spark, d), pr.lien_rules(spark), judgments(spark, d), suits(spark, d), REF)
+    return pr.lien_best_view(linked(spark, d), pr.lien_rules(spark), judgments(spark, d), latest_suits(spark, d), REF)
 
 
 @query("judgment_best_view", """SELECT j.judgment_key, suit_id, state_code, case_number, judgment_date, judgment_type,
@@ -149,7 +153,7 @@ def lien_best_view(spark, d):
 FROM o_judged j LEFT JOIN (SELECT judgment_key, string_agg(DISTINCT state_code, ',' ORDER BY state_code) AS lien_states
   FROM o_linked GROUP BY 1) l ON j.judgment_key = l.judgment_key""", money=("judgment_amount",))
 def judgment_best_view(spark, d):
-    return pr.judgment_best_view(judgments(spark, d), suits(spark, d), linked(spark, d))
+    return pr.judgment_best_view(judgments(spark, d), latest_suits(spark, d), linked(spark, d))
 
 
 DERIVED["o_profile_of_party"] = f"""

@@ -88,14 +88,21 @@ def canonical(spark: SparkSession, d: str, states: list[str] | None = None) -> D
     return records.canonical_suits(spark, court_feeds(spark, d, states), CARRY)
 
 
-def suits(spark: SparkSession, d: str) -> DataFrame:
-    """The silver layer as a stored table: every gold table reads it more than once."""
-    return stage(records.silver_suits(canonical(spark, d), NEWEST)[0], "suits")
+def latest_suits(spark: SparkSession, d: str) -> DataFrame:
+    """The silver layer, for those who read it once."""
+    return records.silver_suits(canonical(spark, d), NEWEST)[0]
 
 
-def parties_of(s: DataFrame) -> DataFrame:
+def suits(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """The silver layer as a stored table, for gold tables that read it more than once; with ``columns``, these of it."""
+    silver = latest_suits(spark, d)
+    return stage(silver.select(*columns) if columns else silver, "suits")
+
+
+def parties_of(s: DataFrame, *columns: str) -> DataFrame:
     """The silver party table, stored like the suits."""
-    return stage(records.extract_parties(s, ["state_code", "filing_date"]), "parties")
+    rows = records.extract_parties(s, ["state_code", "filing_date"])
+    return stage(rows.select(*columns) if columns else rows, "parties")
 
 
 def parties(spark: SparkSession, d: str) -> DataFrame:
@@ -103,8 +110,9 @@ def parties(spark: SparkSession, d: str) -> DataFrame:
 
 
 def best_view(spark: SparkSession, d: str) -> DataFrame:
+    """The parties are counted as they are read: nobody else asks for them here, so they are not stored."""
     s = suits(spark, d)
-    return records.suit_best_view(s, parties_of(s), REF)
+    return records.suit_best_view(s, records.extract_parties(s), REF)
 
 
 DERIVED["o_canon"] = """
@@ -269,8 +277,9 @@ def party_stats(spark, d):
   total_suits_as_plaintiff, total_suits_as_defendant, first_appearance_date, last_appearance_date, total_appearances,
   is_frequent_litigant FROM o_parties_shown p JOIN o_stats s ON p.party_name = s.party_name""")
 def party_best_view(spark, d):
-    s = suits(spark, d)
-    return records.party_best_view(parties_of(s), s).select(
+    s = latest_suits(spark, d)
+    named = parties_of(s, "party_id", "suit_id", "party_type", "party_name", "is_entity", "filing_date")
+    return records.party_best_view(named, s).select(
         "party_id", "suit_id", "party_type", "party_name", "is_entity", "filing_date", "total_suits_as_plaintiff",
         "total_suits_as_defendant", "first_appearance_date", "last_appearance_date", "total_appearances",
         "is_frequent_litigant")
@@ -279,8 +288,8 @@ def party_best_view(spark, d):
 @query("frequent_litigants", """SELECT s.*, last_appearance_date - first_appearance_date AS litigation_span_days,
   regexp_matches(party_name, '\\b(LLC|BANK)\\b') AS is_entity FROM o_stats s WHERE is_frequent_litigant""")
 def frequent_litigants(spark, d):
-    s = suits(spark, d)
-    return records.frequent_litigants(parties_of(s).drop("filing_date"), s)
+    s = suits(spark, d, "suit_id", "state_code", "filing_date", "plaintiffs", "defendants")
+    return records.frequent_litigants(parties_of(s, "party_id", "suit_id", "party_type", "party_name"), s)
 
 
 @query("suit_best_view", "SELECT * FROM o_best", money=("amount_demanded",))

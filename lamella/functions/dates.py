@@ -11,7 +11,8 @@ END_OF_TIME = "9999-12-31"
 
 
 def parse_date(c: Column, fmt: str) -> Column:
-    return F.try_to_date(F.trim(c), fmt)
+    """Empty text is taken out before: a text that cannot be read costs the parser an exception a row."""
+    return F.try_to_date(F.nullif(F.trim(c), F.lit("")), fmt)
 
 
 def parse_date_by(c: Column, fmt: Column, formats: Iterable[str]) -> Column:

@@ -117,7 +117,7 @@ def canonicalize(
 
     first = {side: F.get(F.col(side), F.lit(0))["name"] for side in ("plaintiffs", "defendants")}
     return coded.select(
-        F.concat_ws("_", "_prefix", F.regexp_replace("county", " ", "_"), "case_number").alias("suit_id"),
+        F.concat_ws("_", "_prefix", F.translate("county", " ", "_"), "case_number").alias("suit_id"),
         "state_code", "record_source", "county", "case_number", "case_type", "case_type_raw",
         day("filing_date").alias("filing_date"),
         F.col("filing_date").alias("filing_date_raw"),

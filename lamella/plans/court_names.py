@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +19,17 @@ COURT_ALIASES = [
 
 def court_form(county: Column) -> Column:
     """Lower case without punctuation and without the word for the kind of district. Null or nothing left is null."""
-    words = text.squeeze(F.regexp_replace(F.lower(county), r"[^\p{L}\p{M}\p{N} ]", " "))
-    bare = text.squeeze(F.regexp_replace(words, r"^(?:county|city and county|parish|borough) of |\b(?:county|cnty|parish|borough)\b", ""))
-    # The first that is not empty. Tests for empty text would each hold the patterns again, and filters run them each time.
-    return F.get(F.filter(F.array(bare, words), lambda w: w != ""), F.lit(0))
+    words = F.trim(F.regexp_replace(F.lower(county), r"[^\p{L}\p{M}\p{N}]+", " "))
+
+    def bare(w: Column) -> Column:
+        named = reduce(lambda a, b: a | b, [w.contains(kind) for kind in ("county", "cnty", "parish", "borough")])
+        cut = F.regexp_replace(w, r"^(?:county|city and county|parish|borough) of |\b(?:county|cnty|parish|borough)\b", "")
+        return F.when(named, text.squeeze(cut)).otherwise(w)
+
+    # The first that is not empty. As variables of functions on arrays the patterns run once a row; tests for empty text would
+    # each hold them again, and filters run them each time.
+    both = F.flatten(F.transform(F.array(words), lambda w: F.array(bare(w), w)))
+    return F.get(F.filter(both, lambda w: w != ""), F.lit(0))
 
 
 def court_aliases(spark: SparkSession, more: list[tuple[str, str, str]] = ()) -> DataFrame:

@@ -67,24 +67,22 @@ def _with_court_text(df: DataFrame, aliases: DataFrame | None) -> DataFrame:
 def _suit_candidates(suits: DataFrame, judgments: DataFrame, aliases: DataFrame | None) -> DataFrame:
     """Judgments with ``suit_id`` and ``_suits``, the number of suits that fit; the suit is null unless it is one.
 
-    Judgments without a court look for the number in the whole state; ``_whole`` tells these from the others, so that one
-    join does for both. Inside, a missing court is empty text: the patterns of the court's name run once a row, where a
-    test for null would run them again in the filters that Spark derives from it.
+    Judgments without a court look for the number in the whole state, which is the court of empty text: every suit is there
+    and in its own court, so that one reading of the suits, one aggregate and one join do for both. The patterns of the
+    court's name run once a row, where a test for null would run them again in the filters that Spark derives from it.
     """
-    on = ["_place", "state_code", "_court", "_whole", "case_number"]
-
-    def placed(df: DataFrame, whole: Column) -> DataFrame:
-        return df.withColumn("_whole", whole).withColumn("_place", place(*on[1:]))
-
-    def fitting(suits_of: DataFrame, whole: bool) -> DataFrame:
-        counted = placed(suits_of, F.lit(whole)).groupBy(*on).agg(
-            F.min("suit_id").alias("suit_id"), F.count(F.lit(1)).alias("_suits"))
-        return counted.withColumn("suit_id", F.when(F.col("_suits") == 1, F.col("suit_id")))
-
-    named = suits.select("suit_id", "state_code", "county", "case_number")
-    fits = fitting(_with_court_text(named, aliases), False).unionByName(fitting(named.withColumn("_court", F.lit("")), True))
-    asked = placed(_with_court_text(judgments, aliases), F.col("_court") == "")
-    joined = left_join_filled(asked, fits, on)
+    on = ["_place", "state_code", "_court", "case_number"]
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_place", place(*on[1:]))
+
+    named = _with_court_text(suits.select("suit_id", "state_code", "county", "case_number"), aliases)
+    whole = F.lit("")
+    courts = F.when(F.col("_court") == whole, F.array(whole)).otherwise(F.array(whole, "_court"))
+    both = named.withColumn("_court", F.explode(courts))
+    counted = placed(both).groupBy(*on).agg(F.min("suit_id").alias("suit_id"), F.count(F.lit(1)).alias("_suits"))
+    fits = counted.withColumn("suit_id", F.when(F.col("_suits") == 1, F.col("suit_id")))
+    joined = left_join_filled(placed(_with_court_text(judgments, aliases)), fits, on)
     return joined.withColumn("_court", F.nullif("_court", F.lit(""))).select(*judgments.columns, "_court", "suit_id", "_suits")
 
 
@@ -149,12 +147,16 @@ def xref_chain(suits: DataFrame, judgments: DataFrame, linked_liens: DataFrame,
 
 
 def suit_best_view_full(
-    best_view: DataFrame, judgments: DataFrame, linked_liens: DataFrame, aliases: DataFrame | None = None
+    best_view: DataFrame, judgments: DataFrame, linked_liens: DataFrame, aliases: DataFrame | None = None,
+    suits: DataFrame | None = None,
 ) -> DataFrame:
-    """Suit best view with its judgments and the liens that came from them."""
+    """Suit best view with its judgments and the liens that came from them.
+
+    Judgments are linked to ``suits``, the suits behind the view; without them to the view, which is then read twice.
+    """
     liens = linked_liens.where("judgment_key is not null").groupBy("judgment_key").agg(F.count(F.lit(1)).alias("liens"))
     per_suit = (
-        link_suit_judgment(best_view, judgments, aliases).where("suit_id is not null").join(liens, "judgment_key", "left")
+        link_suit_judgment(best_view if suits is None else suits, judgments, aliases).where("suit_id is not null").join(liens, "judgment_key", "left")
         .groupBy(place("suit_id").alias("_place"), "suit_id")
         .agg(F.sum("judgment_amount").alias("judgment_amount"), F.coalesce(F.sum("liens"), F.lit(0)).alias("lien_count"))
     )
