@@ -41,7 +41,26 @@ def salted_join(
     is_hot = (F.col(rows) * share >= total) & (F.col(rows) > 0)
     hot = right.where(is_hot).select(*on, splits.alias("_splits"))
     copies = F.when(is_hot, F.sequence(F.lit(0), splits - 1)).otherwise(F.array(F.lit(0)))
+    return _salted(left, hot, right.withColumn("_salt", F.explode(copies)), on, spread, how, share)
 
+
+def salted_lookup(left: DataFrame, right: DataFrame, on: list[str], spread: list[str], share: int = 200) -> DataFrame:
+    """Left join as ``salted_join``, where the rows of a key are known from ``left`` only: a stored table, counted here.
+
+    Only the keys that are split meet ``right`` before the join, so ``right`` is neither joined to all counts nor stored.
+    """
+    total = left.select(F.count(F.lit(1))).scalar()
+    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") * share >= total)
+    hot = F.broadcast(counts.select(*on, F.ceil(F.try_divide(F.col("_rows") * share, total)).cast("int").alias("_splits")))
+    last = F.coalesce("_splits", F.lit(1)) - 1
+    copied = right.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_splits")
+    return _salted(left, hot, copied, on, spread, "left", share)
+
+
+def _salted(
+    left: DataFrame, hot: DataFrame, copied: DataFrame, on: list[str], spread: list[str], how: str, share: int
+) -> DataFrame:
+    """``left``, salted by the splits of its ``hot`` keys, joined to the rows that were copied once a salt."""
     missing = F.lit(False)
     for key in on:
         missing = missing | F.col(key).isNull()
@@ -51,7 +70,6 @@ def salted_join(
         .withColumn("_salt", F.pmod(F.xxhash64(*spread), spread_over).cast("int"))
         .drop("_splits")
     )
-    copied = right.withColumn("_salt", F.explode(copies))
     sides = [side.withColumn("_place", place(*on, "_salt")) for side in (salted, copied)]
     return sides[0].join(sides[1], ["_place", *on, "_salt"], how).drop("_place", "_salt")
 

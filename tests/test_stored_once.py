@@ -80,3 +80,15 @@ def test_parties_are_listed_without_functions_on_arrays(spark):
         ("s1_PLAINTIFF_3", "PLAINTIFF", 3, "Bob Bank", True, None), ("s2_DEFENDANT_1", "DEFENDANT", 1, "Dee", False, "y"),
         ("s2_DEFENDANT_2", "DEFENDANT", 2, "Eve", False, None)]
     assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lookup_of_uneven_keys_stores_nothing(spark, monkeypatch):
+    from lamella.operators import skew
+
+    monkeypatch.setattr(skew, "stage", lambda *_: pytest.fail("stored"))
+    left = spark.range(4000).selectExpr("id", "CASE WHEN id % 7 = 0 THEN NULL WHEN id < 3000 THEN 'hot' ELSE concat('k', id % 900) END AS key")
+    right = spark.createDataFrame([("hot", 1), ("k5", 2), ("k5", 3), (None, 4)], "key string, v int")
+    found = skew.salted_lookup(left, right, ["key"], ["id"])
+    assert sorted(map(str, found.collect())) == sorted(map(str, left.join(right, "key", "left").collect()))
+    empty = skew.salted_lookup(left.where("false"), right, ["key"], ["id"])
+    assert empty.columns == ["key", "id", "v"] and empty.count() == 0
