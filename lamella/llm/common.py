@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # Words are runs of anything but these six characters, in Java, RE2 and Python patterns alike.
 WORD = r"[^\x20\x09-\x0D]+"
 _CHECKPOINTS = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
@@ -20,10 +21,21 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back; the copy outlives lost executors."""
-    path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` once to the shared folder and read it back; the copy outlives lost executors.
+
+    Shuffle files of the write go as it ends, not when the driver happens to collect its garbage.
+    """
+    spark = df.sparkSession
+    path, before = scratch_folder(spark, name), spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    back = spark.read.schema(df.schema).parquet(path)
     back.staged_path = path
     return back
 

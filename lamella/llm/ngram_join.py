@@ -135,7 +135,11 @@ class Fragments:
         return int(np.searchsorted(self.bounds, size, side="right")) - 1
 
     def __call__(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes of the fragments of a set, their classes, and in how many of a class it must agree with any linked set."""
+        """Hashes of the fragments of a set, their classes, and in how many of a class it must agree with any linked set.
+
+        That number is negative if frequent fragments are looked up too: then it holds for linked sets with a negative
+        number, and for others their own does. It is 0, which is unknown, if empty fragments are looked up.
+        """
         own, out, of, need = self._class_of(len(s)), [], [], []
         spread = mix64(s ^ np.uint64(0x452821E638D01377))
         rare = np.ones(len(s), np.int64)
@@ -148,16 +152,19 @@ class Fragments:
             differ = (100 - self.percent) * (small + small * 100 // self.percent) // (100 + self.percent)
             spare = 1 + (differ > 0) + differ // 4
             count = differ + spare
+            spare = max(spare, count - (100 - self.percent) * len(s) // self.percent)  # fewer n-grams differ in a linked set of this one
             place = ((s >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
             first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
             sums, places, telling = np.add.reduceat(spread, first), place[first], np.add.reduceat(rare, first) > 0
-            least = 1  # a linked set may leave out what this one looks up
             if count - telling.sum() < spare:
                 sums, places = sums[telling], places[telling]
                 least = spare - (count - len(sums))
             elif count - len(first) >= spare:
                 empty = np.setdiff1d(np.arange(count, dtype=np.uint64), places)
                 sums, places = np.concatenate([sums, np.zeros(len(empty), np.uint64)]), np.concatenate([places, empty])
+                least = 0
+            else:
+                least = (count - len(sums)) - spare
             out.append(mix64(mix64(sums + places) + np.uint64(c + 1)))
             of.append(np.full(len(sums), c, np.int32))
             need.append(np.full(len(sums), least, np.int32))
@@ -190,7 +197,7 @@ def _fragments(slim: DataFrame, n: int, percent: int, frequent: np.ndarray) -> D
 def _shared(rows: DataFrame) -> DataFrame:
     """Rows whose fragment other sets have too."""
     own = rows.select("fragment", "c1", "size_class", "need", F.expr("min(c1) OVER (PARTITION BY fragment)").alias("first"),
-                      F.expr("max(c1) OVER (PARTITION BY fragment)").alias("last"), F.expr("count(*) OVER (PARTITION BY fragment)").alias("crowd"))
+                      F.expr("max(c1) OVER (PARTITION BY fragment)").alias("last"))
     return staged(own.where("first <> last").drop("last"), "ngram-shared")
 
 
@@ -216,8 +223,8 @@ def _stars(shared: DataFrame) -> DataFrame:
 
     Near copies mostly do, whatever their number, at one row for each set and fragment.
     """
-    rows = shared.where(F.col("c1") != F.col("first")).groupBy("size_class", "c1", "first").agg(
-        F.count(F.lit(1)).alias("n"), F.max("need").alias("need"))
+    rows = shared.where((F.col("c1") != F.col("first")) & (F.col("need") != 0)).groupBy("size_class", "c1", "first").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.abs("need")).alias("need"))
     return rows.where("n >= need").select(F.col("c1").alias("a"), F.col("first").alias("b"))
 
 
@@ -225,23 +232,31 @@ def _candidates(shared: DataFrame) -> DataFrame:
     """(a, b): links that join all sets which may be alike into one group.
 
     Sets are first gathered around the first sets of their fragments; what is gathered is one node from then on and needs no
-    pairs. In fragments of few nodes the pairs are counted, and a pair needs as many fragments as the least that a link of
-    their sets can bring about. In a fragment of more nodes all hang on the smallest one.
+    pairs. In fragments of few nodes the pairs are counted, and a pair needs as many as the least that a link of their sets
+    can bring about, less the fragments of more nodes that both have. Nodes hang on the smallest one of a fragment of more
+    nodes only if they have so many of those that a link might bring about no others.
     """
     stars = staged(_stars(shared).distinct(), "ngram-stars")
     gathered = components(stars, "ngram-gathered")
     nodes = shared.select("fragment", "size_class", "c1", "need").join(gathered, F.col("c1") == F.col("node"), "left").groupBy(
-        "fragment", "size_class", F.coalesce("label", "c1").alias("c1")).agg(F.min("need").alias("need"))
-    crowds = nodes.groupBy("fragment").agg(F.count(F.lit(1)).alias("crowd"), F.min("c1").alias("first"), F.max("c1").alias("last"))
-    crowds = crowds.where("first <> last").drop("last")
+        "fragment", "size_class", F.coalesce("label", "c1").alias("c1")).agg(
+        F.expr("CASE WHEN min(need) > 0 THEN min(need) WHEN max(need) < 0 THEN max(need) ELSE 0 END").alias("need"))
+    crowds = nodes.groupBy("fragment").agg(
+        F.count(F.lit(1)).alias("crowd"), F.min("c1").alias("first"), F.max("c1").alias("last"), (F.max("need") > 0).alias("telling"))
+    crowds = crowds.where("first <> last").select("fragment", "telling", (F.col("crowd") > CROWD).alias("crowded"))
     nodes = staged(nodes.join(crowds, "fragment"), "ngram-nodes")
-    few = nodes.where(F.col("crowd") <= CROWD).select("fragment", "size_class", "c1", "need")
-    other = few.select("fragment", F.col("c1").alias("c2"), F.col("need").alias("need_2"))
+    held = nodes.where("crowded").groupBy("size_class", "c1").agg(F.count(F.lit(1)).alias("held"))
+    held = nodes.join(held, ["size_class", "c1"], "left").withColumn("held", F.coalesce("held", F.lit(0)))
+    few = held.where("NOT crowded").select("fragment", "size_class", "c1", "need", "held")
+    other = few.select("fragment", F.col("c1").alias("c2"), F.col("need").alias("need_2"), F.col("held").alias("held_2"))
+    least = F.expr("CASE WHEN greatest(need, need_2) > 0 THEN greatest(need, need_2) WHEN greatest(need, need_2) < 0 THEN -least(need, need_2) ELSE 1 END")
     pairs = (
         few.join(other.hint("merge"), "fragment").where("c1 < c2").groupBy("size_class", "c1", "c2")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.least("need", "need_2")).alias("least")).where("n >= least")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(least - F.least("held", "held_2")).alias("least")).where("n >= least")
     )
-    hung = nodes.where((F.col("crowd") > CROWD) & (F.col("c1") != F.col("first"))).select(F.col("c1").alias("a"), F.col("first").alias("b"))
+    heavy = held.where("crowded AND (need = 0 OR need > 0 AND held >= need OR need < 0 AND (telling OR held >= -need))")
+    firsts = heavy.groupBy("fragment").agg(F.min("c1").alias("first"))
+    hung = heavy.join(firsts, "fragment").where("c1 <> first").select(F.col("c1").alias("a"), F.col("first").alias("b"))
     return pairs.select(F.col("c1").alias("a"), F.col("c2").alias("b")).unionByName(hung).unionByName(stars).distinct()
 
 

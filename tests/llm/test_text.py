@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamella.llm import compression, decontamination, imatch, language, ngram_join, queries, secrets, toxicity
-from lamella.llm.common import components
+from lamella.llm.common import components, staged
 
 
 def fold(doc_id, n):
@@ -172,6 +173,49 @@ def test_ngram_groups_in_size_bands(spark, monkeypatch, block, volume):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts, 5, 80)
 
 
+@pytest.mark.parametrize("crowd", [1, 4, 64])
+def test_ngram_groups_of_texts_with_common_passages(spark, monkeypatch, crowd):
+    """Passages of many texts, more or less of each text; near copies of all kinds."""
+    rnd = random.Random(11)
+    passages = [[f"p{k}_{j}" for j in range(14)] for k in range(4)]
+    texts = {}
+    for i in range(0, 300, 2):
+        words = sum(rnd.sample(passages, rnd.randint(0, 4)), []) + [f"u{i}_{j}" for j in range(rnd.choice([0, 3, 8, 20, 60]))]
+        texts[i] = " ".join(words)
+        for _ in range(rnd.randint(0, 1 + len(words) // 20) if words else 0):
+            words[rnd.randrange(len(words))] = f"x{rnd.randrange(3)}"
+        texts[i + 1] = " ".join(words)
+    monkeypatch.setattr(ngram_join, "CROWD", crowd)
+    got = ngram_join.group_by_ngrams(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 3, 70).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts, 3, 70)
+
+
+def test_texts_that_share_nothing_are_no_candidates(spark, monkeypatch):
+    """Texts of few n-grams for their class have many empty fragments; those alone bring nobody together."""
+    texts = [(i, " ".join(f"w{i}_{j}" for j in range(length))) for i, length in enumerate([21, 37, 68] * 200)]
+    found, cells = [], ngram_join._cells
+    monkeypatch.setattr(ngram_join, "_cells", lambda members, percent: found.append(members.count()) or cells(members, percent))
+    ngram_join.group_by_ngrams(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert found == [0]
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    def shuffle_files():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().iterator()
+        out = 0
+        while blocks.hasNext():
+            out += blocks.next().isShuffle()
+        return out
+
+    before, rows = shuffle_files(), spark.range(1000).repartition(5, "id").groupBy((F.col("id") % 100).alias("m")).count()
+    assert staged(rows, "test-shuffles").count() == 100
+    for _ in range(50):
+        if shuffle_files() <= before + 1:  # the count has one of its own
+            break
+        time.sleep(0.2)
+    assert shuffle_files() <= before + 1 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_ngram_groups_odd_rows(spark, odd_docs):
     got = sorted(ngram_join.group_by_ngrams(odd_docs).collect(), key=lambda r: (r.doc_id is None, r.doc_id))
     assert [(r.doc_id, r.component_id) for r in got] == [(1, 1), (1, 1), (2, 2), (3, 3), (5, 5), (6, 6), (None, None)]
