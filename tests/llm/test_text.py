@@ -173,7 +173,7 @@ def test_ngram_groups_in_size_bands(spark, monkeypatch, block, volume):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts, 5, 80)
 
 
-@pytest.mark.parametrize("crowd", [1, 4, 64])
+@pytest.mark.parametrize("crowd", [2, 64])
 def test_ngram_groups_of_texts_with_common_passages(spark, monkeypatch, crowd):
     """Passages of many texts, more or less of each text; near copies of all kinds."""
     rnd = random.Random(11)
@@ -208,12 +208,13 @@ def test_staged_tables_leave_no_shuffle_files(spark):
         return out
 
     before, rows = shuffle_files(), spark.range(1000).repartition(5, "id").groupBy((F.col("id") % 100).alias("m")).count()
-    assert staged(rows, "test-shuffles").count() == 100
+    back = staged(rows, "test-shuffles")
     for _ in range(50):
-        if shuffle_files() <= before + 1:  # the count has one of its own
+        if shuffle_files() <= before:  # removed in the background
             break
         time.sleep(0.2)
-    assert shuffle_files() <= before + 1 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert shuffle_files() <= before and back.count() == 100
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
 
 
 def test_ngram_groups_odd_rows(spark, odd_docs):
